@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, grammar, lines, media, piece_bpe, secret_scan, sharding
+from . import bagminhash, chat, decontaminate, grammar, lines, media, piece_bpe, secret_scan, sharding, toxicity
 from .shared import shared_dir, table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -16,6 +16,12 @@ PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 N_SHARDS = 16
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark item found in a document: doc_id, item_id, distance, start, end."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontaminate.matches(docs, table(spark, sf_dir, "benchmark"))
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without the lines that are boilerplate of their source."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
@@ -35,6 +41,12 @@ FROM k
 """
 
 
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the id and the size of its near-duplicate class."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bagminhash.classes(docs).select("doc_id", "class_id", "class_size")
+
+
 def op4_avi_mjpeg(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text stored as an AVI file and read back, with its shots."""
     docs = table(spark, sf_dir, "documents").select("doc_id", F.encode(F.coalesce("text", F.lit("")), "UTF-8").alias("raw"))
@@ -113,6 +125,13 @@ def op8_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grammar.read_ids(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text scored; the model is learned from labelled rows outside the held-out third."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.scored(docs, model).select("doc_id", toxicity.held_out("doc_id").alias("held_out"), "score", (F.col("score") >= toxicity.REJECT).cast("int").alias("predicted"))
+
+
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole text encoded and decoded again."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -124,7 +143,11 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_line_dedup, op4_avi_mjpeg, op5_sharding, op6_secrets, op7_chat, op8_token_ids, op10_sentencepiece)}
+    ops = (
+        op1_decontamination, op2_line_dedup, op3_near_dedup, op4_avi_mjpeg, op5_sharding,
+        op6_secrets, op7_chat, op8_token_ids, op9_toxicity, op10_sentencepiece,
+    )
+    return {f.__name__: f for f in ops}
 
 
 def oracle_sql() -> dict[str, str]:
