@@ -12,15 +12,12 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 LATENESS = "21 days"
 
 
-def counted(stream: DataFrame, at: str, kind: str, every: str = "1 day", lateness: str = LATENESS) -> DataFrame:
-    """Events per window and kind; a window is final once the watermark has passed it."""
-    w = F.window(at, every)
-    return stream.withWatermark(at, lateness).groupBy(w.alias("w"), kind).agg(F.count(F.lit(1)).alias("n")).select(F.col("w.start").alias("start"), kind, "n")
-
-
-def deduplicated(stream: DataFrame, at: str, key: str, lateness: str = LATENESS) -> DataFrame:
-    """Each key once, remembered for the lateness."""
-    return stream.withWatermark(at, lateness).dropDuplicatesWithinWatermark([key])
+def counted(stream: DataFrame, at: str, kind: str, every: str = "1 day", lateness: str = LATENESS, key: str | None = None) -> DataFrame:
+    """Events per window and kind, each key once if one is named; a window is final once the watermark has passed it."""
+    marked = stream.withWatermark(at, lateness)
+    if key is not None:
+        marked = marked.dropDuplicatesWithinWatermark([key])
+    return marked.groupBy(F.window(at, every).alias("w"), kind).agg(F.count(F.lit(1)).alias("n")).select(F.col("w.start").alias("start"), kind, "n")
 
 
 def merge_into(path: str, key: str, at: str, partition: str):
