@@ -62,14 +62,14 @@ def entropy_spans(token: str, window: int, bits: float) -> list[tuple[int, int]]
     counts: dict[str, int] = {}
     total, spans = 0.0, []
     for i, c in enumerate(token):
-        n = counts.get(c, 0)
-        counts[c] = n + 1
-        total += term[n + 1] - term[n]
-        if i >= window:
+        if i >= window:  # one leaves before one enters: no count ever passes the window
             out = token[i - window]
             n = counts[out]
             counts[out] = n - 1
             total += term[n - 1] - term[n]
+        n = counts.get(c, 0)
+        counts[c] = n + 1
+        total += term[n + 1] - term[n]
         if i >= window - 1 and math.log2(window) - total / window >= bits:
             if spans and spans[-1][1] >= i - window + 1:
                 spans[-1] = (spans[-1][0], i + 1)
