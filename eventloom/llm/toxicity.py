@@ -32,6 +32,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .shared import broadcast_if_small, saved
+
 #: Labelled rows learned from, at most: those of the least id hash.
 TRAIN_ROWS = 40_000
 #: Stems are word beginnings of these lengths, and whole words (closed by '$').
@@ -148,13 +150,17 @@ def held_out(doc_id: str) -> Column:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, limit: int) -> DataFrame:
-    """(text, toxic, fold): at most about limit labelled rows outside the held-out third."""
+    """(doc_id, text, toxic): at most about limit labelled rows outside the held-out third, saved.
+
+    The ids are few, so the texts of all other documents stay where they are.
+    """
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out("doc_id")).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     n = known.count()
     if n > limit:  # the share of ids with the least hashes
         known = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int((1 << 20) * limit / n))
     own = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    return own.join(known.select("doc_id", "toxic"), "doc_id").select("doc_id", "text", F.col("toxic").cast("int").alias("toxic"))
+    known = broadcast_if_small(saved(known.select("doc_id", F.col("toxic").cast("int").alias("toxic"))), F.lit(16))
+    return saved(own.join(known, "doc_id").select("doc_id", "text", "toxic"))
 
 
 def stems_of(word: Column) -> Column:
@@ -219,8 +225,8 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     rows = training_rows(docs, labels, doc_id, text, limit)
     half = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(2)) == 0
     trial = json.dumps(learned_stems(rows.where(half)), sort_keys=True)
-    seen = rows.where(~half).select("toxic", features_of(trial)("text").alias("x")).orderBy("toxic", "x").collect()
-    coefficients = regression(np.array([r["x"] for r in seen]), np.array([r["toxic"] for r in seen], float))
+    seen = sorted(tuple(r) for r in rows.where(~half).select("toxic", features_of(trial)("text").alias("x")).collect())
+    coefficients = regression(np.array([x for _, x in seen]), np.array([y for y, _ in seen], float))
     return {"stems": json.dumps(learned_stems(rows), sort_keys=True), "coefficients": coefficients}
 
 
