@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import broadcast_if_small, saved
+
 #: Least characters of a piece: the budget is one edit for each piece but the first.
 PIECE_CHARS = 16
 #: Characters of the items handled in one pass.
@@ -156,6 +158,10 @@ def matches(docs: DataFrame, bench: DataFrame, doc_id: str = "doc_id", text: str
 
 
 def without_leaks(docs: DataFrame, bench: DataFrame, doc_id: str = "doc_id", text: str = "text", **names) -> DataFrame:
-    """docs without those in which an item was found.  Documents of one id go together; null ids stay."""
-    leaks = matches(docs, bench, doc_id, text, **names).select(F.col("doc_id").alias("el_leak")).distinct()
+    """docs without those in which an item was found.  Documents of one id go together; null ids stay.
+
+    The ids found are saved and measured: within the broadcast limit the texts stay where they are.
+    """
+    leaks = saved(matches(docs, bench, doc_id, text, **names).select(F.col("doc_id").alias("el_leak")).distinct())
+    leaks = broadcast_if_small(leaks, F.lit(8))
     return docs.join(leaks, F.col(doc_id) == F.col("el_leak"), "left_anti")
