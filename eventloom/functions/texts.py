@@ -105,3 +105,9 @@ def clean_name(name: str | Column) -> Column:
 def better(first: Column, second: Column) -> Column:
     """second's reading only where first could not read the text at all."""
     return F.when((first["confidence"] == "none") & (second["confidence"] != "none"), second).otherwise(first)
+
+
+def snap_crew(text: str | Column) -> Column:
+    """struct(snapper, holder) where a gamebook names them."""
+    t = column(text)
+    return F.struct(found(t, r"\bCenter-([\w.'-]+?)(?=[,.]?\s|[,.]?$)").alias("snapper"), found(t, r"\bHolder-([\w.'-]+?)(?=[,.]?\s|[,.]?$)").alias("holder"))

@@ -110,3 +110,22 @@ def test_late_rows_within_the_watermark_are_counted(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert sorted((str(r.start)[:10], r.kind, r.n) for r in spark.table("el_counts").collect()) == [("2024-01-01", "x", 1), ("2024-01-02", "x", 1)]
+
+
+def test_inventory_and_records(spark):
+    from eventloom.sources import inventory
+
+    df = spark.range(2).select("id", F.lit(float("nan")).alias("fg_pct"), F.lit("2020-01-02").cast("date").alias("day"), F.lit(3).cast("decimal(10,2)").alias("d"))
+    assert inventory.records(df)[0] == {"id": 0, "fg_pct": None, "day": "2020-01-02", "d": 3}
+    assert inventory.columns_of({"t": df}, {"t": ("id",)})[0] == {"table": "t", "column": "id", "type": "bigint", "key": True}
+    assert inventory.label("fg_pct") == "FG pct" and inventory.number_format("fg_pct").format(1.0) == "1.0%" and inventory.named_like(df, "PCT") == ["fg_pct"]
+    assert [inventory.chart_shape(c, n) for c, n in (([("season", "int"), ("n", "bigint")], 5), ([("team", "string"), ("n", "bigint")], 5), ([("team", "string")], 5), ([("n", "int")], 1))] == ["trend", "ranking", "none", "none"]
+
+
+def test_asked_filters_outside_the_list_are_refused(spark):
+    from eventloom.plans.panels import allowed_rows
+
+    df = spark.createDataFrame([(1, 2)], "season int, week int")
+    assert allowed_rows(df, {"season": 1, "week": None}).count() == 1
+    with pytest.raises(ValueError):
+        allowed_rows(df, {"season; DROP": 1})
