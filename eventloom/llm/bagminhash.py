@@ -8,10 +8,10 @@ come in order of time and fall on signature components; a component keeps its ea
 process stops once its time is past the document's latest component.
 
 Bands of the signature give candidate buckets, the bags' overlap verifies every candidate pair, and
-connected components of the verified links are the classes.  In a bucket the first member is compared
-with all others first; after components are drawn, only pairs of different components are left, and
-those are compared all.  So a large group of near copies costs a star, and no link between different
-texts that share a bucket is lost.
+connected components of the verified links are the classes.  In a large bucket the most central member
+is compared with all others first; then the members it does not link are compared with those that what
+they share with that member, and with each other beside it, lets be similar.  So a large group of near
+copies costs a star, and no link between different texts that share a bucket is lost.
 
 Defined results: a null text is the empty text; texts of fewer than five words are one shingle of
 all their words, texts without words none (they are a class only with equal texts); equal texts are
@@ -34,6 +34,10 @@ from .words import list_array, slices
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 24, 4
+#: Buckets of up to so many members are compared in full.
+SMALL = 9
+#: Rows a member it may take to find what one hub leaves; beyond them more hubs go first.
+ROWS_PER_MEMBER = 32
 #: A star round more for the buckets as long as the pairs left to compare exceed so many a member.
 PAIRS_PER_MEMBER, STAR_ROUNDS = 8, 6
 WORDS_KEPT = 500_000
@@ -158,6 +162,12 @@ def node_of(text: str) -> Column:
     return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
 
 
+def is_star_forest(edges: DataFrame) -> bool:
+    """Whether every child has one root and no root is a child."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("child"), F.lit(0).alias("root")).unionByName(edges.select(F.col("v").alias("node"), F.lit(0).alias("child"), F.lit(1).alias("root")))
+    return ends.groupBy("node").agg(F.sum("child").alias("child"), F.max("root").alias("root")).where("child + root > 1").isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, comp): each linked node's least node of its component, by alternating large and small stars.
 
@@ -165,18 +175,14 @@ def components(links: DataFrame) -> DataFrame:
     are saved to the shared folder.
     """
     edges = saved(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
-    before = None
-    while True:
+    while not is_star_forest(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         lower = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(lower, "u").select(F.explode(F.array(F.struct(F.col("u").alias("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.u", "e.v")
-        edges = saved(small.where("u <> v").distinct())
-        state = edges.agg(F.count(F.lit(1)), F.expr("bit_xor(xxhash64(u, v))")).first()
-        if state == before:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("comp")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("comp")).distinct())
-        before = state
+        ends = F.array(F.struct(F.col("u").alias("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))
+        edges = saved(large.join(lower, "u").select(F.inline(ends)).where("u <> v").distinct())
+    return edges.select(F.col("u").alias("node"), F.col("v").alias("comp")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("comp")).distinct())
 
 
 def verified(pairs: DataFrame, bags: DataFrame, similarity: float) -> DataFrame:
@@ -189,37 +195,111 @@ def verified(pairs: DataFrame, bags: DataFrame, similarity: float) -> DataFrame:
     return close.withColumn("shared", shared).where(F.col("shared") >= (x + y - F.col("shared")) * similarity - 1e-9).select("a", "b")
 
 
+def least_shared(x: Column, y: Column, similarity: float) -> Column:
+    """What two bags of these sizes must share to be similar."""
+    return (x + y) * (similarity / (1 + similarity)) - 1e-6
+
+
+def size_step(size: Column) -> Column:
+    """Sizes in steps of 2 %, so that those of a range are a few equal keys."""
+    return F.floor(F.log(F.greatest(size, F.lit(1.0))) / F.log(F.lit(1.02))).cast("int")
+
+
+def arms_of(spokes: DataFrame, bags: DataFrame, similarity: float) -> DataFrame:
+    """Each spoke (hub, node) compared: size, what it shares with its hub, its rest, whether it is linked."""
+    hub = bags.select(F.col("node").alias("hub"), F.col("bag").alias("hub_bag"))
+    rest = F.array_except("bag", "hub_bag")
+    size, hub_size, shared = F.size("bag"), F.size("hub_bag"), F.size("bag") - F.size("rest")
+    return (
+        spokes.join(bags, "node").join(hub, "hub").withColumn("rest", rest)
+        .select("hub", "node", size.alias("size"), shared.alias("shared"), "rest", (shared >= (size + hub_size - shared) * similarity - 1e-9).alias("linked"))
+    )
+
+
+def loose_pairs(arms: DataFrame, similarity: float) -> tuple[DataFrame, int]:
+    """Pairs (a, b) of one hub that may be similar though a is not linked to the hub, and the rows it takes to find them.
+
+    x and y share at most what both share with the hub, and what their rests share.  So either y is small
+    enough for x's share of the hub alone (found by size), or the rests have elements in common (found by
+    those).  Of the rest at least t elements must be common, so its t - 1 most frequent ones need no search.
+    """
+    x, y, p, t = F.col("x"), F.col("y"), F.col("p"), F.col("t")
+    loose = arms.where(~F.col("linked")).select("hub", F.col("node").alias("a"), F.col("size").alias("x"), F.col("shared").alias("p"), "rest")
+    low, high = x * similarity - 1e-6, F.least(x / similarity, p * ((1 + similarity) / similarity) - x) + 1e-6
+    sized = loose.where(low <= high).select("hub", "a", "x", "p", F.explode(F.sequence(size_step(low), size_step(high))).alias("at"))
+    steps = arms.select("hub", F.col("node").alias("b"), F.col("size").alias("y"), size_step(F.col("size")).alias("at"))
+    sized = saved(sized.join(steps.groupBy("hub", "at").agg(F.count(F.lit(1)).alias("n")), ["hub", "at"]))
+    by_size = sized.join(steps, ["hub", "at"]).where((F.col("a") != F.col("b")) & (y >= low) & (y <= high)).select("a", "b")
+
+    rests = arms.select("hub", F.col("node").alias("b"), F.col("size").alias("y"), F.col("shared").alias("q"), F.explode("rest").alias("at"))
+    spread = rests.groupBy("hub", "at").agg(F.count(F.lit(1)).alias("n"))
+    own = loose.select("hub", "a", "x", "p", F.explode("rest").alias("at")).join(spread, ["hub", "at"])
+    sought = F.greatest(F.ceil(x * similarity - p - 1e-6), F.lit(1)).cast("int")
+    own = own.groupBy("hub", "a", "x", "p").agg(F.sort_array(F.collect_list(F.struct("n", "at"))).alias("own")).withColumn("t", sought)
+    own = own.select("hub", "a", "x", "p", "t", F.inline(F.slice("own", F.lit(1), F.greatest(F.size("own") - t + 1, F.lit(0)))))
+    own = saved(own.where("n > 1"))
+    common = own.join(rests, ["hub", "at"]).where(F.col("a") != F.col("b")).groupBy("hub", "a", "b", "x", "y", "p", "q", "t").agg(F.count(F.lit(1)).alias("k"))
+    enough = (F.col("k") + t - 1 + F.least("p", "q") >= least_shared(x, y, similarity)) & (F.least("x", "y") >= F.greatest("x", "y") * similarity - 1e-6)
+    found = by_size.unionByName(common.where(enough).select("a", "b"))
+    cost = sum(df.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] for df in (sized, own))
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), cost
+
+
 def links_of(docs: DataFrame, doc_id: str, text: str, similarity: float) -> DataFrame:
-    """Verified links (a, b) between nodes, enough to connect every class."""
+    """Verified links (a, b) between nodes, enough to connect every class.
+
+    Buckets of up to SMALL members are compared in full.  In a larger one the member that has most
+    company in all its buckets is the hub, compared with the rest; members that it does not link are
+    then compared with those that what they share with the hub, and with each other beside it, lets be similar.
+    """
     raw = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("node", node_of("text"))
     rows = saved(raw.select("node", F.explode(_band_keys("text")).alias("key")).distinct())
-    shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("hub")).where("n > 1")
-    members = saved(rows.join(shared, "key").select("key", "node", "hub"))
+    shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    members = saved(rows.join(shared, "key").select("key", "node", "n"))
 
     chosen = raw.groupBy("node").agg(F.min("doc_id").alias("doc_id")).join(members.select("node").distinct(), "node", "left_semi")
     chosen = broadcast_if_small(saved(chosen), F.lit(16))
     same = raw["doc_id"].eqNullSafe(chosen["doc_id"]) & (raw["node"] == chosen["node"])
     bags = saved(raw.join(chosen, same, "left_semi").select("node", _bag("text").alias("bag")))
 
-    tried = members.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    links = saved(verified(tried, bags, similarity))
+    few, many = members.where(F.col("n") <= SMALL), members.where(F.col("n") > SMALL)
+    one, two = few.select("key", F.col("node").alias("a")), few.select("key", F.col("node").alias("b"))
+    tried = one.join(two, "key").where("a < b").select("a", "b").distinct()
+
+    company = many.groupBy("node").agg(F.sum("n").alias("company"))
+    many = saved(many.select("key", "node").join(company, "node"))
+    hubs = many.groupBy("key").agg(F.max_by("node", F.struct("company", "node")).alias("hub"))
+    spokes = many.join(hubs, "key").where("node <> hub").select("hub", "node").distinct()
+    arms = saved(arms_of(spokes, bags, similarity))
+    links = arms.where("linked").select(F.col("hub").alias("a"), F.col("node").alias("b"))
+
+    pairs, cost = loose_pairs(arms, similarity)
+    if cost <= ROWS_PER_MEMBER * many.count():
+        return saved(links.unionByName(verified(tried.unionByName(pairs).distinct(), bags, similarity)))
+    links = saved(links.unionByName(verified(tried, bags, similarity)))
+    return links_by_stars(many.select("key", "node"), links, bags, similarity)
+
+
+def links_by_stars(members: DataFrame, links: DataFrame, bags: DataFrame, similarity: float) -> DataFrame:
+    """links, and those still missing between members of a bucket, where one hub leaves too many pairs.
+
+    After components are drawn only pairs of different ones are left; while they are many, another
+    member is compared with all of its bucket first; in the end the pairs that are left are compared all.
+    """
     for star in range(STAR_ROUNDS + 1):
         comps = saved(components(links))
         placed = members.join(comps, "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp"))
         groups = placed.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("k"))
-        open_keys = groups.groupBy("key").agg(F.count(F.lit(1)).alias("comps"), F.sum("k").alias("n"), F.sum(F.col("k") * F.col("k")).alias("own")).where("comps > 1")
-        open_keys = saved(open_keys)
+        open_keys = saved(groups.groupBy("key").agg(F.count(F.lit(1)).alias("comps"), F.sum("k").alias("n"), F.sum(F.col("k") * F.col("k")).alias("own")).where("comps > 1"))
         left = open_keys.agg(F.sum((F.col("n") * F.col("n") - F.col("own")) / 2).alias("pairs"), F.sum("n").alias("n")).first()
         if not left["n"]:
             return links
         placed = saved(placed.join(open_keys.select("key"), "key", "left_semi"))
         if star == STAR_ROUNDS or left["pairs"] <= PAIRS_PER_MEMBER * left["n"]:
-            # What is left is compared in full: pairs of one bucket in different components.
             one = placed.select("key", F.col("node").alias("a"), F.col("comp").alias("comp_a"))
             two = placed.select("key", F.col("node").alias("b"), F.col("comp").alias("comp_b"))
             rest = one.join(two, "key").where("a < b and comp_a <> comp_b").select("a", "b").distinct()
             return links.unionByName(saved(verified(rest, bags, similarity)))
-        # Another star: the member of the bucket's smallest hash in this round, against other components.
         order = F.struct(F.xxhash64("node", F.lit(star)), "node", "comp")
         hubs = placed.groupBy("key").agg(F.min(order).alias("h")).select("key", F.col("h.node").alias("a"), F.col("h.comp").alias("comp_a"))
         again = placed.join(hubs, "key").where("comp <> comp_a").select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
