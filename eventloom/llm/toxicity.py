@@ -203,16 +203,25 @@ def features_of(stems: str):
 
 
 def regression(x: np.ndarray, y: np.ndarray) -> list[float]:
-    """Logistic regression by Newton's steps, held near PRIOR."""
+    """Logistic regression held near PRIOR: Newton's steps, halved until the loss falls, so that none overshoots."""
     x = np.column_stack([np.ones(len(x)), x]) if len(x) else np.zeros((0, len(PRIOR)))
     prior = np.array(PRIOR)
-    w = prior.copy()
-    for _ in range(30):
+
+    def loss(w: np.ndarray) -> float:
+        z = x @ w
+        return float((np.logaddexp(0, z) - y * z).sum() + RIDGE / 2 * ((w - prior) ** 2).sum())
+
+    w, now = prior.copy(), loss(prior)
+    for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + RIDGE * np.eye(len(w)), x.T @ (p - y) + RIDGE * (w - prior))
-        w = w - step
-        if np.abs(step).max() < 1e-8:
+        size = 1.0
+        while size > 1e-6 and not loss(w - size * step) < now:
+            size /= 2
+        if size <= 1e-6 or np.abs(step).max() < 1e-8:
             break
+        w = w - size * step
+        now = loss(w)
     return w.tolist()
 
 

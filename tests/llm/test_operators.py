@@ -396,6 +396,16 @@ def test_toxicity_learns_and_leaves_the_held_out_third_alone(spark, docs, empty)
     assert toxicity.fit(d, lab.limit(0))["coefficients"] == pytest.approx(list(toxicity.PRIOR))
 
 
+def test_regression_does_not_overshoot_on_many_clear_rows():
+    rng = np.random.default_rng(7)
+    y = (rng.random(20_000) < 0.1).astype(float)
+    plain = y * np.log1p(rng.integers(5, 200, len(y)))
+    x = np.column_stack([plain, plain * (rng.random(len(y)) < 0.3), np.zeros(len(y)), np.zeros(len(y)), np.where(y > 0, np.log1p(rng.integers(1, 30, len(y))), 0)])
+    w = np.array(toxicity.regression(x, y))
+    score = 1 / (1 + np.exp(-np.clip(w[0] + x @ w[1:], -500, 500)))
+    assert np.isfinite(w).all() and score[y == 0].max() < 0.05 and (score[y == 1] >= toxicity.REJECT).mean() > 0.99
+
+
 def test_toxicity_grammar_tells_kinds_of_clauses():
     g = toxicity.Grammar({"idiot": 4.0, "scum$": 3.0})
     plain, negated, reported = (g.features(t) for t in ("You are an idiot.", "You are not an idiot.", "She said idiot."))
