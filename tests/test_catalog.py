@@ -41,7 +41,7 @@ def test_two_sample_difference(spark, duck):
     from eventloom.plans.binding import sql
 
     r = catalog.queries()["r07_two_sample"](spark, str(SF)).first()
-    a, va, na, b, vb, nb = duck.sql(sql("SELECT avg(punt_gross_yds) FILTER (WHERE surface = 'grass'), var_samp(punt_gross_yds) FILTER (WHERE surface = 'grass'), count(*) FILTER (WHERE surface = 'grass'), avg(punt_gross_yds) FILTER (WHERE surface = 'turf'), var_samp(punt_gross_yds) FILTER (WHERE surface = 'turf'), count(*) FILTER (WHERE surface = 'turf') FROM play_wide WHERE play_kind = 'punt'")).fetchone()
+    a, va, na, b, vb, nb = duck.sql(sql("SELECT avg(punt_gross_yds) FILTER (WHERE surface = 'grass'), var_samp(punt_gross_yds) FILTER (WHERE surface = 'grass'), count(*) FILTER (WHERE surface = 'grass'), avg(punt_gross_yds) FILTER (WHERE surface = 'turf'), var_samp(punt_gross_yds) FILTER (WHERE surface = 'turf'), count(*) FILTER (WHERE surface = 'turf') FROM play_wide WHERE play_kind = 'punt'")).fetchall()[0]
     assert (r.n_a, r.n_b) == (na, nb) and r.difference == pytest.approx(a - b) and r.se == pytest.approx((va / na + vb / nb) ** 0.5)
     assert r.low < r.difference < r.high
 
