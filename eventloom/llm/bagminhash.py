@@ -40,7 +40,7 @@ SMALL = 9
 ROWS_PER_MEMBER = 32
 #: A star round more for the buckets as long as the pairs left to compare exceed so many a member.
 PAIRS_PER_MEMBER, STAR_ROUNDS = 8, 6
-WORDS_KEPT = 500_000
+WORDS_KEPT = 200_000
 
 _word = re.compile(r"\w+")
 _u64 = np.uint64
@@ -219,28 +219,30 @@ def arms_of(spokes: DataFrame, bags: DataFrame, similarity: float) -> DataFrame:
 def loose_pairs(arms: DataFrame, similarity: float) -> tuple[DataFrame, int]:
     """Pairs (a, b) of one hub that may be similar though a is not linked to the hub, and the rows it takes to find them.
 
-    x and y share at most what both share with the hub, and what their rests share.  So either y is small
-    enough for x's share of the hub alone (found by size), or the rests have elements in common (found by
-    those).  Of the rest at least t elements must be common, so its t - 1 most frequent ones need no search.
+    x and y share at most what both share with the hub, and what their rests share.  Small partners are found
+    by size; of larger ones' rests at least t elements must be common, so x's t - 1 most frequent ones need no search.
     """
-    x, y, p, t = F.col("x"), F.col("y"), F.col("p"), F.col("t")
-    loose = arms.where(~F.col("linked")).select("hub", F.col("node").alias("a"), F.col("size").alias("x"), F.col("shared").alias("p"), "rest")
-    low, high = x * similarity - 1e-6, F.least(x / similarity, p * ((1 + similarity) / similarity) - x) + 1e-6
-    sized = loose.where(low <= high).select("hub", "a", "x", "p", F.explode(F.sequence(size_step(low), size_step(high))).alias("at"))
-    steps = arms.select("hub", F.col("node").alias("b"), F.col("size").alias("y"), size_step(F.col("size")).alias("at"))
+    x, y, p, q, t = (F.col(c) for c in "xypqt")
+    arms = arms.join(arms.groupBy("hub").agg(F.percentile_approx("size", 0.02).alias("usual")), "hub")
+    reach = F.least(F.col("size") / similarity, F.greatest(F.col("shared") * ((1 + similarity) / similarity) - F.col("size"), F.col("usual")))
+    loose = arms.where(~F.col("linked")).select("hub", F.col("node").alias("a"), F.col("size").alias("x"), F.col("shared").alias("p"), reach.alias("reach"), "rest")
+    low, high = x * similarity - 1e-6, F.col("reach") + 1e-6
+    may = (F.col("a") != F.col("b")) & (F.least("p", "q") + F.least(x - p, y - q) >= least_shared(x, y, similarity)) & (F.least("x", "y") >= F.greatest("x", "y") * similarity - 1e-6)
+
+    sized = loose.where(low <= high).select("hub", "a", "x", "p", "reach", F.explode(F.sequence(size_step(low), size_step(high))).alias("at"))
+    steps = arms.select("hub", F.col("node").alias("b"), F.col("size").alias("y"), F.col("shared").alias("q"), size_step(F.col("size")).alias("at"))
     sized = saved(sized.join(steps.groupBy("hub", "at").agg(F.count(F.lit(1)).alias("n")), ["hub", "at"]))
-    by_size = sized.join(steps, ["hub", "at"]).where((F.col("a") != F.col("b")) & (y >= low) & (y <= high)).select("a", "b")
+    by_size = sized.join(steps, ["hub", "at"]).where(may & (y >= low) & (y <= high)).select("a", "b")
 
     rests = arms.select("hub", F.col("node").alias("b"), F.col("size").alias("y"), F.col("shared").alias("q"), F.explode("rest").alias("at"))
     spread = rests.groupBy("hub", "at").agg(F.count(F.lit(1)).alias("n"))
-    own = loose.select("hub", "a", "x", "p", F.explode("rest").alias("at")).join(spread, ["hub", "at"])
-    sought = F.greatest(F.ceil(x * similarity - p - 1e-6), F.lit(1)).cast("int")
-    own = own.groupBy("hub", "a", "x", "p").agg(F.sort_array(F.collect_list(F.struct("n", "at"))).alias("own")).withColumn("t", sought)
+    own = loose.select("hub", "a", "x", "p", "reach", F.explode("rest").alias("at")).join(spread, ["hub", "at"])
+    sought = F.greatest(F.ceil(least_shared(x, F.greatest(x * similarity, F.col("reach")), similarity) - p), F.lit(1)).cast("int")
+    own = own.groupBy("hub", "a", "x", "p", "reach").agg(F.sort_array(F.collect_list(F.struct("n", "at"))).alias("own")).withColumn("t", sought)
     own = own.select("hub", "a", "x", "p", "t", F.inline(F.slice("own", F.lit(1), F.greatest(F.size("own") - t + 1, F.lit(0)))))
     own = saved(own.where("n > 1"))
-    common = own.join(rests, ["hub", "at"]).where(F.col("a") != F.col("b")).groupBy("hub", "a", "b", "x", "y", "p", "q", "t").agg(F.count(F.lit(1)).alias("k"))
-    enough = (F.col("k") + t - 1 + F.least("p", "q") >= least_shared(x, y, similarity)) & (F.least("x", "y") >= F.greatest("x", "y") * similarity - 1e-6)
-    found = by_size.unionByName(common.where(enough).select("a", "b"))
+    common = own.join(rests, ["hub", "at"]).where(may).groupBy("hub", "a", "b", "x", "y", "p", "q", "t").agg(F.count(F.lit(1)).alias("k"))
+    found = by_size.unionByName(common.where(F.col("k") + t - 1 + F.least("p", "q") >= least_shared(x, y, similarity)).select("a", "b"))
     cost = sum(df.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] for df in (sized, own))
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), cost
 

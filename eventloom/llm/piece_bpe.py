@@ -28,6 +28,8 @@ from pyspark.sql import types as T
 from .words import Store, encoded
 
 SPACE = "▁"
+#: Distinct units a worker keeps: a worker may hold the state of other operators too.
+UNITS_KEPT = 300_000
 _far = np.iinfo(np.int32).max
 _UNITS = re.compile(r" *[^ \n]+| +|\n")
 
@@ -251,7 +253,7 @@ def model(path: str) -> Model:
 
 @lru_cache(2)
 def store(path: str) -> Store:
-    return Store(model(path).encode, model(path).end_id)
+    return Store(model(path).encode, model(path).end_id, UNITS_KEPT)
 
 
 def with_pieces(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
