@@ -4,13 +4,15 @@ Three transducers compose over the words of a clause:
 
 * the lexicon reads a word letter by letter and accepts stems: insults, threats, targets, negations,
   reporting verbs.  Insult and threat stems carry weights; besides a seed list they are learned from
-  labelled rows, as the log odds of the documents that hold the stem;
+  labelled rows, as the log odds of the documents that hold the stem.  A learned stem that begins with a
+  threat seed is a threat, any other an insult;
 * the context machine walks the classes and knows whether a word stands under a negation (a few words
   back) or in reported speech (up to the clause's end);
-* the target machine knows whether the clause names someone.
+* the target machine knows whether the clause names someone; a threat stem is a threat only then.
 
-A clause scores by the matches in it, told apart as plain, negated, reported and aimed; what each kind
-counts is learned too, by a small logistic regression over the clause scores.
+A clause scores by the matches in it, told apart as plain, negated, reported and aimed; a plain threat
+counts as a plain match and as a threat besides.  What each kind counts is learned too, by a small
+logistic regression over the clause scores.
 
 Defined results: null and empty texts score as texts without a match; texts are read whole; rows
 with null ids are scored and never learned from; null labels are skipped, and of repeated labels of
@@ -48,15 +50,19 @@ REJECT = 0.7
 # Seed stems by class.
 SEED = {
     "insult": "idiot moron stupid pathetic worthless loser$ scum$ trash$ clown$ disgusting imbecile bastard$ dumbass$ retard".split(),
-    "threat": "kill$ murder$ hurt$ destroy$ strangle$".split(),
+    "threat": "kill$ murder$ hurt$ destroy$ strangle$ shoot$ stab$ behead$ töten$ töte$ umbringen$ ermorden$ erschießen$ tuer$ tuerai$ égorger$ étrangler$ matar$ mataré$ asesinar$ degollar$".split(),
     "target": "you your$ yours$ he$ she$ they$ him$ her$ them$ vous$ tu$ toi$ du$ dich$ ihr$ sie$ usted$ ustedes$ ellos$".split(),
     "negation": "not$ never$ no$ isn$ aren$ wasn$ nicht$ kein nie$ pas$ jamais$ nunca$ tampoco$".split(),
     "report": "said$ says$ quoted$ wrote$ claimed$ according$ sagte$ schrieb$ dit$ disait$ dijo$ escribió$".split(),
 }
+#: The weight of a threat seed is that without a target in its clause; with one it is THREAT_WEIGHT.
 SEED_WEIGHT = {"insult": 4.0, "threat": 0.25}
-#: What the kinds count before anything is learned: bias, then the features in order.
+THREAT_WEIGHT = 4.0
+#: What the kinds count before anything is learned: bias, then the features in order, then the threats.
+#: A negated or reported match counts for a small part of a plain one.
 FEATURES = ("plain", "aimed", "negated", "reported", "clauses")
-PRIOR = (-3.0, 2.2, 0.2, 1.8, 1.8, 0.2)
+THREATS = ("threat",)
+PRIOR = (-3.0, 2.2, 0.4, 0.4, 0.4, 0.2, 1.6)
 #: Strength of that prior, as a penalty on the distance from it.
 RIDGE = 0.5
 NEGATION_REACH = 3
@@ -66,17 +72,22 @@ _word = re.compile(r"\w+")
 
 
 class Grammar:
-    """The composed transducers: an automaton over all weighted stems, and the machines over a clause."""
+    """The composed transducers: an automaton over all weighted stems, and the machines over a clause.
 
-    def __init__(self, stems: dict[str, float]):
+    threats has the stems that with a target in the clause are threats, and their weights then.
+    """
+
+    def __init__(self, stems: dict[str, float], threats: dict[str, float] | None = None):
         import ahocorasick
 
+        threats = threats or {}
+        both = {s: (stems.get(s, 0.0), threats.get(s, 0.0)) for s in {**stems, **threats}}
         self.find = ahocorasick.Automaton()
-        for stem, weight in stems.items():
+        for stem in both:
             self.find.add_word(stem.rstrip("$"), (stem.rstrip("$"), []))
-        self.any = bool(stems)
-        for stem, weight in stems.items():
-            self.find.get(stem.rstrip("$"))[1].append((stem.endswith("$"), weight))
+        self.any = bool(both)
+        for stem, weights in both.items():
+            self.find.get(stem.rstrip("$"))[1].append((stem.endswith("$"), *weights))
         if self.any:
             self.find.make_automaton()
         self.context: dict[str, list[tuple[str, bool]]] = defaultdict(list)
@@ -92,24 +103,25 @@ class Grammar:
             self.classes[word] = next((k for k, stems in self.context.items() if any(word == s if whole else word.startswith(s) for s, whole in stems)), "")
         return self.classes[word]
 
-    def accepted(self, low: str) -> dict[int, float]:
-        """Start of each word that the lexicon accepts, with its best weight."""
-        out: dict[int, float] = {}
+    def accepted(self, low: str) -> dict[int, tuple[float, float]]:
+        """Start of each word that the lexicon accepts, with its best weight and its best as a threat."""
+        out: dict[int, tuple[float, float]] = {}
         if self.any:
             for end, (stem, readings) in self.find.iter(low):
                 start = end + 1 - len(stem)
                 if start and (low[start - 1].isalnum() or low[start - 1] == "_"):
                     continue
                 after = low[end + 1:end + 2]
-                for whole, weight in readings:
-                    if not (whole and after and (after.isalnum() or after == "_")) and weight > out.get(start, 0.0):
-                        out[start] = weight
+                for whole, weight, threat in readings:
+                    if not (whole and after and (after.isalnum() or after == "_")):
+                        best = out.get(start, (0.0, 0.0))
+                        out[start] = max(weight, best[0]), max(threat, best[1])
         return out
 
     def features(self, text: str) -> list[float]:
         """Sums of match weights by kind over all clauses, dampened, and the clauses with a match."""
         low = text.lower()
-        total = dict.fromkeys(FEATURES, 0.0)
+        total = dict.fromkeys(FEATURES + THREATS, 0.0)
         hits = self.accepted(low)
         done = 0
         for first in sorted(hits):
@@ -119,7 +131,7 @@ class Grammar:
             end = m.start() if (m := _clause_end.search(low, first)) else len(low)
             done = end
             negated_for, reported, aimed = 0, False, False
-            matched: list[tuple[str, float]] = []
+            matched: list[tuple[str, tuple[float, float]]] = []
             for w in _word.finditer(low, before, end):
                 kind = self.word_class(w[0])
                 if w.start() in hits:
@@ -130,18 +142,26 @@ class Grammar:
                     negated_for -= 1
                 reported |= kind == "report"
                 aimed |= kind == "target"
-            for kind, weight in matched:
-                total[kind] += weight
-            if aimed:
-                total["aimed"] += sum(w for k, w in matched if k == "plain")
+            for kind, (weight, threat) in matched:
+                total[kind] += max(weight, threat) if aimed else weight
+                if aimed and kind == "plain":
+                    total["aimed"] += max(weight, threat)
+                    total["threat"] += threat
             total["clauses"] += 1
-        return [math.log1p(total[k]) for k in FEATURES]
+        return [math.log1p(total[k]) for k in FEATURES + THREATS]
 
 
 @lru_cache(4)
 def grammar(stems: str) -> Grammar:
     """One grammar a worker process and model."""
-    return Grammar(json.loads(stems))
+    weights = json.loads(stems)
+    return Grammar(weights, threats_of(weights))
+
+
+def threats_of(stems: dict[str, float]) -> dict[str, float]:
+    """The threats among stems, seeds and learned ones: those that begin with a threat seed."""
+    seeds = tuple(s.rstrip("$") for s in SEED["threat"])
+    return {s: max(w, THREAT_WEIGHT) for s, w in stems.items() if s.startswith(seeds)}
 
 
 def held_out(doc_id: str) -> Column:
@@ -205,7 +225,7 @@ def features_of(stems: str):
 def regression(x: np.ndarray, y: np.ndarray) -> list[float]:
     """Logistic regression held near PRIOR: Newton's steps, halved until the loss falls, so that none overshoots."""
     x = np.column_stack([np.ones(len(x)), x]) if len(x) else np.zeros((0, len(PRIOR)))
-    prior = np.array(PRIOR)
+    prior = np.array(PRIOR[:x.shape[1]])  # x may end before the threats
 
     def loss(w: np.ndarray) -> float:
         z = x @ w

@@ -417,6 +417,15 @@ def test_toxicity_grammar_tells_kinds_of_clauses():
     assert g.features("Not this. Idiots!")[f["plain"]] > 0  # a negation ends with its clause
 
 
+def test_toxicity_threats_count_with_a_target_and_context_reduces_a_match(spark):
+    texts = ["I will kill you.", "Kill the process.", "I will not kill you.", "She said I will kill you.", "You are an idiot.", "You are not an idiot.", "She said idiot.", "Ich werde dich töten."]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    got = [r.score for r in toxicity.scored(df, toxicity.fit(df, labels)).orderBy("doc_id").collect()]
+    assert [s >= toxicity.REJECT for s in got] == [True, False, False, False, True, False, False, True]
+    assert toxicity.threats_of({"killing": 5.0, "idiot": 4.0, "kill$": 0.25}) == {"killing": 5.0, "kill$": toxicity.THREAT_WEIGHT}
+
+
 # 10: SentencePiece
 
 
