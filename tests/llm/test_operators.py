@@ -136,6 +136,15 @@ def test_line_dedup(spark, empty):
     assert not [x for x in lines.without_boilerplate(df)._jdf.queryExecution().executedPlan().toString().split() if "Python" in x or "Arrow" in x]
 
 
+def test_line_dedup_takes_lines_on_one_page_in_a_hundred(spark):
+    own = [f"line {i}" for i in range(1000)]
+    texts = [x + "\nAll rights reserved." * (i % 100 == 0) + "\nquoted four times" * (i % 250 == 1) for i, x in enumerate(own)]
+    df = spark.createDataFrame([(i, "h", t) for i, t in enumerate(texts)], "doc_id long, source string, text string")
+    got = {r.doc_id: r for r in lines.without_boilerplate(df).collect()}
+    assert [got[i].text for i in range(1000)] == [t.replace("\nAll rights reserved.", "") for t in texts]
+    assert sum(r.el_lines_dropped for r in got.values()) == 10
+
+
 # 3: near-dedup
 
 
