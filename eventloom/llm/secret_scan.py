@@ -1,9 +1,12 @@
 """Secret scans: fixed patterns plus sliding-window Shannon entropy per character class.
 
-Candidate strings are maximal runs of token characters.  Over each a window slides; the entropy of
-the window comes from incremental counts (one character enters, one leaves), for the class of the
-candidate: hex or base64.  Windows above the class's bits per character merge into a span.  An
-allow-list suppresses candidates that look random without being secret.
+Candidate strings are maximal runs of token characters, split at = / - _ into parts.  In each part a
+window slides over the maximal runs of each class's alphabet (hex, letters of one case with digits,
+base64); its entropy comes from incremental counts (one character enters, one leaves).  Windows with the
+bits per character of their class and length merge into a span; runs shorter than the long window take
+the short one.  The whole candidate is read as base64 too, as base64 may hold the separators.  An
+allow-list, and a least number of changes between letters and digits where the bits asked for are few,
+suppress candidates that look random without being secret.
 
 Defined results: null and empty texts have no spans; texts are scanned whole, however long; repeated
 rows each get their spans; an empty table gives an empty result; other columns are not touched.
@@ -21,11 +24,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Kinds in the order in which spans of one start are listed.
-KINDS = ("assign", "access", "hex", "entropy_hex", "entropy_base64")
+KINDS = ("assign", "access", "hex", "entropy_hex", "entropy_base64", "entropy_alnum")
 BASE_KINDS = KINDS[:3]
-#: Window and bits per character by class.
-WINDOW = {"hex": 24, "base64": 24}
-BITS = {"hex": 3.2, "base64": 4.15}
+#: Bits per character by class and window: what at least 98 in 100 random windows of the class have.
+BITS = {"hex": {24: 3.0, 16: 2.65}, "alnum": {24: 3.6, 16: 3.1}, "base64": {24: 3.85, 16: 3.3}}
+#: Bits and window of a whole candidate read as base64.
+WHOLE_BITS, WHOLE_WINDOW = 4.15, 24
+#: Runs of a class, and changes between letters and digits that each has at least.
+RUN = {"hex": re.compile(r"[0-9a-fA-F]{16,}"), "alnum": re.compile(r"[a-z0-9]{16,}|[A-Z0-9]{16,}"), "base64": re.compile(r"[A-Za-z0-9+]{16,}")}
+LEAST_CHANGES = {"hex": 1, "alnum": 3, "base64": 2}
 #: Candidates that are not secrets, by full match: words of letters alone in ordinary case, numbers,
 #: paths and dotted names of such words, and UUIDs.
 ALLOWED = re.compile(
@@ -38,6 +45,8 @@ ALLOWED = re.compile(
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")  # maximal runs: a shorter one is no match and holds no longer one
+_part = re.compile(r"[^=/_-]{16,}")
+_change = re.compile(r"(?<=[0-9])(?=[A-Za-z])|(?<=[A-Za-z])(?=[0-9])")
 ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
 _code = np.zeros(128, bool)
@@ -78,6 +87,33 @@ def entropy_spans(token: str, window: int, bits: float) -> list[tuple[int, int]]
     return spans
 
 
+def candidate_spans(token: str) -> list[tuple[int, int, str]]:
+    """(start, end, class) of the entropy spans of one candidate, those of a class merged."""
+    found: dict[str, list[tuple[int, int]]] = {k: [] for k in BITS}
+    if not _hexes.issuperset(token):
+        found["base64"] += entropy_spans(token, WHOLE_WINDOW, WHOLE_BITS)
+    for part in _part.finditer(token):
+        if ALLOWED.fullmatch(part[0]):
+            continue
+        taken: set[tuple[int, int]] = set()  # a run is read once, in the narrowest class
+        for kind, runs in RUN.items():
+            for m in runs.finditer(part[0]):
+                if m.span() not in taken and sum(1 for _ in _change.finditer(m[0])) >= LEAST_CHANGES[kind]:
+                    a, window = part.start() + m.start(), 24 if len(m[0]) >= 24 else 16
+                    found[kind] += [(a + x, a + y) for x, y in entropy_spans(m[0], window, BITS[kind][window])]
+                taken.add(m.span())
+    out = []
+    for kind, spans in found.items():
+        last = -1
+        for a, b in sorted(spans):
+            if a <= last:
+                out[-1] = (out[-1][0], max(out[-1][1], b), kind)
+            else:
+                out.append((a, b, kind))
+            last = out[-1][1]
+    return out
+
+
 def spans_of(text: str) -> list[tuple[int, int, str]]:
     """(start, order of the kind, end) of every span of one text."""
     found = []
@@ -87,14 +123,13 @@ def spans_of(text: str) -> list[tuple[int, int, str]]:
     if "AKIA" in text:
         found += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text) if m.end() - m.start() >= 16]
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-    for a, b in runs_of(_code[np.minimum(codes, 127)] & (codes < 128), min(WINDOW.values())):
+    for a, b in runs_of(_code[np.minimum(codes, 127)] & (codes < 128), 16):
         token = text[a:b]
         if b - a >= 32:
             found += [(a + m.start(), 2, a + m.end()) for m in HEX.finditer(token)]
         if ALLOWED.fullmatch(token):
             continue
-        kind = "hex" if _hexes.issuperset(token) else "base64"
-        found += [(a + x, 3 + (kind == "base64"), a + y) for x, y in entropy_spans(token, WINDOW[kind], BITS[kind])]
+        found += [(a + x, KINDS.index(f"entropy_{kind}"), a + y) for x, y, kind in candidate_spans(token)]
     return sorted(found)
 
 

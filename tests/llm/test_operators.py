@@ -306,6 +306,18 @@ def test_secret_scan(spark, docs, rows, empty):
     assert secret_scan.with_secrets(empty).count() == 0
 
 
+def test_secrets_joined_to_words_and_of_each_class():
+    rng = random.Random(9)
+    hexes = {n: "".join(rng.choice("0123456789abcdef") for _ in range(n)) for n in (20, 28, 64)}
+    for t, secret, kind in (("key=" + hexes[64].upper(), hexes[64].upper(), "entropy_hex"), ("sig=" + hexes[28], hexes[28], "entropy_hex"), (f"user-{hexes[20]}_x", hexes[20], "entropy_hex")):
+        assert (t.index(secret), secret_scan.KINDS.index(kind), t.index(secret) + len(secret)) in secret_scan.spans_of(t), t
+    lower, mixed = "abcdefghijklmnopqrstuvwxyz0123456789", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    for alphabet, n, least in ((lower, 24, 0.95), (lower, 32, 0.95), (lower, 40, 0.95), (mixed, 24, 0.93), (mixed, 16, 0.75)):
+        assert np.mean([bool(secret_scan.spans_of("id " + "".join(rng.choice(alphabet) for _ in range(n)))) for _ in range(400)]) >= least, (alphabet, n)
+    for t in ("AbstractBeanFactoryProvider2", "id=550e8400-e29b-41d4-a716-446655440000", "number=12345678901234567890123456", "src/main/UserProfileView2/InternationalMessages", "internationalisation2024"):
+        assert not secret_scan.spans_of(t), t
+
+
 def test_incremental_entropy_equals_counting_anew():
     rng = random.Random(9)
     token = "".join(rng.choice("abcdefABCDEF0123456789+/") for _ in range(300)) + "a" * 60
