@@ -9,14 +9,16 @@ process stops once its time is past the document's latest component.
 
 Bands of the signature give candidate buckets, the bags' overlap verifies every candidate pair, and
 connected components of the verified links are the classes.  In a large bucket the most central member
-is compared with all others first; then the members it does not link are compared with those that what
-they share with that member, and with each other beside it, lets be similar.  So a large group of near
-copies costs a star, and no link between different texts that share a bucket is lost.
+is compared with all others first.  Where a bucket then still holds several components, members of
+different ones are compared if they share a shingle that is rare enough: as bags are similar only if
+they share most, they must share one of their rarest.  So a large group of near copies costs a star, a
+passage that many texts share costs nothing, and no link between different texts of a bucket is lost.
 
 Defined results: a null text is the empty text; texts of fewer than five words are one shingle of
 all their words, texts without words none (they are a class only with equal texts); equal texts are
 always one class; the class id is the least document id of the class (null only if all are null);
-repeated rows are in one class; an empty table gives an empty result.
+repeated rows are in one class; texts are read whole, however long; an empty table gives an empty
+result.  Only the named columns are read, and one_of_each() keeps the others whatever their names.
 """
 
 from __future__ import annotations
@@ -29,17 +31,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import broadcast_if_small, saved
+from .shared import broadcast_if_small, fresh, saved
 from .words import list_array, slices
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 24, 4
 #: Buckets of up to so many members are compared in full.
 SMALL = 9
-#: Rows a member it may take to find what one hub leaves; beyond them more hubs go first.
-ROWS_PER_MEMBER = 32
-#: A star round more for the buckets as long as the pairs left to compare exceed so many a member.
-PAIRS_PER_MEMBER, STAR_ROUNDS = 8, 6
 WORDS_KEPT = 200_000
 
 _word = re.compile(r"\w+")
@@ -152,9 +150,12 @@ def _band_keys(texts: pa.Array) -> pa.Array:
 
 @F.arrow_udf(T.ArrayType(T.LongType()))
 def _bag(texts: pa.Array) -> pa.Array:
-    bags = [bag(t or "") for t in texts.to_pylist()]
-    flat = np.concatenate(bags) if bags else np.zeros(0, np.int64)
-    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum([len(b) for b in bags])).astype(np.int32)), pa.array(flat))
+    parts = []
+    for run in slices(texts, 1_000_000):
+        bags = [bag(t) for t in run]
+        flat = np.concatenate([np.zeros(0, np.int64), *bags])
+        parts.append(pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum([len(b) for b in bags])).astype(np.int32)), pa.array(flat)))
+    return pa.concat_arrays(parts)
 
 
 def node_of(text: str) -> Column:
@@ -185,74 +186,74 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("comp")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("comp")).distinct())
 
 
+def least_shared(x: Column, y: Column, similarity: float) -> Column:
+    """What two bags of these sizes must share to be similar: the multiset intersection over the union."""
+    return F.ceil((x + y) * (similarity / (1 + similarity)) - 1e-6)
+
+
 def verified(pairs: DataFrame, bags: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) whose bags overlap by at least similarity: multiset intersection over union."""
+    """The pairs (a, b) whose bags overlap by at least similarity."""
     a = bags.select(F.col("node").alias("a"), F.col("bag").alias("bag_a"))
     b = bags.select(F.col("node").alias("b"), F.col("bag").alias("bag_b"))
     x, y = F.size("bag_a"), F.size("bag_b")
-    close = pairs.join(b, "b").join(a, "a").where(F.least(x, y) >= F.greatest(x, y) * similarity - 1e-9)
-    shared = F.size(F.array_intersect("bag_a", "bag_b"))
-    return close.withColumn("shared", shared).where(F.col("shared") >= (x + y - F.col("shared")) * similarity - 1e-9).select("a", "b")
+    close = pairs.join(b, "b").join(a, "a").where(F.least(x, y) >= F.greatest(x, y) * similarity - 1e-6)
+    return close.where(F.size(F.array_intersect("bag_a", "bag_b")) >= least_shared(x, y, similarity)).select("a", "b")
 
 
-def least_shared(x: Column, y: Column, similarity: float) -> Column:
-    """What two bags of these sizes must share to be similar."""
-    return (x + y) * (similarity / (1 + similarity)) - 1e-6
+def open_nodes(members: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, comp) of the buckets' members, for the buckets that hold several components of links, saved.
+
+    A component counts once in a bucket, so no bucket's members are gathered.
+    """
+    comps = components(links)
+    placed = saved(members.join(comps, "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp")))
+    ends = placed.groupBy("key").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).where("least < most")
+    return saved(placed.join(ends.select("key"), "key", "left_semi").select("node", "comp").distinct())
 
 
 def size_step(size: Column) -> Column:
-    """Sizes in steps of 2 %, so that those of a range are a few equal keys."""
-    return F.floor(F.log(F.greatest(size, F.lit(1.0))) / F.log(F.lit(1.02))).cast("int")
+    """Sizes in steps of 5 %, so that those of a range are a few equal keys."""
+    return F.floor(F.log(F.greatest(size, F.lit(1.0))) / F.log(F.lit(1.05))).cast("int")
+
 
+def rare_first(nodes: DataFrame, bags: DataFrame, similarity: float) -> DataFrame:
+    """(node, comp, size, at, el): each bag's rarest elements with their places, those that no other bag has left out.
 
-def arms_of(spokes: DataFrame, bags: DataFrame, similarity: float) -> DataFrame:
-    """Each spoke (hub, node) compared: size, what it shares with its hub, its rest, whether it is linked."""
-    hub = bags.select(F.col("node").alias("hub"), F.col("bag").alias("hub_bag"))
-    rest = F.array_except("bag", "hub_bag")
-    size, hub_size, shared = F.size("bag"), F.size("hub_bag"), F.size("bag") - F.size("rest")
-    return (
-        spokes.join(bags, "node").join(hub, "hub").withColumn("rest", rest)
-        .select("hub", "node", size.alias("size"), shared.alias("shared"), "rest", (shared >= (size + hub_size - shared) * similarity - 1e-9).alias("linked"))
-    )
+    Bags that share all they must share have one of these elements in common: beside the places up to
+    size - shared + 1 there is not room for it all.
+    """
+    each = nodes.join(bags, "node").select("node", "comp", F.size("bag").alias("size"), F.explode("bag").alias("el"))
+    often = each.groupBy("el").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    own = each.join(often, "el").groupBy("node", "comp", "size").agg(F.sort_array(F.collect_list(F.struct("n", "el"))).alias("own"))
+    alone, room = F.col("size") - F.size("own"), F.col("size") - F.ceil(F.col("size") * similarity - 1e-6) + 1
+    first = F.slice("own", F.lit(1), F.greatest(room - alone, F.lit(0)).cast("int"))
+    return own.select("node", "comp", "size", alone.alias("alone"), F.posexplode(first).alias("i", "e")).select("node", "comp", "size", (F.col("alone") + F.col("i") + 1).alias("at"), F.col("e.el").alias("el"))
 
 
-def loose_pairs(arms: DataFrame, similarity: float) -> tuple[DataFrame, int]:
-    """Pairs (a, b) of one hub that may be similar though a is not linked to the hub, and the rows it takes to find them.
+def pairs_by_rare(nodes: DataFrame, bags: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of different components that may be similar: those with a rare element in common.
 
-    x and y share at most what both share with the hub, and what their rests share.  Small partners are found
-    by size; of larger ones' rests at least t elements must be common, so x's t - 1 most frequent ones need no search.
+    The element must stand far enough in front in both bags to leave room for what they must share.  The
+    larger bag of a pair meets the smaller one by the element and the step of the smaller one's size.
     """
-    x, y, p, q, t = (F.col(c) for c in "xypqt")
-    arms = arms.join(arms.groupBy("hub").agg(F.percentile_approx("size", 0.02).alias("usual")), "hub")
-    reach = F.least(F.col("size") / similarity, F.greatest(F.col("shared") * ((1 + similarity) / similarity) - F.col("size"), F.col("usual")))
-    loose = arms.where(~F.col("linked")).select("hub", F.col("node").alias("a"), F.col("size").alias("x"), F.col("shared").alias("p"), reach.alias("reach"), "rest")
-    low, high = x * similarity - 1e-6, F.col("reach") + 1e-6
-    may = (F.col("a") != F.col("b")) & (F.least("p", "q") + F.least(x - p, y - q) >= least_shared(x, y, similarity)) & (F.least("x", "y") >= F.greatest("x", "y") * similarity - 1e-6)
-
-    sized = loose.where(low <= high).select("hub", "a", "x", "p", "reach", F.explode(F.sequence(size_step(low), size_step(high))).alias("at"))
-    steps = arms.select("hub", F.col("node").alias("b"), F.col("size").alias("y"), F.col("shared").alias("q"), size_step(F.col("size")).alias("at"))
-    sized = saved(sized.join(steps.groupBy("hub", "at").agg(F.count(F.lit(1)).alias("n")), ["hub", "at"]))
-    by_size = sized.join(steps, ["hub", "at"]).where(may & (y >= low) & (y <= high)).select("a", "b")
-
-    rests = arms.select("hub", F.col("node").alias("b"), F.col("size").alias("y"), F.col("shared").alias("q"), F.explode("rest").alias("at"))
-    spread = rests.groupBy("hub", "at").agg(F.count(F.lit(1)).alias("n"))
-    own = loose.select("hub", "a", "x", "p", "reach", F.explode("rest").alias("at")).join(spread, ["hub", "at"])
-    sought = F.greatest(F.ceil(least_shared(x, F.greatest(x * similarity, F.col("reach")), similarity) - p), F.lit(1)).cast("int")
-    own = own.groupBy("hub", "a", "x", "p", "reach").agg(F.sort_array(F.collect_list(F.struct("n", "at"))).alias("own")).withColumn("t", sought)
-    own = own.select("hub", "a", "x", "p", "t", F.inline(F.slice("own", F.lit(1), F.greatest(F.size("own") - t + 1, F.lit(0)))))
-    own = saved(own.where("n > 1"))
-    common = own.join(rests, ["hub", "at"]).where(may).groupBy("hub", "a", "b", "x", "y", "p", "q", "t").agg(F.count(F.lit(1)).alias("k"))
-    found = by_size.unionByName(common.where(F.col("k") + t - 1 + F.least("p", "q") >= least_shared(x, y, similarity)).select("a", "b"))
-    cost = sum(df.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] for df in (sized, own))
-    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), cost
+    rare = saved(rare_first(nodes, bags, similarity))
+    x, y, need = F.col("x"), F.col("y"), least_shared(F.col("x"), F.col("y"), similarity)
+    most = F.least(F.col("size"), (F.col("size") + 1 - F.col("at")) * ((1 + similarity) / similarity) - F.col("size") + 1e-6)
+    least = F.col("size") * similarity - 1e-6
+    large = rare.where(least <= most).select("el", F.col("node").alias("b"), F.col("comp").alias("comp_b"), F.col("size").alias("x"), F.col("at").alias("at_x"), F.explode(F.sequence(size_step(least), size_step(most))).alias("step"))
+    small = rare.where(F.col("at") <= F.col("size") - least_shared(F.col("size"), F.col("size"), similarity) + 1)
+    small = small.select("el", F.col("node").alias("a"), F.col("comp").alias("comp_a"), F.col("size").alias("y"), F.col("at").alias("at_y"), size_step(F.col("size")).alias("step"))
+    may = (F.col("comp_a") != F.col("comp_b")) & ((y < x) | ((y == x) & (F.col("a") < F.col("b")))) & (y >= x * similarity - 1e-6) & (F.col("at_x") <= x - need + 1) & (F.col("at_y") <= y - need + 1)
+    return large.join(small, ["el", "step"]).where(may).select("a", "b").distinct()
 
 
 def links_of(docs: DataFrame, doc_id: str, text: str, similarity: float) -> DataFrame:
     """Verified links (a, b) between nodes, enough to connect every class.
 
     Buckets of up to SMALL members are compared in full.  In a larger one the member that has most
-    company in all its buckets is the hub, compared with the rest; members that it does not link are
-    then compared with those that what they share with the hub, and with each other beside it, lets be similar.
+    company in all its buckets is the hub, compared with the rest.  Where that leaves a bucket with more
+    than one component, its members are compared with those of other components with which they share a
+    rare shingle, as all similar ones do.
     """
     raw = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("node", node_of("text"))
     rows = saved(raw.select("node", F.explode(_band_keys("text")).alias("key")).distinct())
@@ -266,47 +267,14 @@ def links_of(docs: DataFrame, doc_id: str, text: str, similarity: float) -> Data
 
     few, many = members.where(F.col("n") <= SMALL), members.where(F.col("n") > SMALL)
     one, two = few.select("key", F.col("node").alias("a")), few.select("key", F.col("node").alias("b"))
-    tried = one.join(two, "key").where("a < b").select("a", "b").distinct()
+    tried = one.join(two, "key").where("a < b").select("a", "b")
 
     company = many.groupBy("node").agg(F.sum("n").alias("company"))
     many = saved(many.select("key", "node").join(company, "node"))
     hubs = many.groupBy("key").agg(F.max_by("node", F.struct("company", "node")).alias("hub"))
-    spokes = many.join(hubs, "key").where("node <> hub").select("hub", "node").distinct()
-    arms = saved(arms_of(spokes, bags, similarity))
-    links = arms.where("linked").select(F.col("hub").alias("a"), F.col("node").alias("b"))
-
-    pairs, cost = loose_pairs(arms, similarity)
-    if cost <= ROWS_PER_MEMBER * many.count():
-        return saved(links.unionByName(verified(tried.unionByName(pairs).distinct(), bags, similarity)))
-    links = saved(links.unionByName(verified(tried, bags, similarity)))
-    return links_by_stars(many.select("key", "node"), links, bags, similarity)
-
-
-def links_by_stars(members: DataFrame, links: DataFrame, bags: DataFrame, similarity: float) -> DataFrame:
-    """links, and those still missing between members of a bucket, where one hub leaves too many pairs.
-
-    After components are drawn only pairs of different ones are left; while they are many, another
-    member is compared with all of its bucket first; in the end the pairs that are left are compared all.
-    """
-    for star in range(STAR_ROUNDS + 1):
-        comps = saved(components(links))
-        placed = members.join(comps, "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp"))
-        groups = placed.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("k"))
-        open_keys = saved(groups.groupBy("key").agg(F.count(F.lit(1)).alias("comps"), F.sum("k").alias("n"), F.sum(F.col("k") * F.col("k")).alias("own")).where("comps > 1"))
-        left = open_keys.agg(F.sum((F.col("n") * F.col("n") - F.col("own")) / 2).alias("pairs"), F.sum("n").alias("n")).first()
-        if not left["n"]:
-            return links
-        placed = saved(placed.join(open_keys.select("key"), "key", "left_semi"))
-        if star == STAR_ROUNDS or left["pairs"] <= PAIRS_PER_MEMBER * left["n"]:
-            one = placed.select("key", F.col("node").alias("a"), F.col("comp").alias("comp_a"))
-            two = placed.select("key", F.col("node").alias("b"), F.col("comp").alias("comp_b"))
-            rest = one.join(two, "key").where("a < b and comp_a <> comp_b").select("a", "b").distinct()
-            return links.unionByName(saved(verified(rest, bags, similarity)))
-        order = F.struct(F.xxhash64("node", F.lit(star)), "node", "comp")
-        hubs = placed.groupBy("key").agg(F.min(order).alias("h")).select("key", F.col("h.node").alias("a"), F.col("h.comp").alias("comp_a"))
-        again = placed.join(hubs, "key").where("comp <> comp_a").select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
-        links = saved(links.unionByName(verified(again, bags, similarity)))
-    return links
+    spokes = many.join(hubs, "key").where("node <> hub").select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b"))
+    links = saved(verified(tried.unionByName(spokes).distinct(), bags, similarity))
+    return saved(links.unionByName(verified(pairs_by_rare(open_nodes(many.select("key", "node"), links), bags, similarity), bags, similarity)))
 
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
@@ -320,11 +288,13 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """docs with one row of each class: that of the class id (of equal ids the least text hash; of equal rows one)."""
+    key, first_id, first_node = fresh(docs, "el_key", "el_id", "el_node")
     found = classes(docs, doc_id, text, similarity)
-    first = found.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy("comp").agg(F.first("class_id").alias("el_id"), F.min("node").alias("el_node"), F.count(F.lit(1)).alias("el_n")).drop("comp")
-    first = saved(first)
-    more = first.where("el_n > 1").limit(1).count()
-    kept = docs.withColumn("el_key", node_of(text)).join(broadcast_if_small(first, F.lit(24)), F.col(doc_id).eqNullSafe(F.col("el_id")) & (F.col("el_key") == F.col("el_node")))
+    first = found.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy("comp").agg(F.first("class_id").alias(first_id), F.min("node").alias(first_node), F.count(F.lit(1)).alias("n"))
+    first = saved(first.drop("comp"))
+    more = not first.where("n > 1").isEmpty()
+    chosen = broadcast_if_small(first.drop("n"), F.lit(24))
+    kept = docs.withColumn(key, node_of(text)).join(chosen, F.col(doc_id).eqNullSafe(F.col(first_id)) & (F.col(key) == F.col(first_node)))
     if more:  # equal ids: rows of one id and one text are alike but for other columns
-        kept = kept.dropDuplicates(["el_id", "el_node"])
-    return kept.drop("el_id", "el_node", "el_n", "el_key")
+        kept = kept.dropDuplicates([first_id, first_node])
+    return kept.drop(key, first_id, first_node)

@@ -11,6 +11,19 @@ from pyspark.sql import functions as F
 #: A side is broadcast only if its rows, measured and not estimated, need no more than this.
 BROADCAST_BYTES = 32 << 20
 
+_made: list[str] = []
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Names like these that df does not have yet."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -19,15 +32,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """A fresh folder that driver and executors both see, below spark.checkpoint.dir.
 
-    Only where that setting is absent (tests, a laptop) is a local temporary folder used.
+    Only where that setting is absent and Spark runs in one process (tests, a laptop) is a local temporary
+    folder used; on a cluster its absence is an error, as executors would not find what others wrote.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = f"file://{tempfile.mkdtemp(prefix='eventloom-')}"
         spark.conf.set("spark.checkpoint.dir", base)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/eventloom-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/eventloom-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def discard(spark: SparkSession) -> int:
+    """Delete what this process has saved so far, once the results that read it are written.  Gives the number of folders."""
+    jvm, conf, n = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration(), len(_made)
+    while _made:
+        path = jvm.org.apache.hadoop.fs.Path(_made.pop())
+        path.getFileSystem(conf).delete(path, True)
+    return n
 
 
 def saved(df: DataFrame) -> DataFrame:
