@@ -13,7 +13,8 @@ reversible, as every backslash of an escaped string starts a pair.
 
 Defined results: a null text or role is empty; null turns sort first; equal turns are ordered by
 role, then content; a null conversation id is one conversation; unknown part types count as
-documents; an empty table gives an empty result.  Only the named columns are read.
+documents; texts are formatted whole, however long; an empty table gives an empty result.  Only the
+named columns are read, so others' names do no harm.
 """
 
 from __future__ import annotations
@@ -53,6 +54,12 @@ def part_kind(part: Column) -> Column:
     return F.when(part["type"] == "text", "text").when(part["type"].isin("image", "audio"), part["type"]).otherwise("document")
 
 
+def part_plain(part: Column) -> Column:
+    """What equal turns are ordered by: a text as it is, an attachment as its placeholder."""
+    kind = part_kind(part)
+    return F.when(kind == "text", F.coalesce(part["text"], F.lit(""))).otherwise(F.concat(F.lit("<"), kind, F.lit("/>")))
+
+
 def part_body(part: Column) -> Column:
     kind = part_kind(part)
     return F.when(kind == "text", escaped(F.coalesce(part["text"], F.lit("")))).otherwise(F.concat(F.lit("<"), kind, F.lit("/>")))
@@ -73,12 +80,13 @@ def formatted_chats(messages: DataFrame, conv_id: str = "conv_id", turn: str = "
     items = F.coalesce(F.col(parts), F.array().cast(f"array<{PART}>"))
     rows = messages.select(
         F.col(conv_id).alias("conv"), F.col(turn).alias("turn"), F.coalesce(F.col(role), F.lit("")).alias("role"),
+        F.array_join(F.transform(items, part_plain), "").alias("plain"),
         F.array_join(F.transform(items, part_body), "").alias("body"),
         F.transform(F.filter(items, lambda p: part_kind(p) != "text"), part_attachment).alias("attached"),
     )
     head = F.concat(F.lit("<turn:"), escaped_role(F.col("role")), F.lit(">\n"))
     rows = rows.withColumn("head", F.length(head)).withColumn("piece", F.concat(head, "body", F.lit(TURN_END)))
-    order = Window.partitionBy("conv").orderBy("turn", "role", "body")
+    order = Window.partitionBy("conv").orderBy("turn", "role", "plain", "body")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     placed = rows.select(
         "conv", "role", "piece", "attached", F.row_number().over(order).alias("n"),

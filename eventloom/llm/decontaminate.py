@@ -5,24 +5,27 @@ holds at least one piece unchanged.  An automaton finds all pieces of a block of
 document; hits of one item on near diagonals make a window, and Myers' bit-parallel algorithm gives
 the least edit distance in it.  Texts and items are compared as lower-case words.
 
-The items are a stated query set: they are read in blocks of BLOCK_CHARS, and each block passes over
-all documents, so what a task holds does not grow with the benchmark.
+The items are a stated query set: they are read in blocks of BLOCK_CHARS, one after another, and each
+block passes over all documents, so what a task or the driver holds does not grow with the benchmark.
 
 Defined results: a null or empty text matches nothing; an item without words is left out; an item
-shorter than two pieces must occur exactly, as whole words; repeated documents match each; items of
-equal words match each; an empty table on either side gives an empty result.
+shorter than two pieces must occur exactly, as whole words; texts are searched whole, however long; of
+occurrences with equally few edits the first is given; repeated documents match each; items of equal
+words match each; an empty table on either side gives an empty result.  Only the named columns are
+read, and without_leaks() keeps the others whatever their names.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import broadcast_if_small, saved
+from .shared import broadcast_if_small, fresh, saved
 
 #: Least characters of a piece: the budget is one edit for each piece but the first.
 PIECE_CHARS = 16
@@ -101,6 +104,9 @@ class Block:
             name, item = self.items[i]
             k, best = budget(item), None
             found.sort()
+            if not k:  # the piece is the item: its first occurrence as whole words
+                out += [(name, 0, a, a + len(item)) for a in found if self.whole(text, a, a + len(item))][:1]
+                continue
             a = 0
             while a < len(found):
                 b = a
@@ -113,7 +119,7 @@ class Block:
                     back = myers(item[::-1], part[:got[1]][::-1], got[0])
                     best = (got[0], low + got[1] - back[1], low + got[1])
                 a = b + 1
-            if best and (k or self.whole(text, best[1], best[2])):
+            if best:
                 out.append((name, *best))
         return out
 
@@ -122,6 +128,17 @@ class Block:
         return (a == 0 or text[a - 1] == " ") and (b == len(text) or text[b] == " ")
 
 
+_last: dict[str, Block] = {}
+
+
+def block_of(name: str, items: list[tuple[int, str]]) -> Block:
+    """The automaton of the block of this name, built once a worker process; only the last one is kept."""
+    if name not in _last:
+        _last.clear()
+        _last[name] = Block(items)
+    return _last[name]
+
+
 def matches(docs: DataFrame, bench: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", block_chars: int = BLOCK_CHARS) -> DataFrame:
     """One row per document and item found in it: doc_id, item_id, distance, start, end.
 
@@ -133,14 +150,11 @@ def matches(docs: DataFrame, bench: DataFrame, doc_id: str = "doc_id", text: str
     blocks = chars // block_chars + 1
     pairs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
 
-    def passed(block) -> DataFrame:
-        built: dict[str, Block] = {}
-
+    def passed(block, name: str) -> DataFrame:
         def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            if "block" not in built:
-                built["block"] = Block(block.value)
+            own = block_of(name, block.value)
             for batch in batches:
-                rows = [(d, *m) for d, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True) for m in built["block"].matches(plain(t.as_py()))]
+                rows = [(d, *m) for d, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True) for m in own.matches(plain(t.as_py()))]
                 cols = list(zip(*rows, strict=True)) or [()] * 5
                 kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32())
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["doc_id", "item_id", "distance", "start", "end"])
@@ -152,7 +166,11 @@ def matches(docs: DataFrame, bench: DataFrame, doc_id: str = "doc_id", text: str
         own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b) if blocks > 1 else items
         block = [(r["item_id"], words) for r in own.collect() if (words := plain(r["text"]))]
         if block:
-            part = passed(spark.sparkContext.broadcast(block))
+            sent = spark.sparkContext.broadcast(block)
+            part = passed(sent, uuid.uuid4().hex)
+            if blocks > 1:  # written before the next block is read
+                part = saved(part)
+                sent.destroy()
             found = part if found is None else found.unionByName(part)
     return found if found is not None else spark.createDataFrame([], SCHEMA)
 
@@ -162,6 +180,6 @@ def without_leaks(docs: DataFrame, bench: DataFrame, doc_id: str = "doc_id", tex
 
     The ids found are saved and measured: within the broadcast limit the texts stay where they are.
     """
-    leaks = saved(matches(docs, bench, doc_id, text, **names).select(F.col("doc_id").alias("el_leak")).distinct())
-    leaks = broadcast_if_small(leaks, F.lit(8))
-    return docs.join(leaks, F.col(doc_id) == F.col("el_leak"), "left_anti")
+    (leak,) = fresh(docs, "el_leak")
+    leaks = saved(matches(docs, bench, doc_id, text, **names).select(F.col("doc_id").alias(leak)).distinct())
+    return docs.join(broadcast_if_small(leaks, F.lit(8)), F.col(doc_id) == F.col(leak), "left_anti")

@@ -5,13 +5,14 @@ counts, the rules that replaced frequent id pairs, the expansion length of every
 sequence that is left.  A rule's two sides are ids or earlier rules (numbered on from RULE_BASE), so
 any document is decoded on its own: running sums of expansion lengths give the symbols that cover it.
 
-Re-Pair replaces the most frequent pair, over and over.  Here a round counts all pairs of the shard
-with numpy, takes the pairs within a factor of the most frequent one, and replaces them together
-(where two overlap, the more frequent one wins); rounds go on until no pair is frequent.
+Re-Pair replaces the most frequent pair, over and over.  Here a round counts the pairs that may be
+frequent with numpy, takes those within a factor of the most frequent one, and replaces them together
+(where two overlap, the more frequent one wins); rounds go on until no pair pays for its rule.
 
 Defined results: a null or empty text is stored as its end id alone; null document ids come first;
-documents of one id are ordered by the text's hash; a document is never split over shards, so one
-longer than SHARD_TOKENS has a shard of its own; an empty table gives an empty data set.
+documents of one id are ordered by the text's hash; repeated rows are stored each; a document is never
+split over shards, so a very long one closes the shard it is in; an empty table gives an empty data
+set.  Only the named columns are read, so others' names do no harm.
 """
 
 from __future__ import annotations
@@ -26,35 +27,34 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .shared import broadcast_if_small
-from .words import Store, list_array
+from .shared import broadcast_if_small, saved
+from .words import LITERAL, Store, encoded, list_array, unit_text
 
 SHARD_TOKENS = 1 << 18
 RULE_BASE = 1 << 20
-#: A pair this frequent in a shard becomes a rule; a round takes pairs down to 1/FACTOR of the best.
-LEAST, FACTOR = 24, 16
+#: A pair this frequent in a shard becomes a rule (a rule takes three numbers and an occurrence saves one);
+#: a round takes pairs down to 1/FACTOR of the best.
+LEAST, FACTOR = 8, 64
+#: Bits of the hash by which pairs are sieved, units encoded in one call, and bytes of units a worker keeps.
+SLOT_BITS, TOGETHER, UNITS_BYTES = 18, 512, 192 << 20
 SCHEMA = "part int, shard int, doc_ids array<bigint>, counts array<int>, n_tokens bigint, rules array<int>, lengths array<int>, sequence array<int>"
 
-#: White space other than a blank or a line break, by any library's reckoning, and the store's own marks.
-_ODD = re.compile(r"[\x00-\x09\x0b-\x1f\x7f-\xa0 ᠎ -‏ -  -⁤　﻿]|\s\s|\A\s|\s\Z")
+#: White space by any library's reckoning but ASCII, and all of it with control characters.
+_SPACES = "\x7f-\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u2064\u3000\ufeff"
+_WIDE = rf"\x00-\x20{_SPACES}"
+#: Texts that are cut in Python: those that hold other white space than single blanks and line breaks, or start or end with some.
+ODD = rf"[\x00-\x09\x0b-\x1f{_SPACES}]|[ \n][ \n]|\A[ \n]|[ \n]\z|\A\z"
+#: The library's first step never joins what no white space is to the white space after it.
+_cut = re.compile(rf"(?<=[^{_WIDE}])(?=[ \t\n\r])")
 
 
-def units_of(text: str) -> list[str]:
-    """Words as keys: 'w' is ' w', '\\nw' is itself, '\\x01...' is the rest literally.
-
-    The library's first step splits at white space before words, so words may be encoded apart.
-    A text with any white space but single blanks and line breaks is one unit.
-    """
-    if not text:
-        return []
-    if _ODD.search(text):
-        return ["\x01" + text]
-    first, *rest = text.replace("\n", " \n").split(" ")
-    return ["\x01" + first, *rest]
+#: Nor what is a letter or digit to these marks, so that a word with and without them is one unit.
+APART = ("([A-Za-z0-9\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f])([.,;:!?]+)([ \n]|\\z)", f"\\1 {LITERAL}\\2\\3")
 
 
-def unit_text(key: str) -> str:
-    return key[1:] if key[:1] == "\x01" else key if key[:1] == "\n" else " " + key
+def units_of(text: str) -> list[str]:
+    """The units of an odd text as keys of words.py: white space and the word after it."""
+    return [LITERAL + u for u in _cut.split(text)] if text else []
 
 
 @lru_cache(2)
@@ -66,64 +66,106 @@ def store(path: str, end_id: int) -> Store:
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
+    added = {i: len(t.content.encode()) for i, t in tokenizer.get_added_tokens_decoder().items()}
+    size = np.array([added.get(i, len(tokenizer.id_to_token(i) or "")) for i in range(tokenizer.get_vocab_size())], np.int64)
 
-    def encode(units: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        found = [e.ids for e in tokenizer.encode_batch([unit_text(u) for u in units], add_special_tokens=False)]
+    def apart(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         return np.fromiter((i for x in found for i in x), np.int32), np.array([len(x) for x in found], np.int64)
 
-    return Store(encode, end_id)
+    def together(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Units one after another: white space starts each, so no id crosses from one to the next."""
+        ids = np.array(tokenizer.encode_batch_fast(["".join(texts)], add_special_tokens=False)[0].ids, np.int32)
+        ends, upto = np.cumsum([len(t.encode()) for t in texts]), np.cumsum(size[ids])
+        last = np.searchsorted(upto, ends)
+        if not len(upto) or last[-1] >= len(upto) or (upto[last] != ends).any():  # another kind of tokenizer: its ids do not stand for so many bytes
+            return apart(texts)
+        return ids, np.diff(last, prepend=-1)
+
+    def encode(units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        own = np.array([u[:1] not in (LITERAL, "") for u in units])
+        plain = [unit_text(u) for u in units if u[:1] not in (LITERAL, "")]
+        runs = [together(plain[a:a + TOGETHER]) for a in range(0, len(plain), TOGETHER)]
+        rest = [unit_text(u) for u in units if u[:1] in (LITERAL, "")]
+        parts = [*runs, apart(rest)]
+        flat, counts = np.concatenate([f for f, _ in parts]), np.concatenate([c for _, c in parts])
+        order = np.empty(len(units), np.int64)
+        order[np.concatenate([np.flatnonzero(own), np.flatnonzero(~own)])] = np.arange(len(units))
+        starts, n = (np.cumsum(counts) - counts)[order], counts[order]
+        return flat[np.arange(n.sum()) + np.repeat(starts - np.cumsum(n) + n, n)], n
+
+    kind = str(tokenizer.pre_tokenizer)
+    words = Store(encode, end_id, UNITS_BYTES)
+    words.cuts_words = kind.startswith("ByteLevel(") and "use_regex=True" in kind and tokenizer.normalizer is None
+    return words
 
 
-def frequent(pairs: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs seen at least so often and their counts: bins of a hash first, then the few in full bins."""
-    bins = (pairs.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(46)).astype(np.int64)
-    full = np.bincount(bins, minlength=1 << 18)[bins] >= least
-    found, counts = np.unique(pairs[full], return_counts=True)
-    often = counts >= least
-    return found[often], counts[often]
+def encoded_texts(texts: pa.Array, path: str, end_id: int) -> pa.Array:
+    """The ids of each whole text and the end id."""
+    words = store(path, end_id)
+    if not words.cuts_words:  # a tokenizer whose first step is another: whole texts
+        return encoded(texts, words, r"\A", lambda t: [LITERAL + t] if t else [])
+    return encoded(texts, words, ODD, units_of, LITERAL, APART)
+
+
+def sieved(pairs: np.ndarray, least: int) -> np.ndarray:
+    """Whether each pair may be seen so often: those on slots of a hash that are."""
+    slot = (pairs.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+    return np.bincount(slot, minlength=1 << SLOT_BITS)[slot] >= least
 
 
 def compressed(seq: np.ndarray, end_id: int, least: int = LEAST, factor: int = FACTOR) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(rules as pairs, their expansion lengths, what is left of seq).  No pair starts with the end id."""
-    rules: list[np.ndarray] = []
-    lengths: list[np.ndarray] = []
-    n = 0
-    size = np.ones(len(seq), np.int64)
-    while len(seq) > 1:
-        pairs = seq[:-1].astype(np.int64) << 32 | seq[1:]
-        pairs[seq[:-1] == end_id] = -1
-        keys, counts = frequent(pairs, least)
-        if len(keys) and keys[0] == -1:
-            keys, counts = keys[1:], counts[1:]
-        if not len(keys):
+    """(rules as pairs, their expansion lengths, what is left of seq).  No pair starts with the end id.
+
+    A pair that is rare once never becomes frequent, as replacements only make pairs of new symbols; so a
+    round looks at the places that were frequent in the last one and at those beside its replacements.
+    """
+    sides: list[np.ndarray] = []
+    lengths = np.zeros(0, np.int64)
+    seq = seq.astype(np.int64)
+    look = seq != end_id
+    look[-1:] = False
+    while (at := np.flatnonzero(look)).size:
+        pairs = seq[at] << 32 | seq[at + 1]
+        if len(at) > 1 << 14:
+            may = sieved(pairs, least)
+            look[at[~may]] = False
+            at, pairs = at[may], pairs[may]
+        keys, own, counts = np.unique(pairs, return_inverse=True, return_counts=True)
+        often = counts[own] >= least
+        look[at[~often]] = False
+        at, own = at[often], own[often]
+        if not len(at):
             break
-        near = counts * factor >= counts.max()
-        keys, counts = keys[near], counts[near]
-        strength = counts.astype(np.int64) << 32 | np.arange(len(keys))
-        at = np.minimum(np.searchsorted(keys, pairs), len(keys) - 1)
-        hit = keys[at] == pairs
-        power = np.where(hit, strength[at], -1)
+        near = counts[own] >= -(-int(counts.max()) // factor)
+        at, own = at[near], own[near]
         # A pair stands if neither overlapping pair is stronger; in a run of one pair every other one.
-        left, right = np.append(-1, power[:-1]), np.append(power[1:], -1)
-        i = np.flatnonzero(hit & (power >= left) & (power >= right))
-        run = np.cumsum(np.diff(i, prepend=-9) > 1)
-        i = i[(np.arange(len(i)) - np.searchsorted(run, run)) % 2 == 0]
-        used, own = np.unique(at[i], return_inverse=True)
-        new_size = np.zeros(len(used), np.int64)
-        new_size[own] = size[i] + size[i + 1]
-        rules.append(np.stack([keys[used] >> 32, keys[used] & 0xFFFFFFFF], axis=1).astype(np.int32))
-        lengths.append(new_size)
+        power = counts[own] << 32 | own
+        follows = np.diff(at) == 1
+        beaten = np.append(False, follows & (power[:-1] > power[1:])) | np.append(follows & (power[1:] > power[:-1]), False)
+        at, own = at[~beaten], own[~beaten]
+        first = np.diff(at, prepend=-9) > 1
+        stands = (np.arange(len(at)) - np.flatnonzero(first)[np.cumsum(first) - 1]) % 2 == 0
+        at, own = at[stands], own[stands]
+        # What overlapping pairs leave to a pair may not pay for its rule; the strongest pair keeps at least half.
+        pays = np.bincount(own, minlength=len(keys)) * 2 >= least
+        at, own = at[pays[own]], own[pays[own]]
+        new = np.stack([keys[pays] >> 32, keys[pays] & 0xFFFFFFFF], axis=1)
+        size = np.append(1, lengths)
+        seq[at] = RULE_BASE + len(lengths) + (np.cumsum(pays) - 1)[own]
+        lengths = np.append(lengths, size[np.maximum(new - RULE_BASE + 1, 0)].sum(axis=1))
+        sides.append(new)
+        look[at] = True
+        look[at[at > 0] - 1] = seq[at[at > 0] - 1] != end_id
         keep = np.ones(len(seq), bool)
-        keep[i + 1] = False
-        seq, size = seq.copy(), size.copy()
-        seq[i], size[i] = RULE_BASE + n + own, new_size[own]
-        seq, size = seq[keep], size[keep]
-        n += len(used)
-    flat = np.concatenate(rules) if rules else np.zeros((0, 2), np.int32)
-    return flat, np.concatenate(lengths) if lengths else np.zeros(0, np.int64), seq
+        keep[at + 1] = False
+        seq, look = seq[keep], look[keep]
+        look[-1:] = False
+    rules = np.concatenate(sides) if sides else np.zeros((0, 2))
+    return rules.astype(np.int32), lengths, seq.astype(np.int32)
 
 
-def expanded(seq: np.ndarray, rules: np.ndarray) -> np.ndarray:
+def opened(seq: np.ndarray, rules: np.ndarray) -> np.ndarray:
     """The ids that seq stands for: all rules of a round's depth are opened together."""
     while len(seq) and (own := seq >= RULE_BASE).any():
         times = 1 + own
@@ -135,6 +177,17 @@ def expanded(seq: np.ndarray, rules: np.ndarray) -> np.ndarray:
     return seq
 
 
+def expanded(seq: np.ndarray, rules: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The ids that seq stands for: every rule is opened once, and seq is one gather from what they give."""
+    own = seq >= RULE_BASE
+    flat = np.concatenate([opened(np.arange(len(rules)) + RULE_BASE, rules), seq[~own]])
+    n = np.ones(len(seq), np.int64)
+    start = np.cumsum(~own) - 1 + int(lengths.sum())
+    rule = seq[own] - RULE_BASE
+    n[own], start[own] = lengths[rule], (np.cumsum(lengths) - lengths)[rule]
+    return flat[np.arange(int(n.sum())) + np.repeat(start - np.cumsum(n) + n, n)]
+
+
 def document_ids(row: dict, k: int) -> np.ndarray:
     """Random access: the ids of the k-th document of a shard, without expanding the others."""
     seq, rules, lengths = (np.asarray(row[c], np.int64) for c in ("sequence", "rules", "lengths"))
@@ -146,7 +199,7 @@ def document_ids(row: dict, k: int) -> np.ndarray:
     upto = np.cumsum(size)
     a, b = np.searchsorted(upto, start, "right"), np.searchsorted(upto, end, "left")
     skip = start - int(upto[a] - size[a])
-    return expanded(seq[a:b + 1], rules.reshape(-1, 2))[skip:skip + end - start]
+    return opened(seq[a:b + 1], rules.reshape(-1, 2))[skip:skip + end - start]
 
 
 def write_ids(df: DataFrame, out: str, path: str, doc_id: str = "doc_id", text: str = "text", end_id: int = 2, shard_tokens: int = SHARD_TOKENS) -> None:
@@ -159,7 +212,6 @@ def write_ids(df: DataFrame, out: str, path: str, doc_id: str = "doc_id", text:
         from pyspark import TaskContext
 
         part, shard = TaskContext.get().partitionId(), 0
-        words = store(path, end_id)
         ids: list[np.ndarray] = []
         counts: list[np.ndarray] = []
         docs: list = []
@@ -181,20 +233,16 @@ def write_ids(df: DataFrame, out: str, path: str, doc_id: str = "doc_id", text:
 
         for batch in batches:
             names = batch.column(0).to_pylist()
-            texts = batch.column(1).to_pylist()
+            own = encoded_texts(batch.column(1), path, end_id)
+            flat, upto = own.values.to_numpy(), own.offsets.to_numpy()
             at = 0
-            while at < len(texts):
-                run = at
-                size = 0
-                while run < len(texts) and size < shard_tokens:  # at least one token a character or two
-                    size += len(texts[run] or "")
-                    run += 1
-                flat, n = words.ids([units_of(t or "") for t in texts[at:run]])
-                ids.append(flat)
-                counts.append(n)
-                docs += names[at:run]
-                held += len(flat)
-                at = run
+            while at < len(names):  # a shard is closed by the document that fills it
+                to = min(int(np.searchsorted(upto, upto[at] + shard_tokens - held)), len(names))
+                ids.append(flat[upto[at]:upto[to]])
+                counts.append(np.diff(upto[at:to + 1]))
+                docs += names[at:to]
+                held += int(upto[to] - upto[at])
+                at = to
                 if held >= shard_tokens:
                     yield row()
         if docs:
@@ -207,8 +255,8 @@ def write_ids(df: DataFrame, out: str, path: str, doc_id: str = "doc_id", text:
     ordered.mapInArrow(shards, SCHEMA).write.parquet(out)
 
 
-def read_ids(spark: SparkSession, path: str) -> DataFrame:
-    """Per document, from the files: doc_id, start (ids of all documents before), n_tokens, ids_crc32, ids.
+def read_ids(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame:
+    """Per document, from the files: doc_id, start (ids of all documents before), n_tokens, ids_crc32, ids (if asked for).
 
     Starts come from running sums at three levels: parts, the shards of a part, the documents of a
     shard; only per-part sums meet in one task.
@@ -221,20 +269,22 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
     shards = sizes.withColumn("shard_start", F.coalesce(F.sum("n_tokens").over(own), F.lit(0)))
     starts = shards.join(parts, "part").select("part", "shard", (F.col("part_start") + F.col("shard_start")).alias("base"))
 
+    schema = "part int, shard int, doc_id bigint, within bigint, n_tokens bigint, ids_crc32 bigint" + ", ids array<int>" * with_ids
+
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
-                part, shard, docs, counts, rules, seq = (batch.column(c)[k] for c in ("part", "shard", "doc_ids", "counts", "rules", "sequence"))
+                part, shard, docs, counts, rules, lengths, seq = (batch.column(c)[k] for c in ("part", "shard", "doc_ids", "counts", "rules", "lengths", "sequence"))
                 n = counts.values.to_numpy()
-                flat = expanded(seq.values.to_numpy(), rules.values.to_numpy().reshape(-1, 2)).astype("<u4")
+                flat = expanded(seq.values.to_numpy(), rules.values.to_numpy().reshape(-1, 2), lengths.values.to_numpy().astype(np.int64)).astype("<u4")
                 ends = np.cumsum(n, dtype=np.int64)
                 crc = [zlib.crc32(flat[e - c:e]) for e, c in zip(ends.tolist(), n.tolist(), strict=True)]
                 arrays = [
                     pa.array(np.full(len(n), part.as_py(), np.int32)), pa.array(np.full(len(n), shard.as_py(), np.int32)),
-                    docs.values, pa.array(ends - n), pa.array(n.astype(np.int64)), pa.array(crc, pa.int64()), list_array(flat.astype(np.int32), n),
+                    docs.values, pa.array(ends - n), pa.array(n.astype(np.int64)), pa.array(crc, pa.int64()), *([list_array(flat, n)] if with_ids else []),
                 ]
-                yield pa.RecordBatch.from_arrays(arrays, names=["part", "shard", "doc_id", "within", "n_tokens", "ids_crc32", "ids"])
+                yield pa.RecordBatch.from_arrays(arrays, names=[c.split()[0] for c in schema.split(", ")])
 
-    rows = stored.select("part", "shard", "doc_ids", "counts", "rules", "sequence").mapInArrow(decoded, "part int, shard int, doc_id bigint, within bigint, n_tokens bigint, ids_crc32 bigint, ids array<int>")
-    starts = broadcast_if_small(starts, F.lit(16))
-    return rows.join(starts, ["part", "shard"]).select("doc_id", (F.col("base") + F.col("within")).alias("start"), "n_tokens", "ids_crc32", "ids")
+    rows = stored.select("part", "shard", "doc_ids", "counts", "rules", "lengths", "sequence").mapInArrow(decoded, schema)
+    starts = broadcast_if_small(saved(starts), F.lit(16))
+    return rows.join(starts, ["part", "shard"]).select("doc_id", (F.col("base") + F.col("within")).alias("start"), "n_tokens", "ids_crc32", *(["ids"] if with_ids else []))

@@ -6,8 +6,9 @@ are structure: never counted, never dropped.
 
 Defined results: a null text stays null and counts as a page without lines; rows with a null host
 form one host; repeated rows are pages each; a host whose line is on fewer than min_pages pages
-keeps it (a site of one page has no boilerplate); an empty table gives an empty result.  Other
-columns pass through untouched, whatever their names.
+keeps it (a site of one page has no boilerplate); texts are split whole, however long; an empty table
+gives an empty result.  Other columns pass through untouched, whatever their names, but for ones named
+like the two numbers, which are replaced.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import broadcast_if_small, saved
+from .shared import broadcast_if_small, fresh, saved
 
 #: A line on more than this share of a host's pages is boilerplate.  Measured over all sources: licence
 #: lines stand on 0.6 to 1.1 % of a source's pages, passages of over 250 characters on 0.5 % at most on average.
@@ -52,22 +53,23 @@ def boilerplate(docs: DataFrame, host: str, text: str, max_ratio: float = MAX_RA
     return often.groupBy("el_host").agg(F.collect_set("el_line").alias("el_lines"))
 
 
-def without_boilerplate(docs: DataFrame, host: str = "source", text: str = "text", max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
-    """docs with the boilerplate lines gone from text, and el_lines_total, el_lines_dropped.
+def without_boilerplate(docs: DataFrame, host: str = "source", text: str = "text", max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES, total: str = "el_lines_total", dropped: str = "el_lines_dropped") -> DataFrame:
+    """docs with the boilerplate lines gone from text, and the numbers of lines in total and dropped.
 
     The table of boilerplate is saved and measured: within the broadcast limit the pages never
     shuffle; beyond it the join is a shuffle join on the host that AQE may split where a host is hot.
     """
+    key, bad, left = fresh(docs, "el_host", "el_lines", "el_left")
     found = saved(boilerplate(docs, host, text, max_ratio, min_pages))
-    found = broadcast_if_small(found, F.length("el_host") + F.size("el_lines") * 8)
-    lines = F.split(F.col(text), "\n")
-    stays = F.filter(lines, lambda x: (F.trim(x) == "") | ~F.array_contains(F.col("el_lines"), line_hash(x)))
-    joined = docs.withColumn("el_host", host_key(host)).join(found, "el_host", "left")
-    n, left = F.size(lines), F.when(F.col("el_lines").isNull(), lines).otherwise(stays)
+    found = broadcast_if_small(found, F.length("el_host") + F.size("el_lines") * 8).withColumnsRenamed({"el_host": key, "el_lines": bad})
+    lines, known = F.split(F.col(text), "\n"), F.col(bad).isNotNull()
+    stays = F.filter(lines, lambda x: (F.trim(x) == "") | ~F.array_contains(F.col(bad), line_hash(x)))
+    n = F.coalesce(F.size(lines), F.lit(0))
     return (
-        joined.withColumn("el_left", left)
-        .withColumn("el_lines_total", F.when(F.col(text).isNull(), 0).otherwise(n))
-        .withColumn("el_lines_dropped", F.when(F.col(text).isNull(), 0).otherwise(n - F.size("el_left")))
-        .withColumn(text, F.when(F.col("el_lines").isNull(), F.col(text)).otherwise(F.array_join("el_left", "\n")))
-        .drop("el_host", "el_lines", "el_left")
+        docs.withColumn(key, host_key(host)).join(found, key, "left")
+        .withColumn(left, F.when(known, stays).otherwise(lines))
+        .withColumn(total, F.when(F.col(text).isNull(), 0).otherwise(n))
+        .withColumn(dropped, F.when(F.col(text).isNull(), 0).otherwise(n - F.size(left)))
+        .withColumn(text, F.when(known, F.array_join(left, "\n")).otherwise(F.col(text)))
+        .drop(key, bad, left)
     )

@@ -7,10 +7,13 @@ same number of bits, which lets numpy read all blocks of all frames at once; any
 tables go through the general decoder.
 
 read_avi() walks the RIFF index, decodes every intra frame, and detects shots: the difference of two
-frames' histograms is a cut if it exceeds the mean of the last differences by some deviations.
+frames' histograms is a cut if it exceeds the mean of the last differences by some deviations, and a
+least difference that alone decides on the first.
 
 Defined results: a null or empty payload is stored as one padding frame; bytes that are no AVI file
-give null; equal payloads give equal files; an empty table gives an empty result.
+give null, and no clip rows; equal payloads give equal files, so repeated rows and ties are alike;
+payloads are stored whole, however long; an empty table gives an empty result.  Other columns are not
+touched, but for ones that have the names asked for, which are replaced.
 """
 
 from __future__ import annotations
@@ -24,6 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .shared import fresh
+
 SIDE = 24  #: samples on a frame's side
 FRAME = SIDE * SIDE
 PAD = 255
@@ -285,7 +290,7 @@ def shot_starts(samples: list[np.ndarray]) -> list[int]:
     n = np.maximum(i - a, 1)
     mean = (one[i] - one[a]) / n
     dev = np.sqrt(np.maximum((two[i] - two[a]) / n - mean * mean, 0))
-    cut = (diff > mean + DEVIATIONS * dev) & (diff > LEAST) & (i > 0)
+    cut = (diff > mean + DEVIATIONS * dev) & (diff > LEAST)
     return [0, *(np.flatnonzero(cut) + 1).tolist()]
 
 
@@ -334,4 +339,5 @@ def read_avi(df: DataFrame, media: str = "media", read: str = "read") -> DataFra
 
 def clip_rows(df: DataFrame, *keys: str, media: str = "media") -> DataFrame:
     """Timed clip rows: the keys, then one row per shot."""
-    return read_avi(df, media, "el_read").select(*keys, F.inline("el_read.clips"))
+    (read,) = fresh(df, "el_read")
+    return read_avi(df, media, read).select(*keys, F.inline(f"{read}.clips"))

@@ -25,27 +25,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .words import Store, encoded
+from .words import LITERAL, Store, encoded, unit_text
 
 SPACE = "▁"
-#: Distinct units a worker keeps: a worker may hold the state of other operators too.
-UNITS_KEPT = 300_000
+#: Ids decoded at once within an Arrow batch.
+SLICE_IDS = 1_000_000
 _far = np.iinfo(np.int32).max
 _UNITS = re.compile(r" *[^ \n]+| +|\n")
+#: Texts that need it: empty ones, blanks in a row or in front, the marks of units.
+ODD = r"\A\z|  |\A[ \n]|[\x01\x02]"
 
 
 def units_of(text: str) -> list[str]:
-    """Units as keys: 'w' is ' w', '\\nw' is itself, a key with \\x01 before it is the rest literally."""
-    if not text:
-        return []
-    text = text.replace(SPACE, " ")
-    if "  " in text or text[0] in " \n" or "\x01" in text or "\x02" in text:
-        return [u[1:] if u[0] == " " and u[1:2] not in ("", "\x01", "\x02", "\n") else "\x01" + u for u in _UNITS.findall(" " + text)]
-    return text.replace("\n", " \n").split(" ")
-
-
-def unit_text(key: str) -> str:
-    return key[1:] if key[:1] == "\x01" else key if key[:1] == "\n" else " " + key
+    """The units of an odd text as keys of words.py: a run of blanks, a line break, a word with the blanks before it."""
+    marked = (" ", "\x01", "\x02", "\n", "")
+    return [u[1:] if u[0] == " " and u[1:2] not in marked else LITERAL + u for u in _UNITS.findall(" " + text)] if text else []
 
 
 class Model:
@@ -253,7 +247,19 @@ def model(path: str) -> Model:
 
 @lru_cache(2)
 def store(path: str) -> Store:
-    return Store(model(path).encode, model(path).end_id, UNITS_KEPT)
+    return Store(model(path).encode, model(path).end_id)
+
+
+def encoded_texts(texts: pa.Array, path: str) -> pa.Array:
+    """The piece ids of each whole text and the end id."""
+    return encoded(pc.replace_substring(texts, SPACE, " "), store(path), ODD, units_of)
+
+
+def runs_of(lists: pa.ListArray, ids: int = SLICE_IDS) -> list[pa.Array]:
+    """The batch's lists in runs of about so many ids."""
+    upto = np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    edges = [0, *(np.flatnonzero(np.diff(upto // ids)) + 1).tolist(), len(lists)]
+    return [lists.slice(a, b - a) for a, b in zip(edges, edges[1:], strict=False)]
 
 
 def with_pieces(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
@@ -261,7 +267,7 @@ def with_pieces(df: DataFrame, path: str, text: str = "text", ids: str = "ids")
 
     @F.arrow_udf(T.ArrayType(T.IntegerType()))
     def encode(texts: pa.Array) -> pa.Array:
-        return encoded(texts, store(path), units_of)
+        return encoded_texts(texts, path)
 
     return df.withColumn(ids, encode(F.coalesce(F.col(text), F.lit(""))))
 
@@ -271,6 +277,6 @@ def with_text(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded")
 
     @F.arrow_udf(T.StringType())
     def decode(lists: pa.Array) -> pa.Array:
-        return pa.array(model(path).decode(lists), pa.string())
+        return pa.concat_arrays([pa.array(model(path).decode(run), pa.string()) for run in runs_of(lists)])
 
     return df.withColumn(text, decode(F.col(ids)))

@@ -64,17 +64,19 @@ def op4_avi_mjpeg(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in shards by fixed virtual slots; law key: doc_id and the shard count decide.
 
-    slot is the gapless place in the shard, vslot the virtual slot, grown_shard the shard under the
-    map's next version with one shard more.  The versioned map is stored and read back.
+    slot is the gapless place in the shard, vslot the virtual slot, grown_shard the shard under the map's
+    version 2 with one shard more, balanced_shard that under version 3, which moves slots by their bytes.
+    The versioned map is stored and read back.
     """
     docs = table(spark, sf_dir, "documents")
     path = shared_dir(spark)
     first = sharding.first_map(spark, N_SHARDS)
-    first.unionByName(sharding.grown_map(first, N_SHARDS)).write.partitionBy("version").parquet(path)
+    balanced = sharding.rebalanced_map(first, sharding.slot_bytes(docs, "doc_id", "text")).withColumn("version", F.lit(3))
+    first.unionByName(sharding.grown_map(first, N_SHARDS)).unionByName(balanced).write.partitionBy("version").parquet(path)
     stored = spark.read.schema("vslot int, shard int, version int").parquet(path)
     placed = sharding.placed(docs, stored.where("version = 1").drop("version"), "doc_id", "text")
-    grown = stored.where("version = 2").select("vslot", F.col("shard").alias("grown_shard"))
-    return placed.join(F.broadcast(grown), "vslot").select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard", "vslot")
+    later = stored.groupBy("vslot").agg(*(F.max(F.when(F.col("version") == v, F.col("shard"))).alias(name) for v, name in ((2, "grown_shard"), (3, "balanced_shard"))))
+    return placed.join(F.broadcast(later), "vslot").select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard", "vslot", "balanced_shard")
 
 
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -122,7 +124,7 @@ def op8_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole text as byte-BPE ids in Re-Pair shards, read back from the files."""
     path = shared_dir(spark)
     grammar.write_ids(table(spark, sf_dir, "documents"), path, BYTE_BPE)
-    return grammar.read_ids(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32")
+    return grammar.read_ids(spark, path, with_ids=False)
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,7 +9,8 @@ allow-list, and a least number of changes between letters and digits where the b
 suppress candidates that look random without being secret.
 
 Defined results: null and empty texts have no spans; texts are scanned whole, however long; repeated
-rows each get their spans; an empty table gives an empty result; other columns are not touched.
+rows each get their spans; an empty table gives an empty result; other columns are not touched, but
+for one that has the name asked for, which is replaced.
 """
 
 from __future__ import annotations
@@ -34,11 +35,11 @@ WHOLE_BITS, WHOLE_WINDOW = 4.15, 24
 RUN = {"hex": re.compile(r"[0-9a-fA-F]{16,}"), "alnum": re.compile(r"[a-z0-9]{16,}|[A-Z0-9]{16,}"), "base64": re.compile(r"[A-Za-z0-9+]{16,}")}
 LEAST_CHANGES = {"hex": 1, "alnum": 3, "base64": 2}
 #: Candidates that are not secrets, by full match: words of letters alone in ordinary case, numbers,
-#: paths and dotted names of such words, and UUIDs.
+#: paths and dotted names of such words, and UUIDs.  Separators are no letters, so no step is ever taken back.
 ALLOWED = re.compile(
-    r"[A-Z]?[a-z]+(?:[/_+=-]+[A-Z]?[a-z]*)*"
-    r"|[A-Z]+(?:[/_+=-]+[A-Z]*)*"
-    r"|[0-9]+(?:[/_+=-]+[0-9]*)*"
+    r"[A-Z]?[a-z]++(?:[/_+=-]++[A-Z]?[a-z]*+)*+"
+    r"|[A-Z]++(?:[/_+=-]++[A-Z]*+)*+"
+    r"|[0-9]++(?:[/_+=-]++[0-9]*+)*+"
     r"|[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"
 )
 

@@ -6,8 +6,9 @@ into the new shard.  Rebalancing writes a new version in which slots of the heav
 the lightest ones, by the bytes aggregated per slot.
 
 Defined results: a null key is a key like any other; a null text weighs 0 bytes (plus the one byte
-each record costs); repeated rows each get a place; an empty table gives an empty result.  Columns
-of the input other than the named ones are not read, so clashing names do no harm.
+each record costs); texts are weighed whole, however long; repeated rows each get a place, ties in any
+order; all records of one key share a slot by the law, so only they are ordered together; an empty table
+gives an empty result.  Columns other than the named ones are not read, so clashing names do no harm.
 """
 
 from __future__ import annotations

@@ -1,23 +1,24 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
-Three transducers compose over the words of a clause:
+Transducers compose into the machine that reads a clause:
 
 * the lexicon reads a word letter by letter and accepts stems: insults, threats, targets, negations,
   reporting verbs.  Insult and threat stems carry weights; besides a seed list they are learned from
   labelled rows, as the log odds of the documents that hold the stem.  A learned stem that begins with a
   threat seed is a threat, any other an insult;
-* the context machine walks the classes and knows whether a word stands under a negation (a few words
-  back) or in reported speech (up to the clause's end);
-* the target machine knows whether the clause names someone; a threat stem is a threat only then.
+* reported speech, negation and target transducers mark a match as reported (up to the clause's end),
+  negated (a few words on) or aimed (the clause names someone, before the match or after it);
+* the threat and insult transducers write what a marked match counts for; a threat is one only if aimed.
 
-A clause scores by the matches in it, told apart as plain, negated, reported and aimed; a plain threat
-counts as a plain match and as a threat besides.  What each kind counts is learned too, by a small
-logistic regression over the clause scores.
+compose() makes one machine of the five, and a clause scores by what its accepted path writes: matches
+told apart as plain, negated, reported and aimed, and threats besides.  What each kind counts is learned
+too, by a small logistic regression over the clause scores.
 
 Defined results: null and empty texts score as texts without a match; texts are read whole; rows
 with null ids are scored and never learned from; null labels are skipped, and of repeated labels of
 one id the greatest counts; with no labels the seed list and the prior weights decide; an empty table
-gives an empty result; label, language, source and id columns are never read as inputs of a score.
+gives an empty result; label, language, source and id columns are never read as inputs of a score;
+other columns pass through whatever their names, but for one named like the score, which is replaced.
 """
 
 from __future__ import annotations
@@ -25,8 +26,9 @@ from __future__ import annotations
 import json
 import math
 import re
-from collections import defaultdict
+from collections.abc import Callable, Iterable
 from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import broadcast_if_small, saved
+from .shared import broadcast_if_small, fresh, saved
 
 #: Labelled rows learned from, at most: those of the least id hash.
 TRAIN_ROWS = 40_000
@@ -43,8 +45,6 @@ STEM_LENGTHS = (4, 5, 6, 7, 8)
 #: A stem is learned from at least so many toxic documents and different words before it (copies of one
 #: document repeat its words with what stands before them), with this weight and deviations from chance.
 LEAST_DOCS, LEAST_WEIGHT, LEAST_Z = 3, 2.5, 4.0
-#: Stems of a model, at most: those seen in most toxic documents.
-LEXICON_SIZE = 4_000
 REJECT = 0.7
 
 # Seed stems by class.
@@ -66,15 +66,100 @@ PRIOR = (-3.0, 2.2, 0.4, 0.4, 0.4, 0.2, 1.6)
 #: Strength of that prior, as a penalty on the distance from it.
 RIDGE = 0.5
 NEGATION_REACH = 3
+#: Classes of words that say how a match is meant.
+CONTEXT = ("target", "negation", "report")
 
 _clause_end = re.compile(r"[.!?;:\n]")
 _word = re.compile(r"\w+")
 
 
+class Transducer(NamedTuple):
+    """States with arcs: by state and symbol read, the next states with the symbols written."""
+
+    starts: tuple
+    finals: frozenset
+    arcs: dict[tuple, list[tuple]]
+
+
+def transducer(starts: tuple, finals: Callable, alphabet: Iterable, step: Callable) -> Transducer:
+    """The states that step reaches from starts: step(state, symbol) gives (next state, symbol written) pairs."""
+    seen, todo, arcs = set(starts), list(starts), {}
+    while todo:
+        state = todo.pop()
+        for symbol in alphabet:
+            if found := list(step(state, symbol)):
+                arcs[state, symbol] = found
+                new = {s for s, _ in found} - seen
+                seen |= new
+                todo += new
+    return Transducer(starts, frozenset(s for s in seen if finals(s)), arcs)
+
+
+def written(t: Transducer) -> list:
+    """The symbols that t writes: the alphabet of the one after it."""
+    return sorted({symbol for found in t.arcs.values() for _, symbol in found}, key=repr)
+
+
+def compose(a: Transducer, b: Transducer) -> Transducer:
+    """The transducer that reads what a reads and writes what b writes on what a writes."""
+    def step(state, symbol):
+        return [((p, q), z) for p, y in a.arcs.get((state[0], symbol), ()) for q, z in b.arcs.get((state[1], y), ())]
+
+    starts = tuple((p, q) for p in a.starts for q in b.starts)
+    return transducer(starts, lambda s: s[0] in a.finals and s[1] in b.finals, sorted({symbol for _, symbol in a.arcs}, key=repr), step)
+
+
+@lru_cache(1)
+def clause_machine() -> Transducer:
+    """Reported speech, negation, target, threat and insult composed: word classes in, what a word counts for out.
+
+    A symbol read is (match, class): match is "insult", "threat" or "", class one of CONTEXT or "".  A symbol
+    written is (features, which of the word's two weights), or None for a word that counts for nothing.
+    """
+    classes = [(match, kind) for match in ("insult", "threat", "") for kind in (*CONTEXT, "")]
+    # Reported speech begins after a reporting verb and lasts to the clause's end.
+    report = transducer((False,), lambda s: True, classes, lambda s, x: [(s or x[1] == "report", (f"reported {x[0]}" if s and x[0] else x[0], x[1]))])
+    # A negation reaches a few words ahead; what is reported stays so.
+    negation = transducer(
+        (0,), lambda s: True, written(report),
+        lambda s, x: [(NEGATION_REACH if x[1] == "negation" else max(s - 1, 0), (f"negated {x[0]}" if s and x[0] in ("insult", "threat") else x[0], x[1]))],
+    )
+    # Whether the clause names someone is guessed at its start; the guess that does not come true is not accepted.
+    target = transducer(
+        ("sought", "none"), lambda s: s != "sought", written(negation),
+        lambda s, x: [] if s == "none" and x[1] == "target" else [("met" if x[1] == "target" else s, (x[0], s != "none"))],
+    )
+
+    def context_of(match: str) -> str:
+        return match.partition(" ")[0] if " " in match else "plain"
+
+    # A threat is one only if the clause names someone: then it has its other weight and counts as a threat too.
+    threat = transducer(
+        (0,), lambda s: True, written(target),
+        lambda s, x: [(0, ((context_of(x[0]), *(("aimed", "threat") if x[1] and x[0] == "threat" else ())), int(x[1])) if x[0].endswith("threat") else x)],
+    )
+    insult = transducer(
+        (0,), lambda s: True, written(threat),
+        lambda s, x: [(0, x if isinstance(x[0], tuple) else ((context_of(x[0]), *(("aimed",) if x[1] and x[0] == "insult" else ())), 0) if x[0] else None)],
+    )
+    machine = report
+    for t in (negation, target, threat, insult):
+        machine = compose(machine, t)
+    return machine
+
+
+def accepted_path(machine: Transducer, symbols: list) -> list:
+    """What the machine writes on its one accepted path."""
+    paths = [(s, []) for s in machine.starts]
+    for x in symbols:
+        paths = [(s, [*out, y]) for state, out in paths for s, y in machine.arcs.get((state, x), ())]
+    return next(out for s, out in paths if s in machine.finals)
+
+
 class Grammar:
-    """The composed transducers: an automaton over all weighted stems, and the machines over a clause.
+    """The lexicon transducer, an automaton that reads words letter by letter, before the machine of a clause.
 
-    threats has the stems that with a target in the clause are threats, and their weights then.
+    threats has the stems that are threats, and their weights where the clause names someone.
     """
 
     def __init__(self, stems: dict[str, float], threats: dict[str, float] | None = None):
@@ -90,17 +175,15 @@ class Grammar:
             self.find.get(stem.rstrip("$"))[1].append((stem.endswith("$"), *weights))
         if self.any:
             self.find.make_automaton()
-        self.context: dict[str, list[tuple[str, bool]]] = defaultdict(list)
-        for kind in ("target", "negation", "report"):
-            for stem in SEED[kind]:
-                self.context[kind].append((stem.rstrip("$"), stem.endswith("$")))
+        self.machine = clause_machine()
+        self.context = [(kind, stem.rstrip("$"), stem.endswith("$")) for kind in CONTEXT for stem in SEED[kind]]
         self.classes: dict[str, str] = {}
 
     def word_class(self, word: str) -> str:
         if word not in self.classes:
-            if len(self.classes) > 100_000:
+            if len(self.classes) > 20_000:
                 self.classes.clear()
-            self.classes[word] = next((k for k, stems in self.context.items() if any(word == s if whole else word.startswith(s) for s, whole in stems)), "")
+            self.classes[word] = next((k for k, s, whole in self.context if (word == s if whole else word.startswith(s))), "")
         return self.classes[word]
 
     def accepted(self, low: str) -> dict[int, tuple[float, float]]:
@@ -119,7 +202,7 @@ class Grammar:
         return out
 
     def features(self, text: str) -> list[float]:
-        """Sums of match weights by kind over all clauses, dampened, and the clauses with a match."""
+        """Sums over the accepted paths of all clauses, dampened, and the clauses with a match."""
         low = text.lower()
         total = dict.fromkeys(FEATURES + THREATS, 0.0)
         hits = self.accepted(low)
@@ -128,25 +211,15 @@ class Grammar:
             if first < done:
                 continue
             before = max(low.rfind(c, 0, first) for c in ".!?;:\n") + 1
-            end = m.start() if (m := _clause_end.search(low, first)) else len(low)
-            done = end
-            negated_for, reported, aimed = 0, False, False
-            matched: list[tuple[str, tuple[float, float]]] = []
-            for w in _word.finditer(low, before, end):
-                kind = self.word_class(w[0])
-                if w.start() in hits:
-                    matched.append(("reported" if reported else "negated" if negated_for else "plain", hits[w.start()]))
-                if kind == "negation":
-                    negated_for = NEGATION_REACH
-                elif negated_for:
-                    negated_for -= 1
-                reported |= kind == "report"
-                aimed |= kind == "target"
-            for kind, (weight, threat) in matched:
-                total[kind] += max(weight, threat) if aimed else weight
-                if aimed and kind == "plain":
-                    total["aimed"] += max(weight, threat)
-                    total["threat"] += threat
+            done = m.start() if (m := _clause_end.search(low, first)) else len(low)
+            symbols, weights = [], []
+            for w in _word.finditer(low, before, done):
+                weight, threat = hits.get(w.start(), (0.0, 0.0))
+                symbols.append(("threat" if threat else "insult" if weight else "", self.word_class(w[0])))
+                weights.append((weight, max(weight, threat)))
+            for counts, own in zip(accepted_path(self.machine, symbols), weights, strict=True):
+                for feature in counts[0] if counts else ():
+                    total[feature] += own[counts[1]]
             total["clauses"] += 1
         return [math.log1p(total[k]) for k in FEATURES + THREATS]
 
@@ -207,7 +280,7 @@ def learned_stems(rows: DataFrame) -> dict[str, float]:
     weight = F.log((F.col("pos") + 0.5) / (p + 1.0)) - F.log((F.col("neg") + 0.5) / (n - p + 1.0))
     share = (F.col("pos") + F.col("neg")) / n
     z = (F.col("pos") / p - F.col("neg") / (n - p)) / F.sqrt(share * (1 - share) * (1 / p + 1 / (n - p)))
-    best = both.withColumn("weight", weight).where((F.col("weight") >= LEAST_WEIGHT) & (z >= LEAST_Z)).orderBy(F.desc("pos"), "stem").limit(LEXICON_SIZE)
+    best = both.withColumn("weight", weight).where((F.col("weight") >= LEAST_WEIGHT) & (z >= LEAST_Z))  # as many as the bounded sample gives
     for r in best.select("stem", "weight").collect():
         stems[r["stem"]] = max(stems.get(r["stem"], 0.0), float(r["weight"]))
     return stems
@@ -263,5 +336,6 @@ def scored(docs: DataFrame, model: dict, text: str = "text", score: str = "score
     """docs with score: from 0 to 1, higher for likelier toxic."""
     x = features_of(model["stems"])(F.coalesce(F.col(text), F.lit("")))
     bias, *weights = model["coefficients"]
-    logit = F.aggregate(F.zip_with("el_x", F.array(*map(F.lit, weights)), lambda a, b: a * b), F.lit(float(bias)), lambda s, v: s + v)
-    return docs.withColumn("el_x", x).withColumn(score, 1 / (1 + F.exp(-logit))).drop("el_x")
+    (held,) = fresh(docs, "el_x")
+    logit = F.aggregate(F.zip_with(held, F.array(*map(F.lit, weights)), lambda a, b: a * b), F.lit(float(bias)), lambda s, v: s + v)
+    return docs.withColumn(held, x).withColumn(score, 1 / (1 + F.exp(-logit))).drop(held)

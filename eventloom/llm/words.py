@@ -1,8 +1,10 @@
-"""Texts as units that no token crosses, and a bounded store of the units' token ids.
+"""Texts as units that no token crosses, and a store of the units' token ids that is bounded by bytes.
 
-A unit is a word with its leading space, or a word with its leading line break, or a run of white
-space.  In a batch most units repeat, so each distinct one is encoded once; a text's ids are then a
-gather from flat numpy arrays.
+A unit is a word with its leading space, or a word with its leading line break.  Arrow splits a batch
+into units and finds the distinct ones; only those reach Python, and of them only those that the store
+does not know reach the encoder.  A text's ids are then a gather from flat numpy arrays.
+
+Texts whose white space is not that regular are odd: the caller says how to cut them.
 """
 
 from __future__ import annotations
@@ -11,56 +13,77 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+
+#: Bytes of units and ids that a worker keeps, and what a unit costs beside its characters and ids.
+STORE_BYTES, UNIT_BYTES = 96 << 20, 200
+#: Longer units are encoded and not kept.
+LONGEST_KEPT = 64
+#: Texts handled at once within an Arrow batch, and units encoded at once.
+SLICE_CHARS, NEW_UNITS = 12_000_000, 50_000
+#: Marks: of a literal unit (a key without it has a blank before it, unless it starts with a line break), and of a text's end.
+LITERAL, END = "\x01", "\x02end"
+
 
-#: Distinct units a worker keeps; when a batch finds more stored, the store starts anew.
-STORE_UNITS = 1_000_000
-#: Texts handled at once within an Arrow batch.
-SLICE_CHARS = 4_000_000
-END = "\x02end"
+def unit_text(key: str) -> str:
+    return key[1:] if key[:1] == LITERAL else key if key[:1] == "\n" else " " + key
 
 
 class Store:
-    """Ids by unit.  encode takes distinct units and gives (flat ids, number of ids of each)."""
-
-    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], end_id: int, limit: int = STORE_UNITS):
-        self.encode, self.end_id, self.limit = encode, end_id, limit
-        self.clear()
-
-    def clear(self) -> None:
-        self.index: dict[str, int] = {END: 0}
-        self.flat, self.used = np.full(1 << 16, self.end_id, np.int32), 1
-        self.start, self.count = np.zeros(1 << 14, np.int64), np.ones(1 << 14, np.int64)
-
-    def add(self, units: list[str]) -> None:
-        ids, counts = self.encode(units)
-        n, k = len(self.index), len(units)
-        while n + k > len(self.start):
-            self.start, self.count = np.resize(self.start, 2 * len(self.start)), np.resize(self.count, 2 * len(self.count))
-        while self.used + len(ids) > len(self.flat):
-            self.flat = np.resize(self.flat, 2 * len(self.flat))
-        self.flat[self.used:self.used + len(ids)] = ids
-        self.count[n:n + k] = counts
-        self.start[n:n + k] = self.used + np.cumsum(counts) - counts
-        self.used += len(ids)
-        self.index.update(zip(units, range(n, n + k), strict=True))
-
-    def ids(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
-        """Flat ids of all texts, each closed by the end id, and the ids of each text."""
-        if len(self.index) > self.limit:
-            self.clear()
-        units = [u for t in texts for u in (*t, END)]
-        if new := list(dict.fromkeys(u for u in units if u not in self.index)):
-            self.add(new)
-        at = np.fromiter(map(self.index.__getitem__, units), np.int64, len(units))
-        counts, starts = self.count[at], self.start[at]
-        ends = np.cumsum(counts)
-        flat = self.flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + counts, counts)]
-        lasts = np.cumsum([len(t) + 1 for t in texts], dtype=np.int64) - 1
-        return flat, np.diff(ends[lasts], prepend=0)
+    """Ids by unit, in two generations: the older one goes when the younger holds half of the bytes.
+
+    encode takes distinct units and gives (flat ids, number of ids of each).
+    """
+
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], end_id: int, limit: int = STORE_BYTES):
+        self.encode, self.limit = encode, limit
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.end = np.array([end_id], np.int32).tobytes()
+        self.young_bytes = self.old_bytes = 0
+
+    def held(self) -> int:
+        """Bytes of both generations."""
+        return self.young_bytes + self.old_bytes
+
+    def keep(self, ids: dict[str, bytes]) -> None:
+        size = UNIT_BYTES * len(ids) + sum(map(len, ids)) + sum(map(len, ids.values()))
+        if 2 * (self.young_bytes + size) > self.limit:
+            self.old, self.old_bytes = self.young, self.young_bytes
+            self.young, self.young_bytes = {}, 0
+        if 2 * size <= self.limit:
+            self.young |= ids
+            self.young_bytes += size
+
+    def ids(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Flat ids of distinct units and the ids of each."""
+        found = list(map(self.young.get, units))
+        again, new = {}, []
+        for i in [i for i, ids in enumerate(found) if ids is None]:
+            if units[i] == END:
+                found[i] = self.end
+            elif (ids := self.old.get(units[i])) is not None:
+                found[i] = again[units[i]] = ids
+            else:
+                new.append(i)
+        some = min(NEW_UNITS, self.limit // 2000 + 1)  # so few that the store has room for them
+        for a in range(0, len(new), some):
+            own = new[a:a + some]
+            names = [units[i] for i in own]
+            flat, counts = self.encode(names)
+            raw, upto = flat.astype(np.int32).tobytes(), (4 * np.cumsum(counts)).tolist()
+            each = [raw[start:end] for start, end in zip([0, *upto], upto, strict=False)]
+            for i, ids in zip(own, each, strict=True):
+                found[i] = ids
+            self.keep({u: ids for u, ids in zip(names, each, strict=True) if len(u) <= LONGEST_KEPT})
+        names = list(again)
+        for a in range(0, len(names), some):
+            self.keep({u: again[u] for u in names[a:a + some]})
+        return np.frombuffer(b"".join(found), np.int32), np.fromiter(map(len, found), np.int64, len(found)) // 4
 
 
 def list_array(flat: np.ndarray, counts: np.ndarray) -> pa.Array:
-    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), pa.array(flat.astype(np.int32)))
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), pa.array(flat.astype(np.int32, copy=False)))
 
 
 def slices(texts: pa.Array, chars: int = SLICE_CHARS) -> list[list[str]]:
@@ -76,6 +99,46 @@ def slices(texts: pa.Array, chars: int = SLICE_CHARS) -> list[list[str]]:
     return out
 
 
-def encoded(texts: pa.Array, store: Store, units: Callable[[str], list[str]]) -> pa.Array:
-    parts = [list_array(*store.ids([units(t) for t in run])) for run in slices(texts)]
+def cuts(texts: pa.Array, size: int = SLICE_CHARS) -> list[pa.Array]:
+    """The batch in slices of about so many bytes; a text is in one slice."""
+    bytes_upto = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    parts = np.concatenate([[0], bytes_upto[:-1] // size])[: len(texts)] if len(texts) else np.zeros(0)
+    edges = [0, *(np.flatnonzero(np.diff(parts)) + 1).tolist(), len(texts)]
+    return [texts.slice(a, b - a) for a, b in zip(edges, edges[1:], strict=False)]
+
+
+def ids_of_units(units: pa.ListArray, store: Store) -> pa.Array:
+    """The ids of each list of units; an END unit gives the end id."""
+    each = units.flatten().dictionary_encode()
+    flat, counts = store.ids(each.dictionary.to_pylist())
+    at = each.indices.to_numpy(zero_copy_only=False)
+    counts = counts.astype(np.int32)
+    n = counts[at]
+    ends = np.cumsum(n, dtype=np.int32)  # a slice of texts has far fewer ids than 2^31
+    place = np.repeat((np.cumsum(counts, dtype=np.int32) - counts)[at] - ends + n, n)
+    place += np.arange(len(place), dtype=np.int32)
+    upto = np.concatenate([[0], ends])[np.cumsum(pc.list_value_length(units).to_numpy(zero_copy_only=False), dtype=np.int64)]
+    return list_array(flat[place], np.diff(upto, prepend=0))
+
+
+def encoded(texts: pa.Array, store: Store, odd: str, units_of_odd: Callable[[str], list[str]], first: str = "", apart: tuple[str, str] | None = None) -> pa.Array:
+    """The ids of each text (null: empty) and the end id.
+
+    odd is the pattern (RE2) of texts that units_of_odd must cut; first marks the first unit of the others,
+    and apart is a pattern and its replacement by which more units are cut from words.
+    """
+    parts = []
+    for run in cuts(texts):
+        run = pc.fill_null(run, "")
+        plain = pc.invert(pc.match_substring_regex(run, odd))
+        own = run.filter(plain)
+        words = pc.replace_substring_regex(own, *apart) if apart else own
+        marked = pc.binary_join_element_wise(first, pc.replace_substring(words, "\n", " \n"), " " + END, "")
+        done = ids_of_units(pc.split_pattern(marked, " "), store)
+        if len(own) < len(run):
+            rest = pa.array([[*units_of_odd(t), END] for t in run.filter(pc.invert(plain)).to_pylist()], pa.list_(pa.string()))
+            mask = plain.to_numpy(zero_copy_only=False)
+            place = np.where(mask, np.cumsum(mask) - 1, len(own) + np.cumsum(~mask) - 1)
+            done = pa.concat_arrays([done, ids_of_units(rest, store)]).take(pa.array(place))
+        parts.append(done)
     return pa.concat_arrays(parts)

@@ -7,10 +7,12 @@ import hashlib
 import random
 import re
 import struct
+import time
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -77,7 +79,7 @@ def test_decontamination_against_edit_tables(spark):
                 w[at:at + rng.randint(0, 1)] = rng.choice(["z", "zz", ""])
             body = f"{body}, {''.join(w)}\n{prose(rng, 10)}"
         docs.append((d, body))
-    docs += [(100, None), (101, ""), (102, "a short one indeed"), (103, "shorter oneness"), (104, "short one")]
+    docs += [(100, None), (101, ""), (102, "a short one indeed"), (103, "shorter oneness"), (104, "short one"), (105, "xshort one and then short one here")]
     found = decontaminate.matches(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), block_chars=300)
     got = {(r.doc_id, r.item_id): r for r in found.collect()}
     for d, body in docs:
@@ -202,18 +204,35 @@ def test_signatures_estimate_weighted_similarity():
     assert abs((sig[0] == sig[1]).mean() - true) < 4 * (true * (1 - true) / 4096) ** 0.5
 
 
-def test_links_survive_when_hubs_do_not_connect(spark):
-    """Buckets whose hub is no neighbour of two close members: the pair is still found."""
-    nodes = [(k, n) for k in (1, 2) for n in range(12)]
-    assert len(nodes) == 24
+@pytest.mark.parametrize("small", [1, 9])
+def test_links_survive_when_hubs_do_not_connect(spark, monkeypatch, small):
+    """Chains of near copies, a passage shared by unlike texts, and copies of different distance from their origin."""
+    monkeypatch.setattr(bagminhash, "SMALL", small)
     rng = random.Random(4)
     base = prose(rng, 60).split()
-    chain = []
+    texts = []
     for i in range(25):  # each differs from its neighbours by one word more: a chain, not a star
         base = [*base[:-1], f"w{i}"] if i % 2 else [f"v{i}", *base[1:]]
-        chain.append((i, " ".join(base)))
-    got = {r.doc_id: r.class_id for r in bagminhash.classes(spark.createDataFrame(chain, "doc_id long, text string")).collect()}
-    assert got == brute_classes(chain)
+        texts.append(" ".join(base))
+    passage = prose(rng, 60)
+    texts += [f"{passage} {prose(rng, rng.randint(50, 65))}" for _ in range(60)]
+    texts += [f"{texts[30 + i]} end" for i in range(5)]
+    origin = prose(rng, 120).split()
+    texts += [" ".join(w if rng.random() > share else rng.choice(WORDS) for w in origin) for share in (0.005, 0.01, 0.02, 0.03, 0.05) for _ in range(20)]
+    texts += [" ".join(["one two three four five six"] * (8 + i % 4)) for i in range(12)]
+    rows = list(enumerate(texts))
+    got = {r.doc_id: r.class_id for r in bagminhash.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute_classes(rows)
+
+
+def test_rare_elements_find_every_similar_pair(spark):
+    rng = random.Random(11)
+    bags = [sorted(rng.sample(range(60), rng.randint(1, 40))) for _ in range(60)]
+    bags += [sorted({*rng.sample(b, len(b) - len(b) // 12), *rng.sample(range(60), len(b) // 15)}) for b in bags]
+    df = spark.createDataFrame(list(enumerate(bags)), "node long, bag array<long>")
+    found = {(min(r), max(r)) for r in bagminhash.pairs_by_rare(df.select("node", F.col("node").alias("comp")), df, 0.8).collect()}
+    want = {(i, j) for i, a in enumerate(bags) for j, b in enumerate(bags) if i < j and len({*a} & {*b}) >= 0.8 * len({*a} | {*b})}
+    assert want and found >= want and {tuple(r) for r in bagminhash.verified(spark.createDataFrame(sorted(found), "a long, b long"), df, 0.8).collect()} == want
 
 
 # 4: media
@@ -253,7 +272,22 @@ def test_general_jpeg_decoder_agrees_with_the_flat_one():
 def test_shots_cut_where_histograms_jump():
     dark, light = np.full(576, 10, np.uint8), np.full(576, 240, np.uint8)
     assert media.shot_starts([dark] * 12 + [light] * 12 + [dark] * 3) == [0, 12, 24]
-    assert media.shot_starts([dark]) == [0]
+    assert media.shot_starts([dark]) == [0] and media.shot_starts([dark, light]) == [0, 1] and media.shot_starts([dark, dark]) == [0]
+    rng = np.random.default_rng(4)
+    for _ in range(50):  # against the rule, one difference at a time
+        frames = [rng.integers(0, rng.choice([20, 256]), 576).astype(np.uint8) for _ in range(rng.integers(1, 30))]
+        hist = [np.bincount(x // 16, minlength=16) / 576 for x in frames]
+        diff = [np.abs(a - b).sum() / 2 for a, b in zip(hist, hist[1:], strict=False)]
+        want = [0] + [i + 1 for i, d in enumerate(diff) if d > media.LEAST and (not i or d > np.mean(diff[max(i - 8, 0):i]) + 3 * np.std(diff[max(i - 8, 0):i]) + 1e-12)]
+        assert media.shot_starts(frames) == want
+
+
+def test_clip_rows(spark):
+    payload = bytes([10] * 576 * 3 + [240] * 576 * 2)
+    df = media.write_avi(spark.createDataFrame([(1, payload, 7), (2, None, 8)], "doc_id long, payload binary, el_read int"))
+    rows = sorted(tuple(r) for r in media.clip_rows(df, "doc_id", "el_read").collect())
+    assert rows == [(1, 7, 0, 0, 3, 0, 120, 10.0), (1, 7, 1, 3, 5, 120, 200, 240.0), (2, 8, 0, 0, 1, 0, 40, 255.0)]
+    assert media.clip_rows(df.select("doc_id", F.lit(b"x").alias("media")), "doc_id").count() == 0
 
 
 # 5: sharding
@@ -277,6 +311,16 @@ def test_sharding(spark, docs, rows, empty):
     assert len({(r.shard, r.slot) for r in sharding.placed(twice, first.drop("version"), "doc_id", "text").collect()}) == 3
 
 
+def test_slot_bytes(spark, docs, rows):
+    got = {r.vslot: (r.rows, r.bytes) for r in sharding.slot_bytes(docs, "doc_id", "text", 8).collect()}
+    slots = {r.doc_id: r.v for r in docs.select("doc_id", sharding.slot_of("doc_id", 8).alias("v")).collect()}
+    want = collections.defaultdict(lambda: [0, 0])
+    for r in rows:
+        want[slots[r[0]]][0] += 1
+        want[slots[r[0]]][1] += len((r[1] or "").encode()) + 1
+    assert got == {v: tuple(x) for v, x in want.items()}
+
+
 def test_rebalancing_moves_slots_to_light_shards(spark):
     m = sharding.first_map(spark, 3, 60)
     w = spark.range(60).select(F.col("id").cast("int").alias("vslot"), F.lit(1).alias("rows"), F.when(F.col("id") % 3 == 0, 100).otherwise(10).cast("long").alias("bytes"))
@@ -318,6 +362,21 @@ def test_secrets_joined_to_words_and_of_each_class():
         assert not secret_scan.spans_of(t), t
 
 
+def test_allow_list_equals_testing_each_part_and_takes_no_step_back():
+    rng = random.Random(17)
+    for _ in range(4000):
+        token = "".join(rng.choice(["ab", "Cd", "EF", "12", "-", "/", "_", "==", "+", "a1"]) for _ in range(rng.randint(1, 7)))
+        first, *rest = re.split(r"[/_+=-]+", token)
+        forms = (("[A-Z]?[a-z]+", "[A-Z]?[a-z]*"), ("[A-Z]+", "[A-Z]*"), ("[0-9]+", "[0-9]*"))
+        assert bool(secret_scan.ALLOWED.fullmatch(token)) == any(re.fullmatch(a, first) and all(re.fullmatch(b, x) for x in rest) for a, b in forms), token
+    began = time.perf_counter()
+    for mark in "-=/_+":
+        secret_scan.spans_of("Section" + mark * 10_000 + "1")
+        secret_scan.spans_of(f"a{mark}" * 10_000 + "1")
+    secret_scan.spans_of("password" + " " * 10_000 + "x" + "token=" * 5_000)
+    assert time.perf_counter() - began < 5
+
+
 def test_incremental_entropy_equals_counting_anew():
     rng = random.Random(9)
     token = "".join(rng.choice("abcdefABCDEF0123456789+/") for _ in range(300)) + "a" * 60
@@ -357,6 +416,12 @@ def test_chat_parts_become_placeholders(spark):
     assert r[1].expanded_tokens == 85 + 340 + 528 + 79 and r[2].formatted == "<turn:user>\n</turn>\n"
 
 
+def test_equal_turns_are_ordered_by_their_texts(spark):
+    df = spark.createDataFrame([(1, 0, "user", t) for t in ("Ab", "<a", "zz")], "conv_id long, turn long, role string, text string").withColumn("parts", chat.text_parts("text"))
+    turns = chat.formatted_chats(df).select(chat.parsed_turns("formatted").alias("t")).first().t
+    assert [t.text for t in turns] == ["<a", "Ab", "zz"]
+
+
 # 8: token ids
 
 
@@ -378,13 +443,47 @@ def test_token_files(spark, docs, rows, empty, tmp_path):
     assert grammar.read_ids(spark, f"{path}-empty").count() == 0
 
 
+def test_ids_of_random_strings_equal_the_library():
+    from tokenizers import Tokenizer
+
+    rng = random.Random(14)
+    alphabet = list("aaabcdeee  th\n\n\t\r.,!?;'-1 2Äß漢🙂\u0301") + ["the", " ing.", "  ", "\x01", "\x02", "\x02end", "\u00a0", "\u3000", "\u200b", "\u2028", "\x85", "'s", "don't ", "<|endoftext|>", "a" * 70]
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 60))) for _ in range(3000)] + [prose(rng, 50).replace(" ", ", ", 9) + "." for _ in range(300)]
+    want = [[*e.ids, 2] for e in Tokenizer.from_file(BYTE_BPE).encode_batch(texts, add_special_tokens=False)]
+    for t, ids, own in zip(texts, grammar.encoded_texts(pa.array(texts), BYTE_BPE, 2).to_pylist(), want, strict=True):
+        assert ids == own, repr(t)
+
+
+def test_unit_stores_stay_within_their_bytes():
+    """Also on texts with blank lines and on texts without blanks, and what was dropped is encoded again."""
+    from eventloom.llm.words import Store
+
+    calls = []
+
+    def encode(units):
+        calls.append(len(units))
+        return np.array([len(u) for u in units], np.int32), np.ones(len(units), np.int64)
+
+    store, rng = Store(encode, 2, 100_000), random.Random(3)
+    for _ in range(60):
+        units = list(dict.fromkeys("".join(rng.choice("abcdef") for _ in range(rng.choice([5, 9, 60, 5000]))) for _ in range(200)))
+        ids, counts = store.ids(units)
+        assert ids.tolist() == [len(u) for u in units] and counts.tolist() == [1] * len(units)
+        assert store.held() <= store.limit and not any(len(u) > 64 for u in store.young)
+    texts = ["\n\n".join(prose(rng, 40) for _ in range(3)) for _ in range(300)] + ["x" * 5000 + str(i) for i in range(300)]
+    for of in (lambda t: grammar.encoded_texts(t, BYTE_BPE, 2), lambda t: piece_bpe.encoded_texts(t, PIECE_BPE)):
+        of(pa.array(texts))
+    for store in (grammar.store(BYTE_BPE, 2), piece_bpe.store(PIECE_BPE)):
+        assert store.held() <= store.limit and max(map(len, [*store.young, *store.old])) <= 64
+
+
 def test_grammar_expands_to_what_it_compressed():
     rng = np.random.default_rng(3)
     seq = np.concatenate([np.tile([5, 6, 7, 7, 7], 400), rng.integers(3, 40, 3000), np.full(500, 9), np.tile([4, 2], 50)]).astype(np.int32)
     rules, lengths, left = grammar.compressed(seq, 2)
-    assert len(left) < len(seq) * 0.6 and (grammar.expanded(left, rules) == seq).all()
+    assert len(left) < len(seq) * 0.6 and (grammar.expanded(left, rules, lengths) == seq).all()
     for k, n in enumerate(lengths):
-        assert len(grammar.expanded(np.array([grammar.RULE_BASE + k]), rules)) == n
+        assert len(grammar.opened(np.array([grammar.RULE_BASE + k]), rules)) == n
     assert grammar.compressed(np.zeros(0, np.int32), 2)[2].size == 0
 
 
@@ -447,6 +546,78 @@ def test_toxicity_threats_count_with_a_target_and_context_reduces_a_match(spark)
     assert toxicity.threats_of({"killing": 5.0, "idiot": 4.0, "kill$": 0.25}) == {"killing": 5.0, "kill$": toxicity.THREAT_WEIGHT}
 
 
+def plain_features(stems, threats, text):
+    """The grammar's features by walking each clause with flags, without automaton or transducers."""
+    fits = lambda w, stem: w == stem[:-1] if stem.endswith("$") else w.startswith(stem)
+    total = dict.fromkeys(toxicity.FEATURES + toxicity.THREATS, 0.0)
+    for clause in re.split(r"[.!?;:\n]", text.lower()):
+        words = re.findall(r"\w+", clause)
+        kinds = [next((k for k in toxicity.CONTEXT for s in toxicity.SEED[k] if fits(w, s)), "") for w in words]
+        best = [(max([0.0, *(v for s, v in stems.items() if fits(w, s))]), max([0.0, *(v for s, v in threats.items() if fits(w, s))])) for w in words]
+        total["clauses"] += any(a or b for a, b in best)
+        for i, (weight, threat) in enumerate(best):
+            own, aimed = max(weight, threat) if "target" in kinds else weight, "target" in kinds
+            kind = "reported" if "report" in kinds[:i] else "negated" if "negation" in kinds[max(i - toxicity.NEGATION_REACH, 0):i] else "plain"
+            total[kind] += own
+            total["aimed"] += own * (aimed and kind == "plain")
+            total["threat"] += threat * (aimed and kind == "plain")
+    return [np.log1p(total[k]) for k in toxicity.FEATURES + toxicity.THREATS]
+
+
+def test_toxicity_features_equal_walking_clauses():
+    rng = random.Random(21)
+    stems, threats = {"idiot": 4.0, "scum$": 3.0, "kill$": 0.25, "kills": 2.0, "you": 1.5, "glor": 2.5, "glorbag": 3.5}, {"kill$": 4.0, "kills": 4.0}
+    g = toxicity.Grammar(stems, threats)
+    words = "idiot idiots scum scummy kill kills killer you your they not never said wrote the a is glorb glorbag _kill kill_ größe".split()
+    for _ in range(3000):
+        text = "".join(rng.choice(words) + rng.choice([" ", " ", " ", ", ", ". ", "\n", "! ", "-"]) for _ in range(rng.randint(0, 14)))
+        assert g.features(text) == pytest.approx(plain_features(stems, threats, text)), text
+    machine = toxicity.clause_machine()
+    assert len(machine.starts) == 2 and all(len(found) == 1 for found in machine.arcs.values())  # the only guess is whether someone is named
+
+
+def test_composition_equals_reading_one_after_the_other():
+    rng = random.Random(22)
+    upper = toxicity.transducer((0,), lambda s: True, "ab", lambda s, x: [(1 - s, x.upper() if s else x)])
+    count = toxicity.transducer((0,), lambda s: s < 2, "abAB", lambda s, x: [(min(s + (x == "B"), 2), f"{x}{s}")])
+    both = toxicity.compose(upper, count)
+    for _ in range(200):
+        text = [rng.choice("ab") for _ in range(rng.randint(0, 8))]
+        middle = toxicity.accepted_path(upper, text)
+        paths = [(0, [])]
+        for x in middle:
+            paths = [(s, [*out, y]) for state, out in paths for s, y in count.arcs.get((state, x), ())]
+        want = next((out for s, out in paths if s in count.finals), None)
+        assert want == (toxicity.accepted_path(both, text) if want is not None else None)
+
+
+def test_toxicity_learned_stems_equal_counting(spark):
+    rng = random.Random(23)
+    rows = [(i, prose(rng, 12) + (" glorbag" + rng.choice(["", "s", "ged"]) + " " + prose(rng, 3) if i % 4 == 0 else ""), int(i % 4 == 0)) for i in range(160)]
+    docs, before, clean = collections.defaultdict(set), collections.defaultdict(set), collections.Counter()
+    stems_of = lambda w: {w + "$", *(w[:k] for k in toxicity.STEM_LENGTHS if len(w) >= k)}
+    for i, t, toxic in rows:
+        words = t.split()
+        for b, w in zip(["", *words], words, strict=False):
+            for s in stems_of(w):
+                if toxic:
+                    docs[s].add(i)
+                    before[s].add(b)
+        if not toxic:
+            clean.update(set().union(*map(stems_of, words)))
+    n, p = len(rows), sum(r[2] for r in rows)
+    want = {}
+    for s in docs:
+        pos, neg = min(len(docs[s]), len(before[s])), clean[s]
+        weight, share = np.log((pos + 0.5) / (p + 1)) - np.log((neg + 0.5) / (n - p + 1)), (pos + neg) / n
+        z = (pos / p - neg / (n - p)) / np.sqrt(share * (1 - share) * (1 / p + 1 / (n - p)))
+        if pos >= toxicity.LEAST_DOCS and weight >= toxicity.LEAST_WEIGHT and z >= toxicity.LEAST_Z:
+            want[s] = weight
+    got = toxicity.learned_stems(spark.createDataFrame(rows, "doc_id long, text string, toxic int"))
+    seeds = {s for k in toxicity.SEED_WEIGHT for s in toxicity.SEED[k]}
+    assert "glor" in want and {s: w for s, w in got.items() if s not in seeds} == pytest.approx(want)
+
+
 # 10: SentencePiece
 
 
@@ -470,11 +641,27 @@ def test_pieces_of_random_strings_equal_the_library():
     m, rng = piece_bpe.model(PIECE_BPE), random.Random(12)
     alphabet = list("aaabcdeee  th\n\tÄß漢🙂▁.\u0301'") + ["the", "ing", "  ", "\x01", "\x02", "\u00a0"]
     texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 60))) for _ in range(1500)]
-    import pyarrow as pa
-
-    from eventloom.llm.words import encoded
-
-    got = encoded(pa.array(texts), piece_bpe.store(PIECE_BPE), piece_bpe.units_of).to_pylist()
+    got = piece_bpe.encoded_texts(pa.array(texts), PIECE_BPE).to_pylist()
     for t, ids in zip(texts, got, strict=True):
         assert ids == sp.encode(t, add_eos=True), repr(t)
     assert m.decode(pa.array(got, pa.list_(pa.int32()))) == [sp.decode(x) for x in got]
+
+
+# names that the operators use themselves
+
+
+def test_reserved_names_do_no_harm(spark):
+    names = "el_host el_lines el_left el_id el_key el_node el_n el_x el_leak key node comp n h at el own size".split()
+    texts = ["one line\nanother", "one line\nanother", "You are an idiot.", "long enough to be found as an item of a benchmark " * 3, None, ""]
+    df = spark.createDataFrame([(i, t, "s", *range(len(names))) for i, t in enumerate(texts)], f"doc_id long, text string, source string, {', '.join(f'{n} int' for n in names)}")
+    bench = spark.createDataFrame([(1, texts[3])], "item_id long, text string")
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    outs = (
+        lines.without_boilerplate(df).drop("el_lines_total", "el_lines_dropped"), bagminhash.one_of_each(df), decontaminate.without_leaks(df, bench),
+        toxicity.scored(df, toxicity.fit(df, labels)).drop("score"),
+    )
+    for out, n in zip(outs, (6, 4, 5, 6), strict=True):
+        rows = out.collect()
+        assert out.columns == df.columns and len(rows) == n and all(tuple(r)[3:] == tuple(range(len(names))) for r in rows)
+    df = df.withColumn("el_lines_total", F.lit(-1)).withColumn("score", F.lit(-1.0))
+    assert {r.el_lines_total for r in lines.without_boilerplate(df).collect()} == {0, 1, 2, } and all(r.score >= 0 for r in toxicity.scored(df, toxicity.fit(df, labels)).collect())

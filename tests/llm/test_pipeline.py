@@ -96,6 +96,28 @@ def test_run_gives_the_last_stage(spark, stages):
     assert {r.doc_id: r.ids_sha256 for r in corpus_pipeline.run(spark, SF).collect()} == {i: r.ids_sha256 for i, r in by_id(stages[-1][2]).items()}
 
 
+EDGES = [
+    (1, "plain words of a text that stays as it is", "en", "s", 41), (1, "plain words of a text that stays as it is", "en", "s", 41), (2, None, None, None, None), (3, "", "en", "s", 0),
+    (None, "a text without an id but with words enough to have shingles", None, "s", None), (4, "You are an idiot, idiot, idiot.", "en", "s", 31), (5, "\n\n \t\n", "en", None, 6), (6, "long " * 60_000, "en", "s", 300_000),
+    (7, "tie of equal words in two documents of one size", "en", "s", 9), (8, "tie of equal words in two documents of one size", "en", "s", 9),
+]
+
+
+@pytest.mark.parametrize("rows", [EDGES, []])
+def test_stages_take_nulls_empty_long_and_repeated_texts_and_clashing_names(spark, tmp_path, rows):
+    names = "el_score el_x el_total el_dropped el_lines_dropped el_host el_id el_key el_leak".split()
+    df = spark.createDataFrame([(*r, *range(len(names))) for r in rows], f"doc_id long, text string, lang string, source string, n_chars long, {', '.join(f'{n} int' for n in names)}")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, None), (2, "")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, df, str(tmp_path)).cache()
+        assert after.columns == df.columns and {tuple(r) for r in after.collect()} <= {tuple(r) for r in df.collect()}
+        df = after
+    got = corpus_pipeline.STAGES[-1][1](spark, df, str(tmp_path)).collect()
+    assert sorted(r.doc_id or 0 for r in got) == ([0, 1, 2, 5, 6, 7] if rows else [])  # 4 is toxic, 3 a copy of 2; 5 has no words and no equal
+    assert all(r.n_tokens == len(r.ids) and r.ids[-1] == 2 for r in got)
+
+
 def test_queries_return_their_contracts(spark):
     queries = __spark_entry__.queries()
     names = {int(n[2:].split("_")[0]): n for n in queries if n.startswith("op")}
@@ -110,9 +132,17 @@ def test_queries_return_their_contracts(spark):
     assert all(r.law == "key" and r.size == len(texts[i].encode()) + 1 and r.grown_shard in (r.shard, 16) for i, r in rows.items())
     for s in range(16):
         assert sorted(r.slot for r in rows.values() if r.shard == s) == list(range(sum(r.shard == s for r in rows.values())))
+    import numpy as np
+    from tokenizers import Tokenizer
+
+    bpe, sp = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    for i, r in by_id(queries[names[10]](spark, SF)).items():
+        ids = sp.encode(texts[i], add_eos=True)
+        assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(sp.decode(ids).encode()).hexdigest())
     start = 0
     for i, r in sorted(by_id(queries[names[8]](spark, SF)).items()):
-        assert r.start == start
+        ids = np.array([*bpe.encode(texts[i], add_special_tokens=False).ids, 2], "<u4")
+        assert (r.start, r.n_tokens, r.ids_crc32) == (start, len(ids), zlib.crc32(ids.tobytes()))
         start += r.n_tokens
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.7) and r.held_out == (zlib.crc32(str(i).encode()) % 3 == 1) for i, r in by_id(queries[names[9]](spark, SF)).items())
     probe = {r.conv_id: r for r in queries[names[7]](spark, SF).collect()}[-7]
