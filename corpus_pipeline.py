@@ -1,7 +1,13 @@
 """The corpus pipeline: toxicity, line dedup, near-dedup, decontamination and tokens over documents.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; between stages the rows are written
-as Parquet and read again.  All stages but the last return the columns of documents.
+as Parquet and read again.  All stages but the last return the columns of documents, and other columns
+that docs may have, whatever their names.
+
+Defined results of every stage: a null text counts as an empty one, and stays null as long as it is kept;
+texts are read whole, however long; rows with null ids are kept unless another of their near-duplicate
+class is; of rows of one id and one text near-dedup keeps one; ties are broken as the operators say; an
+empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -11,19 +17,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventloom.llm import bagminhash, decontaminate, lines, piece_bpe, toxicity
-from eventloom.llm.shared import saved, table
+from eventloom.llm.shared import fresh, saved, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored below the threshold; the model is learned from the labelled ones among docs."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    return toxicity.scored(docs, model, score="el_score").where(F.col("el_score") < toxicity.REJECT).select(docs.columns)
+    (score,) = fresh(docs, "el_score")
+    return toxicity.scored(docs, model, score=score).where(F.col(score) < toxicity.REJECT).select(docs.columns)
 
 
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the boilerplate lines of their source; n_chars follows the text."""
-    left = lines.without_boilerplate(docs).withColumn("n_chars", F.when(F.col("el_lines_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return left.select(docs.columns)
+    total, dropped = fresh(docs, "el_total", "el_dropped")
+    left = lines.without_boilerplate(docs, total=total, dropped=dropped)
+    return left.withColumn("n_chars", F.when(F.col(dropped) > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,6 +67,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages one after another over all documents: a row of ids for every document that is left."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = saved(stage(spark, docs, sf_dir))
