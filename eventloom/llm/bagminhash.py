@@ -31,14 +31,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import broadcast_if_small, fresh, saved
+from .shared import broadcast_if_small, fresh, released, saved, small_batches
 from .words import list_array, slices
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 24, 4
 #: Buckets of up to so many members are compared in full.
 SMALL = 9
-WORDS_KEPT = 200_000
+WORDS_KEPT = 100_000
 
 _word = re.compile(r"\w+")
 _u64 = np.uint64
@@ -145,7 +145,7 @@ def _band_keys(texts: pa.Array) -> pa.Array:
         counts[full] = BANDS
         flat = band_keys(signatures([bags[i] for i in full])).reshape(-1) if full else np.zeros(0, np.int64)
         parts.append(pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(counts)).astype(np.int32)), pa.array(flat)))
-    return pa.concat_arrays(parts)
+    return released(pa.concat_arrays(parts))
 
 
 @F.arrow_udf(T.ArrayType(T.LongType()))
@@ -155,7 +155,7 @@ def _bag(texts: pa.Array) -> pa.Array:
         bags = [bag(t) for t in run]
         flat = np.concatenate([np.zeros(0, np.int64), *bags])
         parts.append(pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum([len(b) for b in bags])).astype(np.int32)), pa.array(flat)))
-    return pa.concat_arrays(parts)
+    return released(pa.concat_arrays(parts))
 
 
 def node_of(text: str) -> Column:
@@ -255,7 +255,7 @@ def links_of(docs: DataFrame, doc_id: str, text: str, similarity: float) -> Data
     than one component, its members are compared with those of other components with which they share a
     rare shingle, as all similar ones do.
     """
-    raw = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("node", node_of("text"))
+    raw = small_batches(docs).select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("node", node_of("text"))
     rows = saved(raw.select("node", F.explode(_band_keys("text")).alias("key")).distinct())
     shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     members = saved(rows.join(shared, "key").select("key", "node", "n"))

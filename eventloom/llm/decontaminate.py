@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import broadcast_if_small, fresh, saved
+from .shared import broadcast_if_small, fresh, saved, small_batches
 
 #: Least characters of a piece: the budget is one edit for each piece but the first.
 PIECE_CHARS = 16
@@ -148,7 +148,7 @@ def matches(docs: DataFrame, bench: DataFrame, doc_id: str = "doc_id", text: str
     items = bench.select(F.col(item_id).cast("long").alias("item_id"), F.col(item_text).alias("text")).where("text is not null")
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = chars // block_chars + 1
-    pairs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    pairs = small_batches(docs).select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
 
     def passed(block, name: str) -> DataFrame:
         def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .shared import broadcast_if_small, saved
+from .shared import broadcast_if_small, saved, small_batches
 from .words import LITERAL, Store, encoded, list_array, unit_text
 
 SHARD_TOKENS = 1 << 18
@@ -37,6 +37,8 @@ RULE_BASE = 1 << 20
 LEAST, FACTOR = 8, 64
 #: Bits of the hash by which pairs are sieved, units encoded in one call, and bytes of units a worker keeps.
 SLOT_BITS, TOGETHER, UNITS_BYTES = 18, 512, 192 << 20
+#: Bytes of texts encoded at once.
+SLICE = 12_000_000
 SCHEMA = "part int, shard int, doc_ids array<bigint>, counts array<int>, n_tokens bigint, rules array<int>, lengths array<int>, sequence array<int>"
 
 #: White space by any library's reckoning but ASCII, and all of it with control characters.
@@ -104,8 +106,8 @@ def encoded_texts(texts: pa.Array, path: str, end_id: int) -> pa.Array:
     """The ids of each whole text and the end id."""
     words = store(path, end_id)
     if not words.cuts_words:  # a tokenizer whose first step is another: whole texts
-        return encoded(texts, words, r"\A", lambda t: [LITERAL + t] if t else [])
-    return encoded(texts, words, ODD, units_of, LITERAL, APART)
+        return encoded(texts, words, r"\A", lambda t: [LITERAL + t] if t else [], size=SLICE)
+    return encoded(texts, words, ODD, units_of, LITERAL, APART, SLICE)
 
 
 def sieved(pairs: np.ndarray, least: int) -> np.ndarray:
@@ -202,6 +204,18 @@ def document_ids(row: dict, k: int) -> np.ndarray:
     return opened(seq[a:b + 1], rules.reshape(-1, 2))[skip:skip + end - start]
 
 
+def gathered(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """Batches of about so many bytes out of smaller ones."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.nbytes for b in held) >= size:
+            yield pa.concat_batches(held)
+            held = []
+    if held:
+        yield pa.concat_batches(held)
+
+
 def write_ids(df: DataFrame, out: str, path: str, doc_id: str = "doc_id", text: str = "text", end_id: int = 2, shard_tokens: int = SHARD_TOKENS) -> None:
     """Encode df's whole texts and write the shards, ascending by doc_id over parts and shards.
 
@@ -231,7 +245,7 @@ def write_ids(df: DataFrame, out: str, path: str, doc_id: str = "doc_id", text:
             docs.clear()
             return pa.RecordBatch.from_arrays(arrays, names=[c.split()[0] for c in SCHEMA.split(", ")])
 
-        for batch in batches:
+        for batch in gathered(batches, SLICE):
             names = batch.column(0).to_pylist()
             own = encoded_texts(batch.column(1), path, end_id)
             flat, upto = own.values.to_numpy(), own.offsets.to_numpy()
@@ -249,7 +263,7 @@ def write_ids(df: DataFrame, out: str, path: str, doc_id: str = "doc_id", text:
             yield row()
 
     ordered = (
-        df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("h"))
+        small_batches(df).select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("h"))
         .repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h").select("doc_id", "text")
     )
     ordered.mapInArrow(shards, SCHEMA).write.parquet(out)

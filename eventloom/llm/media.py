@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import fresh
+from .shared import fresh, small_batches
 
 SIDE = 24  #: samples on a frame's side
 FRAME = SIDE * SIDE
@@ -329,12 +329,12 @@ def _read(files: pa.Array) -> pa.Array:
 
 def write_avi(df: DataFrame, payload: str = "payload", media: str = "media") -> DataFrame:
     """df with media: the AVI file that holds payload (binary), padded with 255 to whole frames."""
-    return df.withColumn(media, _write(F.coalesce(F.col(payload), F.lit(b""))))
+    return small_batches(df).withColumn(media, _write(F.coalesce(F.col(payload), F.lit(b""))))
 
 
 def read_avi(df: DataFrame, media: str = "media", read: str = "read") -> DataFrame:
     """df with read: payload, n_frames and clips of the AVI file in media."""
-    return df.withColumn(read, _read(F.col(media)))
+    return small_batches(df).withColumn(read, _read(F.col(media)))
 
 
 def clip_rows(df: DataFrame, *keys: str, media: str = "media") -> DataFrame:

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .shared import released, small_batches
 from .words import LITERAL, Store, encoded, unit_text
 
 SPACE = "▁"
@@ -267,9 +268,9 @@ def with_pieces(df: DataFrame, path: str, text: str = "text", ids: str = "ids")
 
     @F.arrow_udf(T.ArrayType(T.IntegerType()))
     def encode(texts: pa.Array) -> pa.Array:
-        return encoded_texts(texts, path)
+        return released(encoded_texts(texts, path))
 
-    return df.withColumn(ids, encode(F.coalesce(F.col(text), F.lit(""))))
+    return small_batches(df).withColumn(ids, encode(F.coalesce(F.col(text), F.lit(""))))
 
 
 def with_text(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -277,6 +278,6 @@ def with_text(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded")
 
     @F.arrow_udf(T.StringType())
     def decode(lists: pa.Array) -> pa.Array:
-        return pa.concat_arrays([pa.array(model(path).decode(run), pa.string()) for run in runs_of(lists)])
+        return released(pa.concat_arrays([pa.array(model(path).decode(run), pa.string()) for run in runs_of(lists)]))
 
-    return df.withColumn(text, decode(F.col(ids)))
+    return small_batches(df).withColumn(text, decode(F.col(ids)))

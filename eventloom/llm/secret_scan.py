@@ -24,6 +24,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .shared import small_batches
+
 #: Kinds in the order in which spans of one start are listed.
 KINDS = ("assign", "access", "hex", "entropy_hex", "entropy_base64", "entropy_alnum")
 BASE_KINDS = KINDS[:3]
@@ -142,7 +144,7 @@ def _scan(texts: pa.Array) -> pa.Array:
 
 def with_secrets(df: DataFrame, text: str = "text", spans: str = "spans") -> DataFrame:
     """df with spans: every secret of the whole text as (kind, start, end), by start, then kind."""
-    return df.withColumn(spans, _scan(F.coalesce(F.col(text), F.lit(""))))
+    return small_batches(df).withColumn(spans, _scan(F.coalesce(F.col(text), F.lit(""))))
 
 
 def base_only(spans: str | Column) -> Column:

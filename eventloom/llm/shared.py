@@ -5,12 +5,16 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A side is broadcast only if its rows, measured and not estimated, need no more than this.
 BROADCAST_BYTES = 32 << 20
 
+#: Rows of an Arrow batch at most: texts may be long, and a worker holds a batch and what it makes of it.
+BATCH_ROWS = 2_000
+
 _made: list[str] = []
 
 
@@ -64,6 +68,20 @@ def saved(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """df, after its session was told to send workers at most BATCH_ROWS rows at once (if it was not told to send fewer)."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key)) <= BATCH_ROWS:
+        conf.set(key, str(BATCH_ROWS))
+    return df
+
+
+def released(result: pa.Array) -> pa.Array:
+    """result, after memory that Arrow keeps for later was given back: other operators may use the worker next."""
+    pa.default_memory_pool().release_unused()
+    return result
+
+
 def broadcast_if_small(df: DataFrame, row_bytes: Column, limit: int = BROADCAST_BYTES) -> DataFrame:
     """df with a broadcast hint if the measured sum of row_bytes is within limit, else df as it is.
 

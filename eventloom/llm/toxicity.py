@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import broadcast_if_small, fresh, saved
+from .shared import broadcast_if_small, fresh, saved, small_batches
 
 #: Labelled rows learned from, at most: those of the least id hash.
 TRAIN_ROWS = 40_000
@@ -324,7 +324,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     Stems for the regression come from one half of the rows and its features from the other, so a
     stem that fits its own rows by chance is not trusted; the model's stems come from all rows.
     """
-    rows = training_rows(docs, labels, doc_id, text, limit)
+    rows = training_rows(small_batches(docs), labels, doc_id, text, limit)
     half = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(2)) == 0
     trial = json.dumps(learned_stems(rows.where(half)), sort_keys=True)
     seen = sorted(tuple(r) for r in rows.where(~half).select("toxic", features_of(trial)("text").alias("x")).collect())
@@ -338,4 +338,4 @@ def scored(docs: DataFrame, model: dict, text: str = "text", score: str = "score
     bias, *weights = model["coefficients"]
     (held,) = fresh(docs, "el_x")
     logit = F.aggregate(F.zip_with(held, F.array(*map(F.lit, weights)), lambda a, b: a * b), F.lit(float(bias)), lambda s, v: s + v)
-    return docs.withColumn(held, x).withColumn(score, 1 / (1 + F.exp(-logit))).drop(held)
+    return small_batches(docs).withColumn(held, x).withColumn(score, 1 / (1 + F.exp(-logit))).drop(held)

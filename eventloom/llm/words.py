@@ -16,11 +16,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of units and ids that a worker keeps, and what a unit costs beside its characters and ids.
-STORE_BYTES, UNIT_BYTES = 96 << 20, 200
+STORE_BYTES, UNIT_BYTES = 48 << 20, 200
 #: Longer units are encoded and not kept.
 LONGEST_KEPT = 64
 #: Texts handled at once within an Arrow batch, and units encoded at once.
-SLICE_CHARS, NEW_UNITS = 12_000_000, 50_000
+SLICE_CHARS, NEW_UNITS = 4_000_000, 50_000
 #: Marks: of a literal unit (a key without it has a blank before it, unless it starts with a line break), and of a text's end.
 LITERAL, END = "\x01", "\x02end"
 
@@ -121,14 +121,14 @@ def ids_of_units(units: pa.ListArray, store: Store) -> pa.Array:
     return list_array(flat[place], np.diff(upto, prepend=0))
 
 
-def encoded(texts: pa.Array, store: Store, odd: str, units_of_odd: Callable[[str], list[str]], first: str = "", apart: tuple[str, str] | None = None) -> pa.Array:
+def encoded(texts: pa.Array, store: Store, odd: str, units_of_odd: Callable[[str], list[str]], first: str = "", apart: tuple[str, str] | None = None, size: int = SLICE_CHARS) -> pa.Array:
     """The ids of each text (null: empty) and the end id.
 
     odd is the pattern (RE2) of texts that units_of_odd must cut; first marks the first unit of the others,
     and apart is a pattern and its replacement by which more units are cut from words.
     """
     parts = []
-    for run in cuts(texts):
+    for run in cuts(texts, size):
         run = pc.fill_null(run, "")
         plain = pc.invert(pc.match_substring_regex(run, odd))
         own = run.filter(plain)
