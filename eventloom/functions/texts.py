@@ -14,6 +14,7 @@ from eventloom.functions.clean import bounded, column
 # What a play's type is called in feeds, and the kick it is.
 KICK_TYPES = {
     "Field Goal Good": "field_goal", "Field Goal Missed": "field_goal", "Blocked Field Goal": "field_goal", "Missed Field Goal Return": "field_goal",
+    "Blocked Field Goal Touchdown": "field_goal", "Missed Field Goal Return Touchdown": "field_goal",
     "Punt": "punt", "Blocked Punt": "punt", "Punt Return Touchdown": "punt", "Blocked Punt Touchdown": "punt",
     "Kickoff": "kickoff", "Kickoff Return (Offense)": "kickoff", "Kickoff Return Touchdown": "kickoff",
 }
@@ -30,10 +31,17 @@ def number(text: Column, *patterns: str) -> Column:
 
 
 def kick_family(kind: str | Column, text: str | Column) -> Column:
-    """By type first, then by what the text says."""
-    t = F.lower(column(text))
+    """By type first, then by what the text says was done.
+
+    How a team lined up says nothing: formations are taken out first, so fakes and penalties before the
+    snap are no kicks.
+    """
+    t = F.regexp_replace(F.lower(column(text)), r"\([^()]*\bformation\b[^()]*\)", " ")
+    field_goal = t.rlike(r"\b(?:yds?|yards?|yrds?) (?:fg|field goal)\b|\bfield goal (?:attempt|try|is|good|missed|no good|blocked)\b|\b(?:blocked|missed) (?:fg|field goal)\b")
+    punt = t.rlike(r"\bpunts?\b") & ~t.rlike(r"\bfakes?\b")
+    kickoff = t.rlike(r"\bkicks\b|\bkick ?off\b|\bkick for -?\d+|\bon-?side kick\b")
     by_type = F.create_map(*[F.lit(x) for pair in KICK_TYPES.items() for x in pair])[column(kind)]
-    return F.coalesce(by_type, F.when(t.rlike(r"\bfield goal\b|\byd fg\b"), "field_goal").when(t.rlike(r"\bpunts?\b"), "punt").when(t.rlike(r"\bkick(s|off)\b"), "kickoff"))
+    return F.coalesce(by_type, F.when(field_goal, "field_goal").when(punt, "punt").when(kickoff, "kickoff"))
 
 
 def return_yards(text: str | Column) -> Column:

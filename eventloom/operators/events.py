@@ -55,10 +55,12 @@ def scorer(home_delta: str, away_delta: str, home: Column, away: Column) -> Colu
 def next_event(df: DataFrame, entity: Sequence[str], order: Sequence[str], is_question: Column, is_answer: Column, answer: Column, out: str) -> DataFrame:
     """For each row of is_question, the first later row of the entity that is_answer; null if none follows.
 
-    An as-of join as one window: both kinds of row are one stream, sorted once per entity.
+    An as-of join as one window: both kinds of row are one stream, sorted once per entity, newest first,
+    so that the next answer is the last one seen: the frame grows by a row at each step.  Answers that are
+    null count as none.
     """
-    later = Window.partitionBy(*entity).orderBy(*_order(order)).rowsBetween(1, Window.unboundedFollowing)
-    return df.withColumn(out, F.when(is_question, F.first(F.when(is_answer, answer), ignorenulls=True).over(later)))
+    later = Window.partitionBy(*entity).orderBy(*[F.col(c).desc_nulls_last() for c in order]).rowsBetween(Window.unboundedPreceding, -1)
+    return df.withColumn(out, F.when(is_question, F.last(F.when(is_answer, answer), ignorenulls=True).over(later)))
 
 
 def so_far(df: DataFrame, entity: Sequence[str], order: Sequence[str], measures: dict[str, Column]) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import time
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -61,14 +63,21 @@ def refreshed(facts: DataFrame, source: DataFrame, key: str, columns: Sequence[s
     return facts.drop(*columns).join(source.select(key, *columns), key, "left")
 
 
-def publish(spark: SparkSession, df: DataFrame, table: str) -> None:
-    """Write beside the live table, then swap by rename: readers see the old or the new one, whole."""
-    fresh, old = f"{table}_next", f"{table}_old"
-    df.write.mode("overwrite").saveAsTable(fresh)
-    spark.sql(f"DROP TABLE IF EXISTS {old}")
-    if spark.catalog.tableExists(table):
-        spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
-    spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
+def publish(spark: SparkSession, df: DataFrame, name: str) -> str:
+    """Write df as a table of its own, then let the view name show it: readers see the old or the new rows, whole.
+
+    The view is replaced in one step.  The version shown before stays for those who read it still, and for
+    going back; older ones are dropped.  Gives the new version's table.
+    """
+    version = f"{name}_v{time.time_ns()}"
+    df.write.saveAsTable(version)
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {version}")
+    database, _, base = name.rpartition(".")
+    known = spark.catalog.listTables(database or None, f"{base}_v*")
+    versions = sorted(t.name for t in known if re.fullmatch(rf"{re.escape(base.lower())}_v\d+", t.name.lower()))
+    for stale in versions[:-2]:
+        spark.sql(f"DROP TABLE {database + '.' if database else ''}{stale}")
+    return version
 
 
 def missing_events(known: DataFrame, loaded: DataFrame, key: str, since: str, at: str) -> DataFrame:

@@ -1,6 +1,6 @@
 """Play-shaped tables over the given star schema.
 
-No play-by-play data exist here, so games, plays, people and dimensions are derived from the given
+No sports feed exists here, so games, plays, people and dimensions are derived from the given
 tables: an order is a game, a line item a play, a nation a team, a part a venue, a supplier an
 athlete.  Every expression below is valid in Spark SQL and in DuckDB, so the oracle starts from the
 same rows; what the library computes from them is written once as DataFrame code and once, apart
@@ -159,7 +159,7 @@ class Tables:
 
     @cached_property
     def venues(self) -> DataFrame:
-        return self.raw("part").where("p_partkey < 100").selectExpr(*_exprs(VENUE))
+        return self.raw("part").selectExpr(*_exprs(VENUE))
 
     @cached_property
     def athletes(self) -> DataFrame:
@@ -217,7 +217,7 @@ games AS (SELECT * EXCLUDE (day), CAST((day - 1) // 7 + 1 AS INTEGER) AS week FR
 teams AS (SELECT {_select(TEAM)} FROM nation),
 team_seasons AS (SELECT team_id, season, concat('Conf ', cast({conference('team_id', 'season')} as varchar(5))) AS conference_name, CASE WHEN team_id % 3 = 0 THEN 'FCS' ELSE 'FBS' END AS ncaa_division
                  FROM teams, (SELECT CAST(unnest(generate_series({SEASONS[0]}, {SEASONS[1]})) AS INTEGER) AS season)),
-venues AS (SELECT {_select(VENUE)} FROM part WHERE p_partkey < 100),
+venues AS (SELECT {_select(VENUE)} FROM part),
 athletes AS (SELECT {_select(ATHLETE)} FROM supplier),
 pl AS (SELECT {_select(PLAY)} FROM lineitem JOIN games ON l_orderkey = game_id),
 plays AS (SELECT * EXCLUDE (rn), CASE WHEN rn = 1 THEN base_uid ELSE base_uid || '#' || rn END AS play_uid

@@ -238,7 +238,17 @@ def fg_cube(t: Tables) -> DataFrame:
     return own.cube("season", "band").agg(m.n().alias("att"), F.sum(F.col("fg_made").cast("int")).alias("made"), F.grouping_id("season", "band").alias("level"))
 
 
-@query("a21_checksum", "SELECT 'kicks' AS name, count(*) AS n FROM kicks UNION ALL SELECT 'scrim', count(*) FROM scrim")
+_HASHED = "CAST(coalesce(sum(CAST('0x' || substr(md5(to_json({'play_uid': play_uid, 'game_id': game_id, 'play_kind': play_kind})), 1, 15) AS BIGINT)), 0) AS VARCHAR)"
+
+
+@query("a21_checksum", f"SELECT 'kicks' AS name, count(*) AS n, {_HASHED} AS sum FROM kicks UNION ALL SELECT 'scrim', count(*), {_HASHED} FROM scrim")
+def checksums(t: Tables) -> DataFrame:
+    """Of the facts' ids and kinds, whatever the order of their rows."""
+    parts = [quality.checksum(df, "play_uid", "game_id", "play_kind").select(F.lit(name).alias("name"), "n", F.col("sum").cast("string").alias("sum")) for name, df in (("kicks", t.kicks), ("scrim", t.scrimmage))]
+    return parts[0].unionByName(parts[1])
+
+
+@query("a16_row_counts", "SELECT 'kicks' AS name, count(*) AS n FROM kicks UNION ALL SELECT 'scrim', count(*) FROM scrim")
 def row_counts(t: Tables) -> DataFrame:
     return quality.row_counts(kicks=t.kicks, scrim=t.scrimmage)
 

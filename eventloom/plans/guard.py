@@ -1,8 +1,9 @@
 """A read-only SQL entry point: Spark's own parser tells what a statement is, and only that is looked at.
 
 A statement passes if it is one query over allowed tables without functions that reach outside; its
-rows are limited.  The table rule looks at every relation of the plan, subqueries and CTEs included;
-a name counts as a CTE only if it is written without a schema.
+rows are limited.  The plan may hold only the nodes of READING, and no name that is computed.  The table
+rule looks at every relation of the plan, subqueries and CTEs included; a name counts as a CTE only
+where that CTE is in scope and if it is written without a schema.
 """
 
 from __future__ import annotations
@@ -14,8 +15,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.utils import ParseException
 
 DEFAULT_ROWS, MOST_ROWS = 200, 2000
-#: Plan nodes that write, define or run something.
-NOT_READING = ("Insert", "Create", "Drop", "Alter", "Delete", "Update", "Merge", "Replace", "Truncate", "Load", "Cache", "Uncache", "Refresh", "Set", "Reset", "Use", "Analyze", "Add", "Describe", "Show", "Explain", "Call", "Declare", "Execute", "Compound", "Overwrite", "Repair", "Recover", "Rename", "Comment", "ScriptTransformation")
+#: Plan nodes of a query; any other is refused, whatever a later parser may bring.
+READING = {
+    "Aggregate", "CTERelationRef", "Distinct", "Except", "Filter", "Generate", "GlobalLimit", "Intersect", "Join", "LateralJoin", "LocalLimit", "LocalRelation", "Offset", "OneRowRelation", "Pivot", "Project",
+    "RebalancePartitions", "Repartition", "RepartitionByExpression", "Sample", "Sort", "SubqueryAlias", "Union", "UnresolvedHaving", "UnresolvedHint", "UnresolvedInlineTable", "UnresolvedRelation",
+    "UnresolvedSubqueryColumnAliases", "UnresolvedWith", "Unpivot", "Window", "WithWindowDefinition",
+}
 #: Functions that run code, read files or reveal the session.
 REFUSED_FUNCTIONS = {"java_method", "reflect", "try_reflect", "read_files", "input_file_name", "input_file_block_start", "input_file_block_length", "current_user", "session_user", "user", "version"}
 
@@ -38,23 +43,26 @@ def _list(seq) -> Iterator:
         yield it.next()
 
 
-def _nodes(plan) -> Iterator:
-    """Every node: children, plans of subquery expressions, definitions of CTEs."""
-    yield plan
-    for child in _list(plan.children()):
-        yield from _nodes(child)
-    for sub in _list(plan.subqueries()):
-        yield from _nodes(sub)
+def _nodes(plan, scope: frozenset[str] = frozenset()) -> Iterator[tuple]:
+    """Every node and the CTE names it may see: children, plans of subquery expressions, definitions of CTEs.
+
+    A CTE is seen by the definitions after it and by its own query, and by nothing beside them.
+    """
+    yield plan, scope
     if plan.nodeName() == "UnresolvedWith":
         for pair in _list(plan.cteRelations()):
-            yield from _nodes(pair._2())
+            yield from _nodes(pair._2(), scope)
+            scope |= {pair._1().lower()}
+    for child in _list(plan.children()):
+        yield from _nodes(child, scope)
+    for sub in _list(plan.subqueries()):
+        yield from _nodes(sub, scope)
 
 
-def _functions(expression) -> Iterator[str]:
-    if expression.getClass().getSimpleName() == "UnresolvedFunction":
-        yield ".".join(_list(expression.nameParts()))
+def _expressions(expression) -> Iterator:
+    yield expression
     for child in _list(expression.children()):
-        yield from _functions(child)
+        yield from _expressions(child)
 
 
 def check(spark: SparkSession, sql: str, allowed: Iterable[str], schema: str | None = None) -> Report:
@@ -65,20 +73,18 @@ def check(spark: SparkSession, sql: str, allowed: Iterable[str], schema: str | N
         plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(sql)
     except ParseException as e:
         raise Refused(f"not one readable statement: {str(e).splitlines()[0]}") from e
-    nodes = list(_nodes(plan))
-    ctes = {p._1().lower() for n in nodes if n.nodeName() == "UnresolvedWith" for p in _list(n.cteRelations())}
     allowed = {a.lower() for a in allowed}
     found: set[str] = set()
-    for n in nodes:
-        name = n.getClass().getSimpleName()
-        if name.startswith(NOT_READING) or name.endswith("Command"):
-            raise Refused(f"{name} is no query")
-        if name == "UnresolvedTableValuedFunction":
-            raise Refused("table functions are not allowed")
-        for e in _list(n.expressions()):
-            for f in _functions(e):
-                if f.lower().rpartition(".")[2] in REFUSED_FUNCTIONS:
-                    raise Refused(f"function {f} is not allowed")
+    for n, ctes in _nodes(plan):
+        name = n.getClass().getSimpleName().rstrip("$")
+        if name not in READING:
+            raise Refused(f"{name} is no part of a query that may run here")
+        for e in (x for top in _list(n.expressions()) for x in _expressions(top)):
+            kind = e.getClass().getSimpleName()
+            if "UnresolvedIdentifier" in kind:
+                raise Refused("names that are computed are not allowed")
+            if kind == "UnresolvedFunction" and (f := ".".join(_list(e.nameParts()))).lower().rpartition(".")[2] in REFUSED_FUNCTIONS:
+                raise Refused(f"function {f} is not allowed")
         if name == "UnresolvedRelation":
             parts = [p.lower() for p in _list(n.multipartIdentifier())]
             if len(parts) == 1 and parts[0] in ctes:
@@ -86,15 +92,24 @@ def check(spark: SparkSession, sql: str, allowed: Iterable[str], schema: str | N
             if len(parts) > 2 or (len(parts) == 2 and parts[0] != (schema or "").lower()) or parts[-1] not in allowed:
                 raise Refused(f"table {'.'.join(parts)} is not allowed")
             found.add(parts[-1])
-    return Report(sorted(found))
+    report = Report(sorted(found))
+    if plan.nodeName() == "GlobalLimit" and plan.limitExpr().getClass().getSimpleName() == "Literal":
+        own = int(plan.limitExpr().value())
+        report.limit, report.limit_source = min(own, MOST_ROWS), "statement" if own <= MOST_ROWS else "capped"
+    return report
 
 
 def run(spark: SparkSession, sql: str, allowed: Iterable[str], schema: str | None = None, limit: int | None = None) -> tuple[DataFrame, Report]:
-    """The rows of an acceptable statement, limited: by the caller's limit if given, at most MOST_ROWS."""
+    """The rows of an acceptable statement, limited: by the caller's limit if given, else by the statement's own, at most MOST_ROWS.
+
+    truncated says whether the statement has more rows than that.
+    """
     report = check(spark, sql, allowed, schema)
     if limit is not None:
         report.limit, report.limit_source = max(1, min(int(limit), MOST_ROWS)), "caller" if limit <= MOST_ROWS else "capped"
-    return spark.sql(sql).limit(report.limit), report
+    rows = spark.sql(sql)
+    report.truncated = rows.limit(report.limit + 1).count() > report.limit
+    return rows.limit(report.limit), report
 
 
 def policy(allowed: Iterable[str]) -> str:

@@ -109,6 +109,23 @@ def tuples(t: Tables) -> DataFrame:
     return fl.pairs(t.games.select("game_id", "season", "home_team_id"), [(1996, 3), (1997, 4), (2000, 5)], ["season", "home_team_id"])
 
 
+#: What feeds write, the type they give, and what the play was.
+KICK_TEXTS = (
+    ("Punt", "", "punt"), ("Blocked Field Goal Touchdown", "", "field_goal"), ("Missed Field Goal Return Touchdown", "", "field_goal"), ("Kickoff Return Touchdown", "", "kickoff"),
+    ("Rush", "(Punt formation) T.Way pass deep middle to B.Hand for 20 yards", None), ("Penalty", "PENALTY on AAA (Field Goal formation) False Start, 5 yards, No Play", None), ("Penalty", "(Kick formation) two-point try fails", None),
+    ("Penalty", "J.Doe kick for 40 yards, penalty declined", "kickoff"), ("Penalty", "on-side kick recovered by BBB", "kickoff"), ("Penalty", "onside kick recovered by BBB", "kickoff"), ("Fumble", "A.Foot kicks 65 yards from OWN 35", "kickoff"),
+    ("Penalty", "C.Punter punts 44 yards to OPP 20, holding", "punt"), ("Rush", "Fake punt, run for 12 yards", None), ("Penalty", "K.Leg 35 yard field goal is GOOD", "field_goal"), ("Penalty", "K.Leg 35 yd FG MISSED", "field_goal"), ("Penalty", "field goal attempt from 42 yards", "field_goal"),
+    ("Rush", "R.Back rush up the middle for 3 yards", None), ("Rush", "", None),
+)
+
+
+@query("p01_kick_families", "SELECT * FROM (VALUES " + ", ".join(f"({i}, {f"'{family}'" if family else 'CAST(NULL AS VARCHAR)'})" for i, (_, _, family) in enumerate(KICK_TEXTS)) + ") AS v(text_id, family)", play_tables=False)
+def kick_families(t: Tables) -> DataFrame:
+    """The kick a text is about: golden texts, each with its expected family in the oracle."""
+    rows = t.raw("region").sparkSession.createDataFrame([(i, kind, text) for i, (kind, text, _) in enumerate(KICK_TEXTS)], "text_id int, kind string, text string")
+    return rows.select("text_id", texts.kick_family("kind", "text").alias("family"))
+
+
 @query("p02_field_goal_texts", "SELECT event_id, CASE WHEN d BETWEEN 17 AND 80 THEN d END AS distance, CASE k WHEN 0 THEN true WHEN 1 THEN false END AS made FROM (SELECT event_id, CAST(event_id % 70 AS INTEGER) AS d, event_id % 3 AS k FROM events)", play_tables=False)
 def field_goal_texts(t: Tables) -> DataFrame:
     """Texts in three dialects, parsed back."""

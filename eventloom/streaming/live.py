@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import pandas as pd
@@ -23,23 +24,34 @@ def counted(stream: DataFrame, at: str, kind: str, every: str = "1 day", latenes
 def merge_into(path: str, key: str, at: str, partition: str):
     """A foreachBatch function: the newest row of each key wins, in the touched partitions only.
 
-    A batch that runs again gives the same result.
+    A batch that runs again gives the same result.  A key whose partition changes leaves its old one; of
+    rows of one key and time the greatest wins; columns that only one side has are null on the other.
+    Errors are raised: only a path that does not exist counts as nothing stored yet.
     """
 
     def merge(batch: DataFrame, _: int) -> None:
-        from pyspark.errors import AnalysisException
-
         spark = batch.sparkSession
-        touched = batch.select(partition).distinct()
-        try:
-            stored = spark.read.parquet(path).join(touched, partition, "left_semi").select(batch.columns)
-            rows = stored.unionByName(batch)
-        except AnalysisException:  # nothing is stored yet
-            rows = batch
-        newest = rows.groupBy(key).agg(F.max_by(F.struct(*batch.columns), at).alias("r")).select("r.*")
-        staged = f"{path.rstrip('/')}_staged"
-        newest.write.mode("overwrite").parquet(staged)  # what is read cannot be overwritten at once
-        spark.read.schema(newest.schema).parquet(staged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+        rows, touched = batch, batch.select(partition).distinct()
+        if files.exists(place):
+            stored = spark.read.option("mergeSchema", "true").parquet(path)
+            moved = stored.join(batch.select(key).distinct(), key, "left_semi").select(partition).distinct()
+            touched = touched.unionByName(moved).distinct()
+            old = stored.join(touched, stored[partition].eqNullSafe(touched[partition]), "left_semi")
+            rows = old.unionByName(batch, allowMissingColumns=True)
+        order = F.struct(at, *[c for c in rows.columns if c != at])
+        newest = rows.groupBy(key).agg(F.max_by(F.struct(*rows.columns), order).alias("r")).select("r.*")
+        staged = f"{path.rstrip('/')}_staged_{uuid.uuid4().hex}"
+        newest.write.parquet(staged)  # what is read cannot be overwritten at once
+        kept = spark.read.schema(newest.schema).parquet(staged)
+        # A partition that all its keys left has no rows to overwrite it with.
+        emptied = [r[0] for r in touched.subtract(kept.select(partition)).collect()]
+        kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+        for value in emptied:
+            name = "__HIVE_DEFAULT_PARTITION__" if value is None else value
+            files.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{partition}={name}"), True)
+        files.delete(spark._jvm.org.apache.hadoop.fs.Path(staged), True)
 
     return merge
 

@@ -58,6 +58,10 @@ ALLOWED = ("plays", "games")
     "ALTER TABLE plays RENAME TO x", "TRUNCATE TABLE plays", "CACHE TABLE plays", "USE other", "SHOW TABLES", "DESCRIBE plays", "EXPLAIN SELECT 1", "SELECT * FROM secrets", "SELECT * FROM other.plays", "SELECT * FROM a.b.plays",
     "SELECT java_method('java.lang.System', 'exit')", "SELECT reflect('a', 'b')", "SELECT * FROM plays WHERE x IN (SELECT id FROM secrets)", "SELECT (SELECT max(id) FROM secrets)", "WITH t AS (SELECT * FROM secrets) SELECT * FROM t",
     "WITH t AS (SELECT 1) SELECT * FROM other.t", "WITH plays AS (SELECT 1) SELECT * FROM plays, secrets", "SELECT * FROM range(5)", "SELECT * FROM plays JOIN LATERAL (SELECT * FROM secrets)", "SELECT current_user()", "SELECT * FROM parquet.`/etc`",
+    "SELECT * FROM IDENTIFIER('secrets')", "SELECT IDENTIFIER('java_method')('a', 'b')", "SELECT * FROM plays WHERE id IN (SELECT id FROM IDENTIFIER('sec' || 'rets'))",
+    "SELECT * FROM secrets WHERE EXISTS (WITH secrets AS (SELECT 1) SELECT * FROM secrets)", "SELECT * FROM plays WHERE EXISTS (WITH t AS (SELECT 1) SELECT * FROM t) AND id IN (SELECT id FROM t)",
+    "WITH a AS (SELECT * FROM b), b AS (SELECT 1) SELECT * FROM a", "WITH secrets AS (SELECT * FROM secrets) SELECT * FROM secrets", "(WITH t AS (SELECT 1) SELECT * FROM t) UNION ALL SELECT * FROM t", "TABLE secrets", "FROM secrets SELECT *",
+    "SELECT TRANSFORM(id) USING 'cat' FROM plays",
 ])
 def test_guard_refuses(spark, sql):
     with pytest.raises(guard.Refused):
@@ -66,6 +70,9 @@ def test_guard_refuses(spark, sql):
 
 @pytest.mark.parametrize(("sql", "tables"), [
     ("SELECT * FROM plays", ["plays"]), ("select count(*) from own.plays p join games g on p.id = g.id", ["games", "plays"]), ("WITH t AS (SELECT * FROM plays) SELECT * FROM t", ["plays"]),
+    ("WITH a AS (SELECT * FROM plays), b AS (SELECT * FROM a) SELECT * FROM b", ["plays"]), ("SELECT season, count(*) FROM plays GROUP BY season HAVING count(*) > 1 ORDER BY 2 LIMIT 5", ["plays"]),
+    ("SELECT * FROM (SELECT id, row_number() OVER (PARTITION BY id ORDER BY id) AS r FROM plays) WHERE r = 1", ["plays"]), ("SELECT * FROM (VALUES (1)) AS v(x)", []), ("SELECT DISTINCT id FROM plays EXCEPT SELECT id FROM games", ["games", "plays"]),
+    ("WITH games AS (SELECT * FROM plays) SELECT * FROM games", ["plays"]), ("SELECT sum(id) OVER w FROM plays WINDOW w AS (ORDER BY id)", ["plays"]), ("SELECT id FROM plays LATERAL VIEW explode(array(1, 2)) AS x", ["plays"]),
     ("SELECT * FROM plays UNION ALL SELECT * FROM games", ["games", "plays"]), ("SELECT 'DROP TABLE plays; --' AS s", []), ("SELECT * FROM plays WHERE id IN (SELECT id FROM games)", ["games", "plays"]),
 ])
 def test_guard_accepts(spark, sql, tables):
@@ -76,7 +83,10 @@ def test_guarded_rows_are_limited(spark):
     spark.range(5000).createOrReplaceTempView("plays")
     for limit, rows, source in ((None, 200, "default"), (10, 10, "caller"), (99_999, 2000, "capped")):
         df, report = guard.run(spark, "SELECT * FROM plays ORDER BY id", ALLOWED, limit=limit)
-        assert df.count() == rows == report.limit and report.limit_source == source
+        assert df.count() == rows == report.limit and report.limit_source == source and report.truncated
+    for sql, limit, rows, source, truncated in (("SELECT * FROM plays LIMIT 7", None, 7, "statement", False), ("SELECT * FROM plays LIMIT 3000", None, 2000, "capped", True), ("SELECT * FROM plays LIMIT 7", 5, 5, "caller", True), ("SELECT * FROM plays WHERE id < 3", None, 3, "default", False)):
+        df, report = guard.run(spark, sql, ALLOWED, limit=limit)
+        assert (df.count(), report.limit_source, report.truncated) == (rows, source, truncated), sql
     assert "plays" in guard.policy(ALLOWED)
 
 
@@ -102,6 +112,24 @@ def test_merged_batches_take_the_newest_row(spark, tmp_path):
     assert sorted((r.id, r.v, r.season) for r in spark.read.parquet(f"file://{tmp_path}/m").collect()) == [(1, "new", 1), (2, "b", 2), (3, "c", 1)]
 
 
+def test_merge_loses_no_stored_row(spark, tmp_path):
+    """More or fewer columns in a batch, keys that move to another partition, ties, null partitions, errors that are no absence."""
+    path = f"file://{tmp_path}/m"
+    merge = live.merge_into(path, "id", "at", "season")
+    df = lambda schema, *r: spark.createDataFrame(list(r), schema)
+    plain = "id int, at int, v string, season int"
+    merge(df(plain, (1, 1, "a", 1), (2, 1, "b", 1), (3, 1, "c", 2), (5, 1, "e", None)), 0)
+    merge(df(f"{plain}, w int", (2, 2, "B", 1, 9)), 1)
+    got = lambda: sorted((r.id, r.v, r.season) for r in spark.read.option("mergeSchema", "true").parquet(path).collect())
+    assert got() == [(1, "a", 1), (2, "B", 1), (3, "c", 2), (5, "e", None)]
+    merge(df(plain, (3, 2, "C", 1), (4, 1, "x", 1), (4, 1, "y", 1)), 2)  # 3 leaves season 2, which is empty then
+    assert got() == [(1, "a", 1), (2, "B", 1), (3, "C", 1), (4, "y", 1), (5, "e", None)]
+    assert [r.w for r in spark.read.option("mergeSchema", "true").parquet(path).where("id = 2").collect()] == [9]
+    with pytest.raises(Exception):
+        merge(df("id int, at int, v string", (1, 9, "z")), 3)
+    assert got() == [(1, "a", 1), (2, "B", 1), (3, "C", 1), (4, "y", 1), (5, "e", None)]
+
+
 def test_late_rows_within_the_watermark_are_counted(spark, tmp_path):
     path = f"file://{tmp_path}/in"
     spark.createDataFrame([("2024-01-02 00:00:00", "x", 1), ("2024-01-01 00:00:00", "x", 2), ("2024-01-01 00:00:00", "x", 2), ("2024-03-01 00:00:00", "y", 3)], "at string, kind string, id int").select(F.col("at").cast("timestamp").alias("at"), "kind", "id").coalesce(1).write.parquet(path)
