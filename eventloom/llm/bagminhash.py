@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import broadcast_if_small, fresh, released, saved, small_batches
+from .shared import broadcast_if_small, fresh, released, saved, small_batches, worker_state
 from .words import list_array, slices
 
 SHINGLE, SIMILARITY = 5, 0.8
@@ -63,14 +63,13 @@ class _Hashes(dict):
         return value
 
 
-_hashes = _Hashes()
 _PLACE = mixed(np.arange(1, SHINGLE + 1, dtype=_u64) * _u64(0x9E3779B97F4A7C15)) | _u64(1)
 
 
 def shingles(text: str) -> np.ndarray:
     """A hash for every five-word shingle of the whole text, repeats included."""
     words = _word.findall(text.lower())
-    h = np.fromiter(map(_hashes.__getitem__, words), _u64, len(words))
+    h = np.fromiter(map(worker_state(("hashes",), _Hashes).__getitem__, words), _u64, len(words))
     if not len(h):
         return h
     if len(h) < SHINGLE:

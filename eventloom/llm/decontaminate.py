@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import broadcast_if_small, fresh, saved, small_batches
+from .shared import broadcast_if_small, fresh, saved, small_batches, worker_state
 
 #: Least characters of a piece: the budget is one edit for each piece but the first.
 PIECE_CHARS = 16
@@ -128,17 +128,6 @@ class Block:
         return (a == 0 or text[a - 1] == " ") and (b == len(text) or text[b] == " ")
 
 
-_last: dict[str, Block] = {}
-
-
-def block_of(name: str, items: list[tuple[int, str]]) -> Block:
-    """The automaton of the block of this name, built once a worker process; only the last one is kept."""
-    if name not in _last:
-        _last.clear()
-        _last[name] = Block(items)
-    return _last[name]
-
-
 def matches(docs: DataFrame, bench: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", block_chars: int = BLOCK_CHARS) -> DataFrame:
     """One row per document and item found in it: doc_id, item_id, distance, start, end.
 
@@ -152,7 +141,7 @@ def matches(docs: DataFrame, bench: DataFrame, doc_id: str = "doc_id", text: str
 
     def passed(block, name: str) -> DataFrame:
         def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            own = block_of(name, block.value)
+            own = worker_state(("block", name), lambda: Block(block.value))
             for batch in batches:
                 rows = [(d, *m) for d, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True) for m in own.matches(plain(t.as_py()))]
                 cols = list(zip(*rows, strict=True)) or [()] * 5

@@ -20,14 +20,13 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .shared import broadcast_if_small, saved, small_batches
+from .shared import broadcast_if_small, saved, small_batches, worker_state
 from .words import LITERAL, Store, encoded, list_array, unit_text
 
 SHARD_TOKENS = 1 << 18
@@ -59,9 +58,12 @@ def units_of(text: str) -> list[str]:
     return [LITERAL + u for u in _cut.split(text)] if text else []
 
 
-@lru_cache(2)
 def store(path: str, end_id: int) -> Store:
     """One tokenizer and store a worker process."""
+    return worker_state(("tokenizer", path, end_id), lambda: new_store(path, end_id))
+
+
+def new_store(path: str, end_id: int) -> Store:
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"

@@ -16,7 +16,6 @@ are not touched.
 from __future__ import annotations
 
 import re
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import released, small_batches
+from .shared import released, small_batches, worker_state
 from .words import LITERAL, Store, encoded, unit_text
 
 SPACE = "▁"
@@ -240,15 +239,21 @@ class Model:
         return "".join(out)
 
 
-@lru_cache(2)
+def state(path: str) -> tuple[Model, Store]:
+    """One model and store a worker process."""
+    def new() -> tuple[Model, Store]:
+        own = Model(path)
+        return own, Store(own.encode, own.end_id)
+
+    return worker_state(("pieces", path), new)
+
+
 def model(path: str) -> Model:
-    """One model a worker process and path."""
-    return Model(path)
+    return state(path)[0]
 
 
-@lru_cache(2)
 def store(path: str) -> Store:
-    return Store(model(path).encode, model(path).end_id)
+    return state(path)[1]
 
 
 def encoded_texts(texts: pa.Array, path: str) -> pa.Array:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
+from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -82,6 +84,21 @@ def released(result: pa.Array) -> pa.Array:
     return result
 
 
+_state: dict = {}
+
+
+def worker_state(key: tuple, build: Callable):
+    """What build() gives, kept in a worker process until another key is asked for.
+
+    A worker serves one operator after another; what one keeps is dropped before the next builds its own.
+    """
+    if key not in _state:
+        _state.clear()
+        gc.collect()
+        _state[key] = build()
+    return _state[key]
+
+
 def broadcast_if_small(df: DataFrame, row_bytes: Column, limit: int = BROADCAST_BYTES) -> DataFrame:
     """df with a broadcast hint if the measured sum of row_bytes is within limit, else df as it is.
 

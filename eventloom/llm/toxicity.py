@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import broadcast_if_small, fresh, saved, small_batches
+from .shared import broadcast_if_small, fresh, saved, small_batches, worker_state
 
 #: Labelled rows learned from, at most: those of the least id hash.
 TRAIN_ROWS = 40_000
@@ -224,11 +224,10 @@ class Grammar:
         return [math.log1p(total[k]) for k in FEATURES + THREATS]
 
 
-@lru_cache(4)
 def grammar(stems: str) -> Grammar:
     """One grammar a worker process and model."""
     weights = json.loads(stems)
-    return Grammar(weights, threats_of(weights))
+    return worker_state(("grammar", stems), lambda: Grammar(weights, threats_of(weights)))
 
 
 def threats_of(stems: dict[str, float]) -> dict[str, float]:

@@ -16,11 +16,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of units and ids that a worker keeps, and what a unit costs beside its characters and ids.
-STORE_BYTES, UNIT_BYTES = 48 << 20, 200
+STORE_BYTES, UNIT_BYTES = 40 << 20, 200
 #: Longer units are encoded and not kept.
 LONGEST_KEPT = 64
 #: Texts handled at once within an Arrow batch, and units encoded at once.
-SLICE_CHARS, NEW_UNITS = 4_000_000, 50_000
+SLICE_CHARS, NEW_UNITS = 4_000_000, 20_000
 #: Marks: of a literal unit (a key without it has a blank before it, unless it starts with a line break), and of a text's end.
 LITERAL, END = "\x01", "\x02end"
 

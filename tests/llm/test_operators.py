@@ -471,9 +471,9 @@ def test_unit_stores_stay_within_their_bytes():
         assert ids.tolist() == [len(u) for u in units] and counts.tolist() == [1] * len(units)
         assert store.held() <= store.limit and not any(len(u) > 64 for u in store.young)
     texts = ["\n\n".join(prose(rng, 40) for _ in range(3)) for _ in range(300)] + ["x" * 5000 + str(i) for i in range(300)]
-    for of in (lambda t: grammar.encoded_texts(t, BYTE_BPE, 2), lambda t: piece_bpe.encoded_texts(t, PIECE_BPE)):
+    for of, its in ((lambda t: grammar.encoded_texts(t, BYTE_BPE, 2), lambda: grammar.store(BYTE_BPE, 2)), (lambda t: piece_bpe.encoded_texts(t, PIECE_BPE), lambda: piece_bpe.store(PIECE_BPE))):
         of(pa.array(texts))
-    for store in (grammar.store(BYTE_BPE, 2), piece_bpe.store(PIECE_BPE)):
+        store = its()
         assert store.held() <= store.limit and max(map(len, [*store.young, *store.old])) <= 64
 
 
