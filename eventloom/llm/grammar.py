@@ -6,7 +6,7 @@ sequence that is left.  A rule's two sides are ids or earlier rules (numbered on
 any document is decoded on its own: running sums of expansion lengths give the symbols that cover it.
 
 Re-Pair replaces the most frequent pair, over and over.  Here a round counts the pairs that may be
-frequent with numpy, takes those within a factor of the most frequent one, and replaces them together
+frequent by one sort, takes those within a factor of the most frequent one, and replaces them together
 (where two overlap, the more frequent one wins); rounds go on until no pair pays for its rule.
 
 Defined results: a null or empty text is stored as its end id alone; null document ids come first;
@@ -23,19 +23,20 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .shared import broadcast_if_small, saved, small_batches, worker_state
-from .words import LITERAL, Store, encoded, list_array, unit_text
+from .words import LITERAL, Store, encoded, gathered_ids, list_array, unit_text
 
 SHARD_TOKENS = 1 << 18
 RULE_BASE = 1 << 20
 #: A pair this frequent in a shard becomes a rule (a rule takes three numbers and an occurrence saves one);
 #: a round takes pairs down to 1/FACTOR of the best.
 LEAST, FACTOR = 8, 64
-#: Bits of the hash by which pairs are sieved, units encoded in one call, and bytes of units a worker keeps.
-SLOT_BITS, TOGETHER, UNITS_BYTES = 18, 512, 192 << 20
+#: Units encoded in one call, and bytes of units a worker keeps.
+TOGETHER, UNITS_BYTES = 512, 192 << 20
 #: Bytes of texts encoded at once.
 SLICE = 12_000_000
 SCHEMA = "part int, shard int, doc_ids array<bigint>, counts array<int>, n_tokens bigint, rules array<int>, lengths array<int>, sequence array<int>"
@@ -77,26 +78,32 @@ def new_store(path: str, end_id: int) -> Store:
         found = [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         return np.fromiter((i for x in found for i in x), np.int32), np.array([len(x) for x in found], np.int64)
 
-    def together(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def together(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Units one after another: white space starts each, so no id crosses from one to the next."""
-        ids = np.array(tokenizer.encode_batch_fast(["".join(texts)], add_special_tokens=False)[0].ids, np.int32)
-        ends, upto = np.cumsum([len(t.encode()) for t in texts]), np.cumsum(size[ids])
+        edges = [*range(0, len(texts), TOGETHER), len(texts)]
+        runs = pc.binary_join(pa.ListArray.from_arrays(pa.array(edges, pa.int32()), texts), "").to_pylist()
+        found = [np.array(e.ids, np.int32) for e in tokenizer.encode_batch_fast(runs, add_special_tokens=False)]
+        ids = np.concatenate([np.zeros(0, np.int32), *found])
+        ends, upto = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64), np.cumsum(size[ids])
         last = np.searchsorted(upto, ends)
-        if not len(upto) or last[-1] >= len(upto) or (upto[last] != ends).any():  # another kind of tokenizer: its ids do not stand for so many bytes
-            return apart(texts)
+        if len(ends) and (not len(upto) or last[-1] >= len(upto) or (upto[last] != ends).any()):  # another kind of tokenizer: its ids do not stand for so many bytes
+            return apart(texts.to_pylist())
         return ids, np.diff(last, prepend=-1)
 
     def encode(units: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        own = np.array([u[:1] not in (LITERAL, "") for u in units])
-        plain = [unit_text(u) for u in units if u[:1] not in (LITERAL, "")]
-        runs = [together(plain[a:a + TOGETHER]) for a in range(0, len(plain), TOGETHER)]
-        rest = [unit_text(u) for u in units if u[:1] in (LITERAL, "")]
-        parts = [*runs, apart(rest)]
+        keys = pa.array(units, pa.string())
+        plain = pc.invert(pc.or_(pc.starts_with(keys, LITERAL), pc.equal(keys, "")))
+        texts = keys.filter(plain)
+        blank = pc.if_else(pc.starts_with(texts, "\n"), "", " ")
+        rest = [unit_text(u) for u in keys.filter(pc.invert(plain)).to_pylist()]
+        parts = [together(pc.binary_join_element_wise(blank, texts, "")), apart(rest)]
         flat, counts = np.concatenate([f for f, _ in parts]), np.concatenate([c for _, c in parts])
+        if not rest:
+            return flat, counts
+        own = plain.to_numpy(zero_copy_only=False)
         order = np.empty(len(units), np.int64)
         order[np.concatenate([np.flatnonzero(own), np.flatnonzero(~own)])] = np.arange(len(units))
-        starts, n = (np.cumsum(counts) - counts)[order], counts[order]
-        return flat[np.arange(n.sum()) + np.repeat(starts - np.cumsum(n) + n, n)], n
+        return gathered_ids(flat, (np.cumsum(counts) - counts)[order], counts[order]), counts[order]
 
     kind = str(tokenizer.pre_tokenizer)
     words = Store(encode, end_id, UNITS_BYTES)
@@ -112,10 +119,20 @@ def encoded_texts(texts: pa.Array, path: str, end_id: int) -> pa.Array:
     return encoded(texts, words, ODD, units_of, LITERAL, APART, SLICE)
 
 
-def sieved(pairs: np.ndarray, least: int) -> np.ndarray:
-    """Whether each pair may be seen so often: those on slots of a hash that are."""
-    slot = (pairs.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
-    return np.bincount(slot, minlength=1 << SLOT_BITS)[slot] >= least
+def counted(pairs: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct pairs, which of them each place holds, how often each is there) of pairs of so many bits."""
+    more = len(pairs).bit_length()
+    if bits + more < 64:  # pair and place in one number sort faster than places by their pairs
+        both = np.sort(pairs << more | np.arange(len(pairs)))
+        pairs, order = both >> more, both & (1 << more) - 1
+    else:
+        order = np.argsort(pairs)
+        pairs = pairs[order]
+    fresh = np.append(True, pairs[1:] != pairs[:-1])
+    starts = np.flatnonzero(fresh)
+    own = np.empty(len(pairs), np.int32)
+    own[order] = np.cumsum(fresh, dtype=np.int32) - 1
+    return pairs[starts], own, np.diff(starts, append=len(pairs))
 
 
 def compressed(seq: np.ndarray, end_id: int, least: int = LEAST, factor: int = FACTOR) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -123,50 +140,58 @@ def compressed(seq: np.ndarray, end_id: int, least: int = LEAST, factor: int = F
 
     A pair that is rare once never becomes frequent, as replacements only make pairs of new symbols; so a
     round looks at the places that were frequent in the last one and at those beside its replacements.
+    Symbols stay where they start: one that stands for w ids is followed by what starts w places on.
     """
     sides: list[np.ndarray] = []
-    lengths = np.zeros(0, np.int64)
-    seq = seq.astype(np.int64)
+    lengths: list[np.ndarray] = [np.zeros(0, np.int64)]
+    n, made = len(seq), 0
+    seq = seq.astype(np.int32)
+    wide = np.ones(n, np.int32)
+    begins = np.arange(n, dtype=np.int32)  # by a symbol's last place, its first
+    live = np.ones(n, bool)
     look = seq != end_id
     look[-1:] = False
     while (at := np.flatnonzero(look)).size:
-        pairs = seq[at] << 32 | seq[at + 1]
-        if len(at) > 1 << 14:
-            may = sieved(pairs, least)
-            look[at[~may]] = False
-            at, pairs = at[may], pairs[may]
-        keys, own, counts = np.unique(pairs, return_inverse=True, return_counts=True)
-        often = counts[own] >= least
-        look[at[~often]] = False
+        bits = (RULE_BASE + made).bit_length()
+        pairs = seq[at].astype(np.int64) << bits | seq[at + wide[at]]
+        keys, own, counts = counted(pairs, 2 * bits)
+        often = (counts >= least)[own]
         at, own = at[often], own[often]
+        look[:] = False
+        look[at] = True
         if not len(at):
             break
-        near = counts[own] >= -(-int(counts.max()) // factor)
+        near = (counts >= -(-int(counts.max()) // factor))[own]
         at, own = at[near], own[near]
         # A pair stands if neither overlapping pair is stronger; in a run of one pair every other one.
-        power = counts[own] << 32 | own
-        follows = np.diff(at) == 1
+        power = (counts << 32 | np.arange(len(keys)))[own]
+        follows = at[1:] == (at + wide[at])[:-1]
         beaten = np.append(False, follows & (power[:-1] > power[1:])) | np.append(follows & (power[1:] > power[:-1]), False)
         at, own = at[~beaten], own[~beaten]
-        first = np.diff(at, prepend=-9) > 1
+        first = np.append(True, at[1:] != (at + wide[at])[:-1])
         stands = (np.arange(len(at)) - np.flatnonzero(first)[np.cumsum(first) - 1]) % 2 == 0
         at, own = at[stands], own[stands]
         # What overlapping pairs leave to a pair may not pay for its rule; the strongest pair keeps at least half.
         pays = np.bincount(own, minlength=len(keys)) * 2 >= least
         at, own = at[pays[own]], own[pays[own]]
-        new = np.stack([keys[pays] >> 32, keys[pays] & 0xFFFFFFFF], axis=1)
-        size = np.append(1, lengths)
-        seq[at] = RULE_BASE + len(lengths) + (np.cumsum(pays) - 1)[own]
-        lengths = np.append(lengths, size[np.maximum(new - RULE_BASE + 1, 0)].sum(axis=1))
+        new = np.stack([keys[pays] >> bits, keys[pays] & (1 << bits) - 1], axis=1)
+        which = (np.cumsum(pays) - 1)[own]
+        gone = at + wide[at]
+        live[gone] = look[gone] = False
+        wide[at] += wide[gone]
+        after = at + wide[at]
+        begins[after - 1] = at
+        seq[at] = RULE_BASE + made + which
+        size = np.zeros(len(new), np.int64)
+        size[which] = wide[at]
+        lengths.append(size)
+        made += len(new)
         sides.append(new)
-        look[at] = True
-        look[at[at > 0] - 1] = seq[at[at > 0] - 1] != end_id
-        keep = np.ones(len(seq), bool)
-        keep[at + 1] = False
-        seq, look = seq[keep], look[keep]
-        look[-1:] = False
+        look[at] = after < n
+        before = begins[at[at > 0] - 1]
+        look[before] = seq[before] != end_id
     rules = np.concatenate(sides) if sides else np.zeros((0, 2))
-    return rules.astype(np.int32), lengths, seq.astype(np.int32)
+    return rules.astype(np.int32), np.concatenate(lengths), seq[live]
 
 
 def opened(seq: np.ndarray, rules: np.ndarray) -> np.ndarray:
@@ -184,12 +209,12 @@ def opened(seq: np.ndarray, rules: np.ndarray) -> np.ndarray:
 def expanded(seq: np.ndarray, rules: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The ids that seq stands for: every rule is opened once, and seq is one gather from what they give."""
     own = seq >= RULE_BASE
-    flat = np.concatenate([opened(np.arange(len(rules)) + RULE_BASE, rules), seq[~own]])
+    flat = np.concatenate([opened(np.arange(len(rules), dtype=np.int32) + RULE_BASE, rules), seq[~own]])
     n = np.ones(len(seq), np.int64)
     start = np.cumsum(~own) - 1 + int(lengths.sum())
     rule = seq[own] - RULE_BASE
     n[own], start[own] = lengths[rule], (np.cumsum(lengths) - lengths)[rule]
-    return flat[np.arange(int(n.sum())) + np.repeat(start - np.cumsum(n) + n, n)]
+    return gathered_ids(flat, start, n)
 
 
 def document_ids(row: dict, k: int) -> np.ndarray:

@@ -10,6 +10,7 @@ Texts whose white space is not that regular are odd: the caller says how to cut
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +30,40 @@ def unit_text(key: str) -> str:
     return key[1:] if key[:1] == LITERAL else key if key[:1] == "\n" else " " + key
 
 
+def gathered_ids(flat: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The runs of flat that begin at starts and hold so many ids, one after another."""
+    kind = np.int32 if max(len(flat), int(counts.sum())) < 1 << 30 else np.int64
+    ends = np.cumsum(counts, dtype=kind)
+    place = np.repeat(starts.astype(kind) - ends + counts.astype(kind), counts)
+    place += np.arange(len(place), dtype=kind)
+    return flat[place]
+
+
+class Generation(dict):
+    """Units by their place among the kept ones; the ids of all lie in one array."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.flat, self.counts = [np.zeros(0, np.int32)], [np.zeros(0, np.int32)]
+        self.bytes = 0
+
+    def add(self, units: list[str], flat: np.ndarray, counts: np.ndarray, size: int) -> None:
+        self.update(zip(units, range(len(self), len(self) + len(units)), strict=True))
+        self.flat.append(flat.astype(np.int32))
+        self.counts.append(counts.astype(np.int32))
+        self.bytes += size
+
+    def arrays(self) -> tuple[np.ndarray, np.ndarray]:
+        """(flat ids, number of ids of each unit)"""
+        if len(self.flat) > 1:
+            self.flat, self.counts = [np.concatenate(self.flat)], [np.concatenate(self.counts)]
+        return self.flat[0], self.counts[0]
+
+    def places(self, units: list[str]) -> np.ndarray:
+        """Where each unit is kept, -1 if it is not."""
+        return np.fromiter(map(self.get, units, repeat(-1)), np.int64, len(units))
+
+
 class Store:
     """Ids by unit, in two generations: the older one goes when the younger holds half of the bytes.
 
@@ -37,49 +72,68 @@ class Store:
 
     def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], end_id: int, limit: int = STORE_BYTES):
         self.encode, self.limit = encode, limit
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-        self.end = np.array([end_id], np.int32).tobytes()
-        self.young_bytes = self.old_bytes = 0
+        self.young, self.old = Generation(), Generation()
+        self.end = np.array([end_id], np.int32)
 
     def held(self) -> int:
         """Bytes of both generations."""
-        return self.young_bytes + self.old_bytes
-
-    def keep(self, ids: dict[str, bytes]) -> None:
-        size = UNIT_BYTES * len(ids) + sum(map(len, ids)) + sum(map(len, ids.values()))
-        if 2 * (self.young_bytes + size) > self.limit:
-            self.old, self.old_bytes = self.young, self.young_bytes
-            self.young, self.young_bytes = {}, 0
+        return self.young.bytes + self.old.bytes
+
+    def keep(self, units: list[str], flat: np.ndarray, counts: np.ndarray) -> None:
+        long = np.fromiter(map(len, units), np.int64, len(units))
+        if len(long) and long.max() > LONGEST_KEPT:
+            short = long <= LONGEST_KEPT
+            units = [u for u, own in zip(units, short.tolist(), strict=True) if own]
+            flat, counts, long = flat[np.repeat(short, counts)], counts[short], long[short]
+        size = UNIT_BYTES * len(units) + int(long.sum()) + 4 * len(flat)
+        if 2 * (self.young.bytes + size) > self.limit:
+            self.old, self.young = self.young, Generation()
         if 2 * size <= self.limit:
-            self.young |= ids
-            self.young_bytes += size
-
-    def ids(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Flat ids of distinct units and the ids of each."""
-        found = list(map(self.young.get, units))
-        again, new = {}, []
-        for i in [i for i, ids in enumerate(found) if ids is None]:
-            if units[i] == END:
-                found[i] = self.end
-            elif (ids := self.old.get(units[i])) is not None:
-                found[i] = again[units[i]] = ids
-            else:
-                new.append(i)
+            self.young.add(units, flat, counts, size)
+
+    def placed(self, units: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, where in them those of each distinct unit start, how many they are)"""
+        parts: list[np.ndarray] = []
+        starts, counts, upto = np.zeros(len(units), np.int64), np.zeros(len(units), np.int64), 0
+
+        def put(at: np.ndarray, flat: np.ndarray, own_counts: np.ndarray, which: np.ndarray) -> None:
+            nonlocal upto
+            starts[at] = (np.cumsum(own_counts, dtype=np.int64) - own_counts)[which] + upto
+            counts[at] = own_counts[which]
+            parts.append(flat)
+            upto += len(flat)
+
+        place = self.young.places(units)
+        put(np.flatnonzero(place >= 0), *self.young.arrays(), place[place >= 0])
+        left = np.flatnonzero(place < 0)
+        names = [units[i] for i in left.tolist()]
+        if END in names:
+            k = names.index(END)
+            put(left[k:k + 1], self.end, np.ones(1, np.int64), np.zeros(1, np.int64))
+            left = np.delete(left, k)
+            del names[k]
+        place = self.old.places(names)
+        known = place >= 0
+        put(left[known], *self.old.arrays(), place[known])
+        again = left[known]
+        new = left[~known]
         some = min(NEW_UNITS, self.limit // 2000 + 1)  # so few that the store has room for them
         for a in range(0, len(new), some):
             own = new[a:a + some]
-            names = [units[i] for i in own]
-            flat, counts = self.encode(names)
-            raw, upto = flat.astype(np.int32).tobytes(), (4 * np.cumsum(counts)).tolist()
-            each = [raw[start:end] for start, end in zip([0, *upto], upto, strict=False)]
-            for i, ids in zip(own, each, strict=True):
-                found[i] = ids
-            self.keep({u: ids for u, ids in zip(names, each, strict=True) if len(u) <= LONGEST_KEPT})
-        names = list(again)
-        for a in range(0, len(names), some):
-            self.keep({u: again[u] for u in names[a:a + some]})
-        return np.frombuffer(b"".join(found), np.int32), np.fromiter(map(len, found), np.int64, len(found)) // 4
+            names = [units[i] for i in own.tolist()]
+            flat, n = self.encode(names)
+            put(own, flat.astype(np.int32), n, np.arange(len(own)))
+            self.keep(names, flat, n)
+        flat = np.concatenate([np.zeros(0, np.int32), *parts])
+        for a in range(0, len(again), some):
+            own = again[a:a + some]
+            self.keep([units[i] for i in own.tolist()], gathered_ids(flat, starts[own], counts[own]), counts[own])
+        return flat, starts, counts
+
+    def ids(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Flat ids of distinct units and the ids of each."""
+        flat, starts, counts = self.placed(units)
+        return gathered_ids(flat, starts, counts), counts
 
 
 def list_array(flat: np.ndarray, counts: np.ndarray) -> pa.Array:
@@ -110,15 +164,12 @@ def cuts(texts: pa.Array, size: int = SLICE_CHARS) -> list[pa.Array]:
 def ids_of_units(units: pa.ListArray, store: Store) -> pa.Array:
     """The ids of each list of units; an END unit gives the end id."""
     each = units.flatten().dictionary_encode()
-    flat, counts = store.ids(each.dictionary.to_pylist())
+    flat, starts, counts = store.placed(each.dictionary.to_numpy(zero_copy_only=False).tolist())
     at = each.indices.to_numpy(zero_copy_only=False)
-    counts = counts.astype(np.int32)
-    n = counts[at]
+    n = counts.astype(np.int32)[at]
     ends = np.cumsum(n, dtype=np.int32)  # a slice of texts has far fewer ids than 2^31
-    place = np.repeat((np.cumsum(counts, dtype=np.int32) - counts)[at] - ends + n, n)
-    place += np.arange(len(place), dtype=np.int32)
     upto = np.concatenate([[0], ends])[np.cumsum(pc.list_value_length(units).to_numpy(zero_copy_only=False), dtype=np.int64)]
-    return list_array(flat[place], np.diff(upto, prepend=0))
+    return list_array(gathered_ids(flat, starts.astype(np.int32)[at], n), np.diff(upto, prepend=0))
 
 
 def encoded(texts: pa.Array, store: Store, odd: str, units_of_odd: Callable[[str], list[str]], first: str = "", apart: tuple[str, str] | None = None, size: int = SLICE_CHARS) -> pa.Array:

@@ -487,6 +487,22 @@ def test_grammar_expands_to_what_it_compressed():
     assert grammar.compressed(np.zeros(0, np.int32), 2)[2].size == 0
 
 
+def test_grammar_counts_pairs_and_expands_any_sequence():
+    rng = np.random.default_rng(5)
+    for n in (1, 9, 700, 40_000):
+        pairs = rng.integers(0, 1 << rng.integers(1, 20), n)
+        for bits in (20, 62):  # sorted with their places, and places sorted by them
+            for got, want in zip(grammar.counted(pairs, bits), np.unique(pairs, return_inverse=True, return_counts=True), strict=True):
+                assert got.tolist() == want.tolist()
+    for n in (0, 1, 2, 50, 5_000, 60_000):
+        for kinds in (1, 2, 5, 300):
+            seq = rng.integers(2, 2 + kinds, n).astype(np.int32)
+            rules, lengths, left = grammar.compressed(seq, 2)
+            assert (grammar.expanded(left, rules, lengths) == seq).all() and not (rules.reshape(-1, 2)[:, :1] == 2).any()
+            symbols = np.concatenate([left, rules.reshape(-1)])
+            assert set(symbols[symbols >= grammar.RULE_BASE] - grammar.RULE_BASE) == set(range(len(lengths)))  # no rule is idle
+
+
 # 9: toxicity
 
 
