@@ -36,7 +36,7 @@ RULE_BASE = 1 << 20
 #: a round takes pairs down to 1/FACTOR of the best.
 LEAST, FACTOR = 8, 64
 #: Units encoded in one call, and bytes of units a worker keeps.
-TOGETHER, UNITS_BYTES = 512, 192 << 20
+TOGETHER, UNITS_BYTES = 512, 128 << 20
 #: Bytes of texts encoded at once.
 SLICE = 12_000_000
 SCHEMA = "part int, shard int, doc_ids array<bigint>, counts array<int>, n_tokens bigint, rules array<int>, lengths array<int>, sequence array<int>"
@@ -123,8 +123,11 @@ def counted(pairs: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.nd
     """(distinct pairs, which of them each place holds, how often each is there) of pairs of so many bits."""
     more = len(pairs).bit_length()
     if bits + more < 64:  # pair and place in one number sort faster than places by their pairs
-        both = np.sort(pairs << more | np.arange(len(pairs)))
-        pairs, order = both >> more, both & (1 << more) - 1
+        order = pairs << more
+        order |= np.arange(len(pairs))
+        order.sort()
+        pairs = order >> more
+        order &= (1 << more) - 1
     else:
         order = np.argsort(pairs)
         pairs = pairs[order]
@@ -153,7 +156,9 @@ def compressed(seq: np.ndarray, end_id: int, least: int = LEAST, factor: int = F
     look[-1:] = False
     while (at := np.flatnonzero(look)).size:
         bits = (RULE_BASE + made).bit_length()
-        pairs = seq[at].astype(np.int64) << bits | seq[at + wide[at]]
+        pairs = seq[at].astype(np.int64)
+        pairs <<= bits
+        pairs |= seq[at + wide[at]] if made else seq[1:][at]
         keys, own, counts = counted(pairs, 2 * bits)
         often = (counts >= least)[own]
         at, own = at[often], own[often]

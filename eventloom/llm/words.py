@@ -34,7 +34,10 @@ def gathered_ids(flat: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np
     """The runs of flat that begin at starts and hold so many ids, one after another."""
     kind = np.int32 if max(len(flat), int(counts.sum())) < 1 << 30 else np.int64
     ends = np.cumsum(counts, dtype=kind)
-    place = np.repeat(starts.astype(kind) - ends + counts.astype(kind), counts)
+    first = starts.astype(kind)
+    first -= ends
+    first += counts.astype(kind, copy=False)
+    place = np.repeat(first, counts)
     place += np.arange(len(place), dtype=kind)
     return flat[place]
 
@@ -112,7 +115,7 @@ class Store:
             put(left[k:k + 1], self.end, np.ones(1, np.int64), np.zeros(1, np.int64))
             left = np.delete(left, k)
             del names[k]
-        place = self.old.places(names)
+        place = self.old.places(names) if self.old else np.full(len(names), -1)
         known = place >= 0
         put(left[known], *self.old.arrays(), place[known])
         again = left[known]
