@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bagminhash, chat, decontaminate, grammar, lines, media, piece_bpe, secret_scan, sharding, toxicity
+from . import bagminhash, chat, decontaminate, grammar, lines, media, merkle, piece_bpe, resample, secret_scan, sharding, subword_lm, toxicity
 from .shared import shared_dir, table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -144,13 +144,99 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row's leaf and proof in the Merkle manifest, folded again from the row or from a tampered copy of it."""
+    docs = table(spark, sf_dir, "documents")
+    lowered = F.translate("text", UPPER, UPPER.lower())
+    tampered = F.when(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(3)) == 0, lowered).otherwise(F.col("text"))
+    rows = merkle.manifest(docs, ["doc_id", "source", "lang", "n_chars", "text"], "lang", "doc_id", {"text": tampered})
+    done = rows.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest("path").alias("proof_sha256"), merkle.folded("shown_leaf", "path").alias("folded_root"))
+    return done.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+def _crc32_sql(byte_list: str) -> str:
+    """CRC-32 of a list of bytes, a bit at a time."""
+    bits = f"list_transform(range(8 * len({byte_list})), lambda j: ({byte_list}[j // 8 + 1] >> (j % 8)) & 1)"
+    return f"xor(list_reduce({bits}, lambda acc, bit: xor(acc >> 1, 3988292384 * (xor(acc, bit) & 1)), 4294967295), 4294967295)"
+
+
+def _bytes_sql(text: str) -> str:
+    return f"list_transform(range(strlen({text})), lambda i: CAST('0x' || substr(hex({text}), 2 * i + 1, 2) AS BIGINT))"
+
+
+def _merkle_sql(depth: int = 7, top: int = 3) -> str:
+    """The manifest by plain levels: up to 8 ** depth rows of a language and 8 ** top languages."""
+    f = lambda x: f"coalesce(strlen(CAST({x} AS VARCHAR)) || ':' || CAST({x} AS VARCHAR), '-')"
+    leaf = lambda text: "sha256(" + " || ".join([*(f(x) for x in ("doc_id", "source", "lang", "n_chars")), f(text)]) + ")"
+    lowered = f"translate(text, '{UPPER}', '{UPPER.lower()}')"
+    ctes = [
+        f"b AS (SELECT *, {_bytes_sql('CAST(doc_id AS VARCHAR)')} AS bytes FROM documents)",
+        f"d AS (SELECT doc_id, coalesce('l' || lang, '') AS g, {leaf('text')} AS leaf, {leaf(f'CASE WHEN {_crc32_sql('bytes')} % 3 = 0 THEN {lowered} ELSE text END')} AS shown FROM b)",
+        "r AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf, shown) - 1 AS pos, count(*) OVER (PARTITION BY g) AS n FROM d)",
+        "a0 AS (SELECT g, pos, leaf AS own, n FROM r)",
+    ]
+    for k in range(1, depth + 1):
+        ctes.append(f"u{k} AS (SELECT g, pos // 8 AS pos, list(own ORDER BY pos) AS members, (max(n) + 7) // 8 AS n FROM a{k - 1} WHERE n > 1 GROUP BY g, pos // 8)")
+        ctes.append(f"a{k} AS (SELECT g, pos, sha256(array_to_string(members, '')) AS own, n FROM u{k})")
+    ctes.append("s AS (SELECT *, row_number() OVER (ORDER BY g) - 1 AS pos0, count(*) OVER () AS n0 FROM (" + " UNION ALL ".join(f"SELECT g, own FROM a{k} WHERE n = 1" for k in range(depth + 1)) + "))")
+    ctes.append("z0 AS (SELECT pos0 AS pos, own, n0 AS n FROM s)")
+    for k in range(1, top + 1):
+        ctes.append(f"y{k} AS (SELECT pos // 8 AS pos, list(own ORDER BY pos) AS members, (max(n) + 7) // 8 AS n FROM z{k - 1} WHERE n > 1 GROUP BY pos // 8)")
+        ctes.append(f"z{k} AS (SELECT pos, sha256(array_to_string(members, '')) AS own, n FROM y{k})")
+    ctes.append("root AS (" + " UNION ALL ".join(f"SELECT own AS root FROM z{k} WHERE n = 1" for k in range(top + 1)) + ")")
+    steps = [(f"u{k}", f"u{k}.g = r.g AND u{k}.pos = r.pos // {8 ** k}", f"r.pos // {8 ** (k - 1)} % 8", k) for k in range(1, depth + 1)]
+    steps += [(f"y{k}", f"y{k}.pos = s.pos0 // {8 ** k}", f"s.pos0 // {8 ** (k - 1)} % 8", depth + k) for k in range(1, top + 1)]
+    cut = lambda t, at: (f"array_to_string({t}.members[1:CAST({at} AS INTEGER)], '')", f"array_to_string({t}.members[CAST({at} AS INTEGER) + 2:], '')")
+    ctes.append("p AS (SELECT r.doc_id, r.leaf, r.shown, s.own AS subroot, root.root, " + ", ".join(f"{t}.n IS NOT NULL AS up{k}, coalesce({cut(t, at)[0]}, '') AS before{k}, coalesce({cut(t, at)[1]}, '') AS after{k}" for t, _, at, k in steps) + " FROM r JOIN s ON s.g = r.g CROSS JOIN root " + " ".join(f"LEFT JOIN {t} ON {on}" for t, on, _, _ in steps) + ")")
+    last = "p"
+    for _, _, _, k in steps:
+        ctes.append(f"f{k} AS (SELECT * REPLACE (CASE WHEN up{k} THEN sha256(before{k} || shown || after{k}) ELSE shown END AS shown) FROM {last})")
+        last = f"f{k}"
+    proof = " || ".join(f"before{k} || after{k}" for *_, k in steps)
+    return "WITH " + ",\n".join(ctes) + f"\nSELECT doc_id, leaf, subroot, root, sha256({proof}) AS proof_sha256, shown AS folded_root, shown = root AS verified FROM {last}"
+
+
+def op12_subword_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text scored by the lattice of subwords, and by add-one counts of words."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = subword_lm.fit(docs, PIECE_BPE)
+    done = subword_lm.scored(docs, model)
+    return done.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.sums["tokens"]).cast("long").alias("train_tokens"), "base_score", "score")
+
+
+def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's importance for the benchmark's distribution, and the rank of those drawn."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return resample.resampled(docs, table(spark, sf_dir, "benchmark"))
+
+
+SQL_OP13 = rf"""
+WITH w AS (SELECT doc_id, text, unnest(words) AS word FROM (SELECT doc_id, text, regexp_extract_all(translate(text, '{UPPER}', '{UPPER.lower()}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents)),
+     v AS (SELECT unnest(regexp_extract_all(translate(text, '{UPPER}', '{UPPER.lower()}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM benchmark),
+     k AS (SELECT word, {_bytes_sql('word')} AS bytes FROM (SELECT word FROM w UNION SELECT word FROM v)),
+     h AS (SELECT word, {_crc32_sql('bytes')} % {resample.BUCKETS} AS bucket FROM k),
+     s AS (SELECT bucket, count(*) AS s FROM w JOIN h USING (word) GROUP BY bucket),
+     t AS (SELECT bucket, count(*) AS t FROM v JOIN h USING (word) GROUP BY bucket),
+     g AS (SELECT bucket, CAST(floor(1000.0::DOUBLE * ln((coalesce(t, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(s), 0) FROM s) + {resample.BUCKETS})::DOUBLE / ((coalesce(s, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(t), 0) FROM t) + {resample.BUCKETS})::DOUBLE))) AS BIGINT) AS gain FROM s FULL JOIN t USING (bucket)),
+     x AS (SELECT doc_id, count(*) AS n_features, CAST(sum(gain) AS BIGINT) AS weight FROM w JOIN h USING (word) JOIN g USING (bucket) GROUP BY doc_id),
+     y AS (SELECT doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight, CAST('0x' || substr(sha256('{resample.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT)::DOUBLE AS h FROM documents LEFT JOIN x USING (doc_id)),
+     z AS (SELECT doc_id, n_features, weight, weight + CAST(floor(-1000.0::DOUBLE * ln(-ln((h + 0.5::DOUBLE) / 4294967296.0::DOUBLE))) AS BIGINT) AS score FROM y),
+     r AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST) AS rank, count(*) OVER () AS n FROM z WHERE n_features >= {resample.LEAST_WORDS})
+SELECT z.doc_id, n_features, weight, score, CASE WHEN rank <= n * {resample.PERCENT} // 100 THEN rank END AS rank FROM z LEFT JOIN r ON r.doc_id = z.doc_id
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     ops = (
         op1_decontamination, op2_line_dedup, op3_near_dedup, op4_avi_mjpeg, op5_sharding,
         op6_secrets, op7_chat, op8_token_ids, op9_toxicity, op10_sentencepiece,
+        op11_merkle, op12_subword_lm, op13_resample,
     )
     return {f.__name__: f for f in ops}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_line_dedup": SQL_OP2, "op7_chat": SQL_OP7}
+    return {"op2_line_dedup": SQL_OP2, "op7_chat": SQL_OP7, "op11_merkle": _merkle_sql(), "op13_resample": SQL_OP13}

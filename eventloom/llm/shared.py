@@ -106,3 +106,22 @@ def broadcast_if_small(df: DataFrame, row_bytes: Column, limit: int = BROADCAST_
     """
     total = df.agg(F.coalesce(F.sum(row_bytes), F.lit(0)).alias("b")).first()["b"]
     return F.broadcast(df) if total <= limit else df
+
+
+def ranked(df: DataFrame, by: list[str], order: list[str | Column], rank: str, part: str) -> DataFrame:
+    """df, saved, with the place (from 0, a long) that each row has among the rows of its group, under the name rank.
+
+    A group may be larger than a task: rows are dealt by ranges of (by, order), each range numbers its own
+    rows, and the rows of a group's earlier ranges are added from a table of one row a range and group.
+    part names a column for the range; both names must be new to df.
+    """
+    from pyspark.sql import Window
+
+    kept = saved(df.repartitionByRange(*by, *order).withColumn(part, F.spark_partition_id()))
+    before = Window.partitionBy(*by).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = saved(kept.groupBy(part, *by).agg(F.count(F.lit(1)).alias("el_rows")).withColumn("el_before", F.coalesce(F.sum("el_rows").over(before), F.lit(0)))).select(F.col(part).alias("el_part"), *(F.col(c).alias(f"el_by{i}") for i, c in enumerate(by)), "el_before")
+    same = F.col(part) == F.col("el_part")
+    for i, c in enumerate(by):
+        same &= F.col(c).eqNullSafe(F.col(f"el_by{i}"))
+    own = F.row_number().over(Window.partitionBy(part, *by).orderBy(*order)) - 1
+    return kept.withColumn(rank, own).join(broadcast_if_small(sizes, F.lit(64)), same).withColumn(rank, F.col(rank) + F.col("el_before")).select(*df.columns, rank)
