@@ -86,11 +86,10 @@ def _blocks(nodes: DataFrame, levels: int) -> DataFrame:
         if k:
             table = table.withColumn(f"l{k + 1}", F.when(F.col(f"l{k}").isNotNull(), F.col(f"l{k + 1}")))
     top = F.coalesce(*(F.col(f"l{k}") for k in range(levels, -1, -1)))
-    table = table.withColumn("top", F.element_at(top, 1))
-    at = F.col("at")
-    steps = [F.when(F.col(f"l{k + 1}").isNotNull(), _step(F.col(f"l{k}"), F.floor(at / FAN**k).cast("int"))) for k in range(levels)]
-    rows = table.select("grp", "block", "n", "top", *(f"l{k}" for k in range(levels + 1)), F.posexplode("l0").alias("at", "own"))
-    return rows.select("grp", "block", "n", "top", (F.col("block") * size + at).alias("pos"), F.filter(F.array(*steps), lambda s: s.isNotNull()).alias("part"))
+    at = lambda i, k: F.floor(i / FAN**k).cast("int")
+    steps = lambda i: [F.when(F.col(f"l{k + 1}").isNotNull(), _step(F.col(f"l{k}"), at(i, k))) for k in range(levels)]
+    rows = F.transform(F.sequence(F.lit(0), F.size("l0") - 1), lambda i: F.struct((F.col("block") * size + i).alias("pos"), F.filter(F.array(*steps(i)), lambda s: s.isNotNull()).alias("part")))
+    return table.select("grp", "block", "n", F.element_at(top, 1).alias("top"), F.inline(rows))  # the levels stay behind
 
 
 def _top_tree(nodes: list) -> list[tuple]:
