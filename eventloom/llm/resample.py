@@ -3,8 +3,8 @@
 Every run of words falls into one of many buckets.  Documents become inverted postings, (bucket, rows,
 counts) blocks packed batch by batch; the blocks are shuffled by bucket together with the two corpora's
 totals of each bucket, so a bucket's gain (how much likelier it is in the target) is computed where its
-postings lie.  Tasks emit contributions, summed within a batch of blocks first, and a second shuffle sums
-them by document.  Adding Gumbel noise that the id decides and taking the highest scores draws documents
+postings lie.  Tasks emit contributions, summed by document and packed as the postings were, and a second
+shuffle by pack sums them: a pack's contributions are never more than its postings.  Adding Gumbel noise that the id decides and taking the highest scores draws documents
 without replacement in proportion to their importance weights.
 
 A bucket may hold a third of all postings: blocks carry a salt, and a bucket's totals go to each salt.
@@ -33,6 +33,8 @@ from .shared import ranked, released, saved, small_batches
 LONGEST, BUCKETS, SEED, LEAST_WORDS, PERCENT = 1, 10_000, 2024, 20, 10
 #: Parts a bucket's postings are dealt into; bytes of texts whose postings are packed together; contributions summed together.
 SALTS, PACKED_BYTES, SUMMED = 8, 8 << 20, 1_000_000
+#: Row numbers are a pack's number and this many bits for the row in it (a pack has PACKED_BYTES / 100 rows at most).
+PACK_BITS = 17
 #: Bytes of a text read at once; runs whose bucket a task remembers.
 SLICE_BYTES, KNOWN_RUNS = 1 << 20, 200_000
 #: Word bytes stay, A-Z become lower case, all other ASCII becomes a blank.
@@ -77,7 +79,8 @@ def postings(docs: DataFrame, doc_id: str, text: str, longest: int = LONGEST, bu
     names = ["row", "doc_id", "n_words", "n_features", "bucket", "rows", "counts"]
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        row, known, id_kind = TaskContext.get().partitionId() << 40, {}, None
+        part, known, id_kind = TaskContext.get().partitionId() << 23, {}, None
+        row = part << PACK_BITS
         heads: list[tuple] = []
         flat: list[np.ndarray] = []
         size = 0
@@ -109,6 +112,8 @@ def postings(docs: DataFrame, doc_id: str, text: str, longest: int = LONGEST, bu
                 if size > PACKED_BYTES:
                     yield from sent()
                     heads, flat, size = [], [], 0
+                    part += 1
+                    row = part << PACK_BITS
         if heads:
             for part in sent():
                 yield released(part)
@@ -137,6 +142,14 @@ def noise(doc_id: str | Column, seed: int = SEED) -> Column:
     return F.floor(F.lit(-1000.0) * F.log(-F.log((h + 0.5) / F.lit(4294967296.0)))).cast("long")
 
 
+def by_row(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct rows in order, the sum of each one's values)."""
+    kept, at = np.unique(rows, return_inverse=True)
+    sums = np.zeros(len(kept), np.int64)
+    np.add.at(sums, at, values)
+    return kept, sums
+
+
 def weighted(packed: DataFrame, target: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     """(row, doc_id, n_words, n_features, weight) of saved postings; target is bucket_sums() of the target's."""
     source = bucket_sums(packed).select("bucket", F.col("held").alias("s"), F.lit(0).cast("bigint").alias("t"))
@@ -152,10 +165,11 @@ def weighted(packed: DataFrame, target: DataFrame, buckets: int = BUCKETS) -> Da
         size = 0
 
         def sent() -> pa.RecordBatch:
-            rows, at = np.unique(np.concatenate([r for r, _ in held]), return_inverse=True)
-            sums = np.zeros(len(rows), np.int64)
-            np.add.at(sums, at, np.concatenate([v for _, v in held]))
-            return pa.RecordBatch.from_arrays([pa.array(rows), pa.array(sums)], names=["row", "weight"])
+            rows, sums = by_row(np.concatenate([r for r, _ in held]), np.concatenate([v for _, v in held]))
+            packs = rows >> PACK_BITS
+            starts = np.flatnonzero(np.diff(packs, prepend=-1))
+            ends = pa.array(np.append(starts, len(rows)).astype(np.int32))
+            return pa.RecordBatch.from_arrays([pa.array(packs[starts]), pa.ListArray.from_arrays(ends, pa.array(rows)), pa.ListArray.from_arrays(ends, pa.array(sums))], names=["pack", "rows", "weights"])
 
         for batch in batches:
             rows, counts = batch.column(0).flatten().to_numpy(), batch.column(1).flatten().to_numpy()
@@ -168,7 +182,11 @@ def weighted(packed: DataFrame, target: DataFrame, buckets: int = BUCKETS) -> Da
         if held:
             yield released(sent())
 
-    sums = dealt.mapInArrow(emit, "row bigint, weight bigint")
+    def reduce(parts: pa.Table) -> pa.Table:
+        flat = [pa.concat_arrays([c.flatten() for c in parts.column(name).chunks]).to_numpy() for name in ("rows", "weights")]
+        return pa.table(dict(zip(("row", "weight"), by_row(*flat), strict=True)))
+
+    sums = dealt.mapInArrow(emit, "pack bigint, rows array<bigint>, weights array<bigint>").groupBy("pack").applyInArrow(reduce, "row bigint, weight bigint")
     none = F.lit(None)
     kind = packed.schema["doc_id"].dataType
     parts = packed.where("row IS NOT NULL").select("row", "doc_id", "n_words", "n_features", F.lit(0).cast("bigint").alias("weight")).unionByName(
