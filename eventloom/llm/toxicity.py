@@ -149,11 +149,15 @@ def clause_machine() -> Transducer:
 
 
 def accepted_path(machine: Transducer, symbols: list) -> list:
-    """What the machine writes on its one accepted path."""
-    paths = [(s, []) for s in machine.starts]
+    """What the machine writes on its one accepted path.  A path is its last symbol and the path before, so a word costs the same at any place."""
+    paths = [(s, None) for s in machine.starts]
     for x in symbols:
-        paths = [(s, [*out, y]) for state, out in paths for s, y in machine.arcs.get((state, x), ())]
-    return next(out for s, out in paths if s in machine.finals)
+        paths = [(s, (out, y)) for state, out in paths for s, y in machine.arcs.get((state, x), ())]
+    path, said = next(out for s, out in paths if s in machine.finals), []
+    while path is not None:
+        path, y = path
+        said.append(y)
+    return said[::-1]
 
 
 class Grammar:
@@ -210,7 +214,7 @@ class Grammar:
         for first in sorted(hits):
             if first < done:
                 continue
-            before = max(low.rfind(c, 0, first) for c in ".!?;:\n") + 1
+            before = max(low.rfind(c, done, first) for c in ".!?;:\n") + 1  # the mark that ended the clause before is at done
             done = m.start() if (m := _clause_end.search(low, first)) else len(low)
             symbols, weights = [], []
             for w in _word.finditer(low, before, done):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import collections
 import hashlib
+import math
 import random
 import re
 import struct
@@ -592,6 +593,17 @@ def test_toxicity_features_equal_walking_clauses():
     assert len(machine.starts) == 2 and all(len(found) == 1 for found in machine.arcs.values())  # the only guess is whether someone is named
 
 
+def test_toxicity_takes_time_in_proportion_to_clauses_and_texts():
+    """One clause of a million words, and many clauses each with a match."""
+    grammar = toxicity.Grammar({"idiot": 2.0})
+    for text in ("you idiot " + "word " * 1_000_000, "you idiot. " * 200_000):
+        began = time.perf_counter()
+        got = dict(zip(toxicity.FEATURES + toxicity.THREATS, grammar.features(text), strict=True))
+        assert got["clauses"] > 0 and time.perf_counter() - began < 60
+    few = grammar.features("no mark here idiot. Not an idiot! You idiot; he said idiot\nidiot")
+    assert abs(math.expm1(few[list(toxicity.FEATURES + toxicity.THREATS).index("clauses")]) - 5) < 1e-9
+
+
 def test_composition_equals_reading_one_after_the_other():
     rng = random.Random(22)
     upper = toxicity.transducer((0,), lambda s: True, "ab", lambda s, x: [(1 - s, x.upper() if s else x)])
