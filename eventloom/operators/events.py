@@ -115,3 +115,34 @@ def first_down(possession_changed: Column, gained: Column, to_go: Column, touchd
 def kind_from_roles(kind: Column, roles: Column) -> Column:
     """Kinds named after an outcome are resolved by who took part: a passer makes it a pass before a rusher a rush."""
     return F.when(kind != "outcome", kind).when(F.array_contains(roles, "passer"), "pass").when(F.array_contains(roles, "rusher"), "rush").otherwise("other")
+
+
+#: Fixed values of the feed: types that say what was called; types named after the outcome; whether a pass was complete.
+KIND_BY_TYPE = {
+    "Rush": "rush", "Rushing Touchdown": "rush", "Pass Reception": "pass", "Pass Incompletion": "pass", "Passing Touchdown": "pass", "Pass Completion": "pass",
+    "Sack": "sack", "Penalty": "penalty", "Pass": "pass", "Sack Opp Fumble Recovery": "sack",
+}
+OUTCOME_TYPES = (
+    "Interception", "Pass Interception Return", "Interception Return Touchdown", "Fumble", "Fumble Recovery (Own)", "Fumble Recovery (Opponent)", "Fumble Return Touchdown",
+    "Safety", "Defensive 2pt Conversion", "", "Muffed Punt Recovery (Opponent)", "Fumble Recovery (Opponent) Touchdown",
+)
+COMPLETE_BY_TYPE = {
+    "Pass Reception": True, "Passing Touchdown": True, "Pass Completion": True, "Pass Incompletion": False,
+    "Interception": False, "Pass Interception Return": False, "Interception Return Touchdown": False,
+}
+
+
+def kinds_by_people(plays: DataFrame, people: DataFrame, uid: str = "play_uid", play_type: str = "play_type") -> DataFrame:
+    """plays with play_kind and is_complete, from the feed's type and the roles that the bridge has for the play.
+
+    Only plays of types named after an outcome are looked up in the bridge.  A pass whose type does not say
+    whether it was caught is not stated.
+    """
+    found = people.where(F.col("role").isin("passer", "rusher")).join(plays.where(F.col(play_type).isin(*OUTCOME_TYPES)).select(uid), uid, "left_semi")
+    roles = found.groupBy(uid).agg(F.collect_set("role").alias("el_roles"))
+    lookup = lambda values: F.create_map(*[F.lit(x) for pair in values.items() for x in pair])[F.col(play_type)]
+    known = lookup(KIND_BY_TYPE)
+    named = F.when(F.col(play_type).isin(*OUTCOME_TYPES), "outcome").otherwise("other")
+    kind = kind_from_roles(F.coalesce(known, named), F.coalesce("el_roles", F.array().cast("array<string>")))
+    out = plays.join(roles, uid, "left").withColumn("play_kind", kind)
+    return out.withColumn("is_complete", F.when(F.col("play_kind") == "pass", lookup(COMPLETE_BY_TYPE))).drop("el_roles")

@@ -117,10 +117,10 @@ def clock(t: Tables) -> DataFrame:
     return t.scrimmage.select("play_uid", clean.clock_seconds(clean.seconds_label("clock_secs_period")).alias("seconds"))
 
 
-@query("c14_upsert", "SELECT v.venue_id, CASE WHEN v.venue_id % 3 = 0 THEN 'new' ELSE surface END AS surface, CASE WHEN v.venue_id % 3 = 0 THEN coalesce(NOT indoor, NULL, indoor) ELSE indoor END AS indoor FROM venues v UNION ALL SELECT 1000, 'new', NULL")
+@query("c14_upsert", "SELECT v.venue_id, CASE WHEN v.venue_id % 3 = 0 THEN 'new' ELSE surface END AS surface, CASE WHEN v.venue_id % 3 = 0 THEN coalesce(NOT indoor, NULL, indoor) ELSE indoor END AS indoor FROM venues v UNION ALL SELECT -1, 'new', NULL")
 def upsert(t: Tables) -> DataFrame:
     old = t.venues.select("venue_id", "surface", "indoor")
-    extra = t.spark.range(1000, 1001).select(F.col("id").alias("venue_id"), F.lit("new").alias("surface"), F.lit(None).cast("boolean").alias("indoor"))
+    extra = t.spark.range(-1, 0).select(F.col("id").alias("venue_id"), F.lit("new").alias("surface"), F.lit(None).cast("boolean").alias("indoor"))
     news = old.where("venue_id % 3 = 0").select("venue_id", F.lit("new").alias("surface"), (~F.col("indoor")).alias("indoor")).unionByName(extra)
     return load.upserted(old, news, ["venue_id"])
 

@@ -46,11 +46,11 @@ def merge_into(path: str, key: str, at: str, partition: str):
         newest.write.parquet(staged)  # what is read cannot be overwritten at once
         kept = spark.read.schema(newest.schema).parquet(staged)
         # A partition that all its keys left has no rows to overwrite it with.
-        emptied = [r[0] for r in touched.subtract(kept.select(partition)).collect()]
+        emptied = [r[0] for r in touched.subtract(kept.select(partition)).select(F.col(partition).cast("string")).collect()]
         kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
         for value in emptied:
-            name = "__HIVE_DEFAULT_PARTITION__" if value is None else value
-            files.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{partition}={name}"), True)
+            folder = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString(partition, value)  # escaped as Spark writes it
+            files.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{folder}"), True)
         files.delete(spark._jvm.org.apache.hadoop.fs.Path(staged), True)
 
     return merge
