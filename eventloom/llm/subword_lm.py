@@ -24,6 +24,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +38,10 @@ from .shared import released, saved, small_batches, worker_state
 ROUNDS, PRIOR = 3, 0.1
 #: Words that are one in HOT or more of all words are looked up in a broadcast, if they have so few bytes.
 HOT, HOT_BYTES = 1 << 16, 256
-#: Bytes of a text counted at once, words whose lattices are built at once (and their characters), rows sent at once.
-SLICE_BYTES, LATTICE_WORDS, LATTICE_CHARS, SENT_ROWS = 1 << 20, 10_000, 200_000, 50_000
+#: Bytes of texts counted at once, words gathered for their lattices, cells of the lattices built at once, rows sent at once.
+SLICE_BYTES, GATHERED_WORDS, LATTICE_CELLS, SENT_ROWS = 1 << 20, 20_000, 500_000, 50_000
+#: Bytes of texts whose words are counted together.
+COUNTED_BYTES = 4 << 20
 #: The mark that begins a word in the vocabulary.
 START = "▁"
 
@@ -87,7 +90,7 @@ class Pieces:
         for i in usable:
             by.setdefault(len(model.id_to_piece(i)), []).append(i)
         self.longest = max(by)
-        #: length -> (hashes in order, ids, characters) of the pieces of that length
+        #: length -> (marks of the hashes' upper bits, hashes in order, ids, characters) of the pieces of that length
         self.known = {}
         for n, ids in by.items():
             chars = np.array([[ord(c) for c in model.id_to_piece(i)] for i in ids], np.uint64)
@@ -95,10 +98,12 @@ class Pieces:
             for k in range(n):
                 h = h * MULTIPLIER + chars[:, k]
             order = np.argsort(h, kind="stable")
-            self.known[n] = (h[order], np.array(ids)[order], chars[order])
+            maybe = np.zeros(1 << 20, bool)
+            maybe[(h >> SHIFT).astype(np.int32)] = True
+            self.known[n] = (maybe, h[order], np.array(ids)[order], chars[order])
 
 
-MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
+MULTIPLIER, SHIFT = np.uint64(0x9E3779B97F4A7C15), np.uint64(44)
 
 
 def logs(p: np.ndarray) -> np.ndarray:
@@ -106,119 +111,113 @@ def logs(p: np.ndarray) -> np.ndarray:
 
 
 class Lattice:
-    """The lattices of some words, laid one after another in flat arrays.
+    """The lattices of words of one length (their mark included), as dense arrays.
 
-    A word of n characters has slots 0 to n, with as many empty slots before as a piece has characters.
-    arc[slot, l - 1] is the piece of l characters that ends in the slot, or -1.
+    arc[word, end - 1, l - 1] is the piece of l characters that ends before place end, or -1; a character
+    without a piece of its own is spelled by its bytes.
     """
 
-    def __init__(self, words: list[bytes], pieces: Pieces):
-        self.pieces, wide = pieces, pieces.longest
-        text = [START + w.decode("utf-8", "replace") for w in words]
-        self.sizes = np.array([len(t) for t in text], np.int64)
-        self.first = np.cumsum(self.sizes + 1 + wide) - self.sizes - 1
-        slots = int(self.first[-1] + self.sizes[-1]) + 1 + wide
-        chars = np.zeros(slots, np.uint64)
-        flat = np.frombuffer("".join(text).encode("utf-32-le", "surrogatepass"), np.uint32)
-        where = np.repeat(self.first - np.cumsum(self.sizes) + self.sizes + 1, self.sizes) + np.arange(len(flat))
-        chars[where] = flat  # the character that ends in the slot
-        self.arc = np.full((slots, wide), -1, np.int32)
-        h = np.zeros(slots, np.uint64)
-        for n in range(1, wide + 1):
+    def __init__(self, chars: np.ndarray, pieces: Pieces):
+        words, self.size = chars.shape
+        self.pieces, self.wide = pieces, min(pieces.longest, self.size)
+        self.arc = np.full((words, self.size, self.wide), -1, np.int32)
+        h = np.zeros((words, self.size + 1), np.uint64)
+        for n in range(1, self.wide + 1):
+            h = h[:, :-1] * MULTIPLIER + chars[:, n - 1:]  # of the n characters from each place on
             if n not in pieces.known:
                 continue
-            h = np.zeros(slots - n + 1, np.uint64)
-            for k in range(n):
-                h = h * MULTIPLIER + chars[k:slots - n + 1 + k]
-            hashes, ids, spelled = pieces.known[n]
-            at = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
-            hit = np.flatnonzero(hashes[at] == h)
-            hit = hit[(chars[hit[:, None] + np.arange(n)] == spelled[at[hit]]).all(axis=1)]
-            self.arc[hit + n - 1, n - 1] = ids[at[hit]]
-        alone = where[self.arc[where, 0] < 0]
-        #: Characters without a piece are spelled by their bytes: (slot, byte's piece) of each.
-        spelled = [chr(int(c)).encode("utf-8", "replace") for c in chars[alone]]
-        self.byte_slot = np.repeat(alone, [len(b) for b in spelled]).astype(np.int64)
+            maybe, hashes, ids, spelled = pieces.known[n]
+            word, first = np.nonzero(maybe[(h >> SHIFT).astype(np.int32)])
+            at = np.minimum(np.searchsorted(hashes, h[word, first]), len(hashes) - 1)
+            same = (chars[word[:, None], first[:, None] + np.arange(n)] == spelled[at]).all(axis=1)
+            self.arc[word[same], first[same] + n - 1, n - 1] = ids[at[same]]
+        self.alone = np.nonzero(self.arc[:, :, 0] < 0)
+        spelled = [chr(int(c)).encode("utf-8", "replace") for c in chars[self.alone]]
+        self.bytes_of = np.repeat(np.arange(len(spelled)), [len(b) for b in spelled])
         self.byte_piece = pieces.byte[np.frombuffer(b"".join(spelled), np.uint8)] if spelled else np.zeros(0, np.int64)
-        self.order = np.argsort(-self.sizes, kind="stable")
 
     def weigh(self, log_p: np.ndarray) -> None:
         self.log = np.where(self.arc >= 0, log_p[self.arc], -np.inf)
-        if len(self.byte_slot):
-            self.log[self.byte_slot, 0] = 0
-            np.add.at(self.log[:, 0], self.byte_slot, log_p[self.byte_piece])
-
-    def _sweep(self, place: np.ndarray, back: bool) -> np.ndarray:
-        """Log sums over all paths: from the start to each slot, or from each slot to the end."""
-        wide, sizes = self.pieces.longest, self.sizes[self.order]
-        out = np.full(len(self.log), -np.inf)
-        out[place] = 0
-        reach, place = np.arange(1, wide + 1), place[self.order]
-        active = np.searchsorted(-sizes, -np.arange(1, int(sizes[0]) + 1), side="right")  # words of so many characters or more
-        with np.errstate(invalid="ignore", divide="ignore"):
-            for step, n in enumerate(active, 1):
-                at = place[:n] - step if back else place[:n] + step
-                ends = at[:, None] + reach if back else at[:, None]
-                x = out[at[:, None] + reach] + self.log[ends, reach - 1] if back else out[at[:, None] - reach] + self.log[at]
-                top = x.max(axis=1)
-                top[~np.isfinite(top)] = 0
-                out[at] = top + np.log(np.exp(x - top[:, None]).sum(axis=1))
-        return out
+        self.log[(*self.alone, np.zeros(len(self.alone[0]), int))] = np.bincount(self.bytes_of, log_p[self.byte_piece], len(self.alone[0]))
 
     def likelihood(self) -> np.ndarray:
-        """The log probability of every word, all its spellings together."""
-        self.ahead = self._sweep(self.first, False)
-        return self.ahead[self.first + self.sizes]
+        """The log probability of every word, all its spellings together: log sums forward over all paths from the start."""
+        self.ahead = np.zeros((len(self.arc), self.size + 1))
+        for end in range(1, self.size + 1):
+            n = min(end, self.wide)
+            self.ahead[:, end] = log_sums(self.ahead[:, end - n:end][:, ::-1] + self.log[:, end - 1, :n])
+        return self.ahead[:, -1]
 
     def expected(self, counts: np.ndarray) -> np.ndarray:
         """How often each piece is used, all spellings weighed, in so many occurrences of the words."""
-        wide, whole = self.pieces.longest, self.likelihood()
-        behind = self._sweep(self.first + self.sizes, True)
-        word = np.repeat(np.arange(len(self.sizes)), self.sizes)
-        slot = np.repeat(self.first - np.cumsum(self.sizes) + self.sizes + 1, self.sizes) + np.arange(len(word))
-        share = self.ahead[slot[:, None] - np.arange(1, wide + 1)] + self.log[slot] + (behind[slot] - whole[word])[:, None]
-        share = np.exp(share) * counts[word][:, None]
-        arc = self.arc[slot]
-        out = np.bincount(arc[arc >= 0], share[arc >= 0], self.pieces.size)
-        if len(self.byte_slot):
-            by_slot = np.zeros(len(self.log))
-            by_slot[slot] = share[:, 0]
-            out += np.bincount(self.byte_piece, by_slot[self.byte_slot], self.pieces.size)
-        return out
-
-
-def lattices(words: list[bytes], pieces: Pieces) -> Iterator[tuple[int, int, Lattice]]:
-    """Words a to b - 1 and their lattices, a bounded number of characters at once (a longer word alone)."""
-    a = 0
-    while a < len(words):
-        b, chars = a, 0
-        while b < len(words) and b - a < LATTICE_WORDS and (b == a or chars + len(words[b]) <= LATTICE_CHARS):
-            chars += len(words[b])
-            b += 1
-        yield a, b, Lattice(words[a:b], pieces)
-        a = b
+        whole = self.likelihood()
+        behind = np.zeros_like(self.ahead)
+        for first in range(self.size - 1, -1, -1):
+            n = min(self.size - first, self.wide)
+            behind[:, first] = log_sums(behind[:, first + 1:first + n + 1] + self.log[:, np.arange(first, first + n), np.arange(n)])
+        word, last, less = np.nonzero(self.arc >= 0)
+        share = np.exp(self.ahead[word, last - less] + self.log[word, last, less] + behind[word, last + 1] - whole[word]) * counts[word]
+        out = np.bincount(self.arc[word, last, less], share, self.pieces.size)
+        word, last = self.alone
+        share = np.exp(self.ahead[word, last] + self.log[word, last, 0] + behind[word, last + 1] - whole[word]) * counts[word]
+        return out + np.bincount(self.byte_piece, share[self.bytes_of], self.pieces.size)
+
+
+def log_sums(x: np.ndarray) -> np.ndarray:
+    top = x.max(axis=1)
+    top[np.isneginf(top)] = 0
+    with np.errstate(divide="ignore"):
+        return top + np.log(np.exp(x - top[:, None]).sum(axis=1))
+
+
+def lattices(words: list[bytes], pieces: Pieces) -> Iterator[tuple[np.ndarray, Lattice]]:
+    """Places of words of one length and their lattices, a bounded number of cells at once (a longer word alone)."""
+    text = [START + w.decode("utf-8", "replace") for w in words]
+    sizes = np.array([len(t) for t in text], np.int64)
+    order = np.argsort(sizes, kind="stable")
+    cuts = np.flatnonzero(np.diff(sizes[order], prepend=-1, append=-1))
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        size = int(sizes[order[a]])
+        step = max(LATTICE_CELLS // (size * min(size, pieces.longest)), 1)
+        for c in range(a, b, step):
+            own = order[c:min(c + step, b)]
+            flat = np.frombuffer("".join([text[i] for i in own]).encode("utf-32-le", "surrogatepass"), np.uint32)
+            yield own, Lattice(flat.reshape(len(own), size).astype(np.uint64), pieces)
+
+
+def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of words put together to larger ones: of one length there are more words then."""
+    held, rows, size = [], 0, 0
+    for batch in batches:
+        held.append(batch)
+        rows, size = rows + len(batch), size + batch.nbytes
+        if rows >= GATHERED_WORDS or size >= SLICE_BYTES:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, rows, size = [], 0, 0
+    if rows:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
 
 def counted_words(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """(word, c, n): every word with its occurrences in training rows and in all rows."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def sent() -> pa.RecordBatch:
-            words = list(everywhere)
-            cols = (pa.array(words, pa.binary()), pa.array([trained[w] for w in words], pa.int64()), pa.array(everywhere.values(), pa.int64()))
-            return pa.RecordBatch.from_arrays(list(cols), names=["word", "c", "n"])
+        def sent(texts: list[bytes], held: bool) -> pa.RecordBatch:
+            own = word_counts(b"\n".join(texts))
+            n = pa.array(own.values(), pa.int64())
+            return pa.RecordBatch.from_arrays([pa.array(list(own), pa.binary()), pa.array([0] * len(own), pa.int64()) if held else n, n], names=["word", "c", "n"])
 
-        everywhere, trained = Counter(), Counter()
+        waiting, sizes = {True: [], False: []}, {True: 0, False: 0}
         for batch in batches:
             for held, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                own = word_counts(raw.as_py())
-                everywhere.update(own)
-                if not held:
-                    trained.update(own)
-                if len(everywhere) > SENT_ROWS:
-                    yield sent()
-                    everywhere, trained = Counter(), Counter()
-        yield released(sent())
+                text = raw.as_py() or b""
+                waiting[held].append(text)
+                sizes[held] += len(text)
+                if sizes[held] > COUNTED_BYTES:
+                    yield sent(waiting[held], held)
+                    waiting[held], sizes[held] = [], 0
+        for held, texts in waiting.items():
+            yield released(sent(texts, held))
 
     raw = small_batches(docs).select(held_out(doc_id).alias("held"), F.col(text).cast("binary").alias("raw"))
     return raw.mapInArrow(count, "word binary, c bigint, n bigint").groupBy("word").agg(F.sum("c").alias("c"), F.sum("n").alias("n"))
@@ -245,10 +244,10 @@ def fitted_pieces(words: DataFrame, path: str, rounds: int = ROUNDS) -> np.ndarr
         def expect(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             own = worker_state(("pieces", path), lambda: Pieces(path))
             total = np.zeros(own.size)
-            for batch in batches:
-                for a, b, part in lattices(batch.column(0).to_pylist(), own):
+            for batch in gathered(batches):
+                for at, part in lattices(batch.column(0).to_pylist(), own):
                     part.weigh(sent.value)
-                    total += part.expected(np.ones(b - a))
+                    total += part.expected(np.ones(len(at)))
             seen = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(seen.astype(np.int32)), pa.array(total[seen])], names=["piece", "uses"])
 
@@ -278,12 +277,12 @@ def fit(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text",
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = worker_state(("pieces", path), lambda: Pieces(path))
-        for batch in batches:
+        for batch in gathered(batches):
             c = batch.column(1).to_numpy(zero_copy_only=False)
             log = np.zeros(len(c))
-            for a, b, part in lattices(batch.column(0).to_pylist(), own):
+            for at, part in lattices(batch.column(0).to_pylist(), own):
                 part.weigh(sent.value)
-                log[a:b] = part.likelihood()
+                log[at] = part.likelihood()
             log = np.logaddexp(np.log(spelled) + log, logs((1 - spelled) * c / seen))  # the arc over the whole word
             cols = [batch.column(0), batch.column(1), batch.column(2), pa.array(np.log10((c + 1) / total)), pa.array((log + np.log1p(-end)) / tens)]
             yield released(pa.RecordBatch.from_arrays(cols, names=["word", "c", "n", "base", "score"]))
@@ -296,35 +295,44 @@ def scored(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "t
     """(doc_id, held_out, n_tokens, n_known, base_score, score) of every row."""
     session, sums = docs.sparkSession, model.sums
     frequent = model.words.where((F.col("n") * HOT >= sums["all"]) & (F.length("word") <= HOT_BYTES))
-    hot = session.sparkContext.broadcast({bytes(r["word"]): (r["c"], r["base"], r["score"]) for r in frequent.select("word", "c", "base", "score").toLocalIterator()})  # HOT words at most
+    listed = [tuple(r) for r in frequent.select("word", (F.col("c") > 0).cast("int"), "base", "score").collect()]  # HOT words at most
+    hot = session.sparkContext.broadcast(({bytes(r[0]): i for i, r in enumerate(listed)}, np.array([r[1:] for r in listed], float).reshape(-1, 3)))
     ended, end_base, end_score = int(sums["ends"] > 0), model.end_base, model.end_score
     names = ["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "score", "word", "n"]
-    kinds = [pa.int64(), None, pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary(), pa.int64()]
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, row, rows, id_kind = hot.value, TaskContext.get().partitionId() << 40, [], None
+        (place, values), row = hot.value, TaskContext.get().partitionId() << 40
+        known, kinds, heads, cold = place.get, None, [], [[], [], []]
 
-        def sent() -> pa.RecordBatch:
-            cols = list(zip(*rows, strict=True)) or [()] * len(names)
-            return pa.RecordBatch.from_arrays([pa.array(c, k or id_kind) for c, k in zip(cols, kinds, strict=True)], names=names)
+        def sent() -> Iterator[pa.RecordBatch]:
+            cols = [pa.array(c, k) for c, k in zip(list(zip(*heads, strict=True)) or [()] * 7, kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays([*cols, pa.nulls(len(heads), pa.binary()), pa.nulls(len(heads), pa.int64())], names=names)
+            rows, words, counts = cold
+            if words:
+                rows, counts = np.repeat(np.array([r for r, _ in rows]), [n for _, n in rows]), np.concatenate(counts)
+                yield pa.RecordBatch.from_arrays([pa.array(rows), *(pa.nulls(len(words), k) for k in kinds[1:]), pa.array(words, pa.binary()), pa.array(counts)], names=names)
 
         for batch in batches:
-            id_kind = batch.column(0).type
+            kinds = [pa.int64(), batch.column(0).type, pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
             for name, held, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
                 own = word_counts(raw.as_py())
-                n_known, base, score, row = ended, end_base, end_score, row + 1
-                for word, n in own.items():
-                    got = known.get(word)
-                    if got:
-                        n_known, base, score = n_known + n * (got[0] > 0), base + n * got[1], score + n * got[2]
-                    else:
-                        rows.append((row, None, None, None, None, None, None, word, n))
-                rows.append((row, name, held, own.total() + 1, n_known, base, score, None, None))
-                if len(rows) > SENT_ROWS:
-                    yield sent()
-                    rows = []
-        if id_kind is not None:
-            yield released(sent())
+                row += 1
+                words, counts = list(own), np.fromiter(own.values(), np.int64, len(own))
+                at = np.fromiter(map(known, words, repeat(-1)), np.int64, len(words))
+                found = at >= 0
+                seen, base, score = counts[found] @ values[at[found]]
+                heads.append((row, name, held, int(counts.sum()) + 1, ended + int(seen), end_base + base, end_score + score))
+                if not found.all():
+                    rest = np.flatnonzero(~found)
+                    cold[0].append((row, len(rest)))
+                    cold[1] += [words[i] for i in rest]
+                    cold[2].append(counts[rest])
+                if len(heads) + len(cold[1]) > SENT_ROWS:
+                    yield from sent()
+                    heads, cold = [], [[], [], []]
+        if heads:
+            for part in sent():
+                yield released(part)
 
     kind = docs.schema[doc_id].dataType.simpleString()
     parts = saved(

@@ -127,9 +127,17 @@ def test_a_changed_row_or_proof_does_not_verify(spark):
 # 12: subword lattices
 
 
+def likelihoods(words: list, pieces, log_p) -> np.ndarray:
+    out = np.zeros(len(words))
+    for at, part in subword_lm.lattices([w if isinstance(w, bytes) else w.encode() for w in words], pieces):
+        part.weigh(log_p)
+        out[at] = part.likelihood()
+    return out
+
+
 def test_lattices_sum_all_spellings():
     pieces = subword_lm.Pieces(PIECE_BPE)
-    known = {"".join(chr(int(c)) for c in chars): int(i) for n, (_, ids, all_) in pieces.known.items() for i, chars in zip(ids, all_, strict=True)}
+    known = {"".join(chr(int(c)) for c in chars): int(i) for _, _, ids, all_ in pieces.known.values() for i, chars in zip(ids, all_, strict=True)}
     p = np.exp(pieces.start)
 
     def spelled(text: str, counts: Counter | None = None) -> dict:
@@ -146,17 +154,19 @@ def test_lattices_sum_all_spellings():
         return out
 
     words = ["the", "a", "wetherin", "ÄÖß", "漢字𠀀", "🙂", "x9", "▁_▁", "\x01"]
-    part = subword_lm.Lattice([w.encode() for w in words], pieces)
-    part.weigh(pieces.start)
     all_ = [spelled("▁" + w) for w in words]
-    assert np.allclose(part.likelihood(), [math.log(sum(x.values())) for x in all_])
+    assert np.allclose(likelihoods(words, pieces, pieces.start), [math.log(sum(x.values())) for x in all_])
     counts = np.arange(1.0, len(words) + 1)
     uses = np.zeros(pieces.size)
     for n, x in zip(counts, all_, strict=True):
         for ids, q in x.items():
             for i in ids:
                 uses[i] += n * q / sum(x.values())
-    assert np.allclose(part.expected(counts), uses)
+    got = np.zeros(pieces.size)
+    for at, part in subword_lm.lattices([w.encode() for w in words], pieces):
+        part.weigh(pieces.start)
+        got += part.expected(counts[at])
+    assert np.allclose(got, uses)
     assert abs(np.exp(pieces.start).sum() - 1) < 1e-9
 
 
@@ -185,9 +195,7 @@ def test_scores_against_counting(spark, docs, rows, monkeypatch, hot):
     pieces = subword_lm.Pieces(PIECE_BPE)
     spelled = (sum(c == 1 for c in trained.values()) + 1) / (trained.total() + 2)
     words = sorted({w for _, t, *_ in rows for w in (t or "").encode().lower().split()})
-    part = subword_lm.Lattice(words, pieces)
-    part.weigh(model.log_p)
-    own = {w: math.log10((1 - (ends + 1) / (n_all + 2)) * (spelled * math.exp(x) + (1 - spelled) * trained[w] / trained.total())) if x > -700 else None for w, x in zip(words, part.likelihood(), strict=True)}
+    own = {w: math.log10((1 - (ends + 1) / (n_all + 2)) * (spelled * math.exp(x) + (1 - spelled) * trained[w] / trained.total())) if x > -700 else None for w, x in zip(words, likelihoods(words, pieces, model.log_p), strict=True)}
     want = []
     for d, text, *_ in rows:
         doc = (text or "").encode().lower().split()
@@ -204,11 +212,8 @@ def test_pieces_fitted_to_a_corpus_explain_it_better(spark):
     df = spark.createDataFrame(own, "doc_id long, text string")
     at = [subword_lm.fit(df, PIECE_BPE, rounds=n) for n in (0, 1, 3)]
     words = [bytes(r["word"]) for r in at[0].words.collect()]
-    pieces, seen = subword_lm.Pieces(PIECE_BPE), []
-    for model in at:
-        part = subword_lm.Lattice(words, pieces)
-        part.weigh(model.log_p)
-        seen.append(part.likelihood().sum())
+    pieces = subword_lm.Pieces(PIECE_BPE)
+    seen = [likelihoods(words, pieces, model.log_p).sum() for model in at]
     assert seen[0] < seen[1] < seen[2]
 
 
