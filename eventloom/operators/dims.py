@@ -50,6 +50,12 @@ def careers(people: DataFrame, plays: DataFrame, uid: str = "play_uid") -> DataF
     return life.join(modal_by_key(people, "athlete_id", "role", "primary_role"), "athlete_id", "left")
 
 
+def careers_of(entries: DataFrame) -> DataFrame:
+    """careers() from the entries of plays (season, role, athlete_id, is_first): two aggregates, the second over a few rows an athlete."""
+    by_role = entries.groupBy("athlete_id", "role").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("is_first").cast("long")).alias("plays"), F.min("season").alias("low"), F.max("season").alias("high"))
+    return by_role.groupBy("athlete_id").agg(F.min("low").alias("first_season"), F.max("high").alias("last_season"), F.sum("plays").alias("plays"), F.max_by("role", F.struct("n", "role")).alias("primary_role"))
+
+
 def season_status(plays: DataFrame, as_of: str, days: int = 30) -> DataFrame:
     """Per season games, plays, the last regular week, and whether it was still going at as_of."""
     last = F.max("kickoff_utc")

@@ -82,6 +82,17 @@ def bridge(df: DataFrame, uid: str, roles: Sequence[tuple[str, str]]) -> DataFra
     return rows.groupBy(uid, "role", "athlete_id").agg(F.min("ordinal").alias("ordinal"))
 
 
+def entries(df: DataFrame, roles: Sequence[tuple[str, str]], carry: Sequence[str]) -> DataFrame:
+    """(carry, role, athlete_id, is_first): the role columns as rows with columns of their play; no shuffle.
+
+    is_first is true once for each play and athlete, so that summing it counts plays.
+    """
+    own = F.filter(F.array(*[F.struct(F.lit(role).alias("role"), F.col(c).alias("athlete_id")) for role, c in roles]), lambda e: e["athlete_id"].isNotNull())
+    held = df.select(*carry, own.alias("el_own"))
+    marked = F.transform("el_own", lambda e, i: F.struct(e["role"].alias("role"), e["athlete_id"].alias("athlete_id"), (~F.exists(F.slice("el_own", F.lit(1), i), lambda x: x["athlete_id"] == e["athlete_id"])).alias("is_first")))
+    return held.select(*carry, F.inline(marked))
+
+
 def first_by_role(people: DataFrame, uid: str, roles: Sequence[str]) -> DataFrame:
     """One row per uid with <role>_athlete_id of the lowest ordinal."""
     pick = [F.min_by("athlete_id", F.when(F.col("role") == r, F.struct("ordinal", "athlete_id"))).alias(f"{r}_athlete_id") for r in roles]

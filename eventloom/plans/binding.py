@@ -120,6 +120,8 @@ SCRIM = {
     "assist_athlete_id": "CASE WHEN flag AND pk % 3 = 0 THEN (pk * 5 + sk) % 100 END",
     "venue_id": "venue_id", "kickoff_utc": "kickoff_utc", "attendance": "attendance", "neutral_site": "neutral_site", "conference_game": "conference_game",
 }
+#: The roles of the scrimmage fact and the columns that hold them.
+ROLES = (("passer", "passer_athlete_id"), ("rusher", "rusher_athlete_id"), ("receiver", "receiver_athlete_id"), ("tackler", "tackler_athlete_id"), ("assistedBy", "assist_athlete_id"))
 #: A total order over the rows of one base uid.
 UID_ORDER = ("pk", "sk", "qty", "flag", "tail")
 
@@ -202,8 +204,7 @@ class Tables:
     @cached_property
     def people(self) -> DataFrame:
         """The bridge play x role x athlete of the scrimmage fact."""
-        roles = (("passer", "passer_athlete_id"), ("rusher", "rusher_athlete_id"), ("receiver", "receiver_athlete_id"), ("tackler", "tackler_athlete_id"), ("assistedBy", "assist_athlete_id"))
-        return events.bridge(self.scrimmage, "play_uid", roles)
+        return events.bridge(self.scrimmage, "play_uid", ROLES)
 
     @cached_property
     def drives(self) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from eventloom.functions import clean
 from eventloom.operators import dims, events, load, quality, wide
 from eventloom.operators import metrics as m
-from eventloom.plans.binding import Tables
+from eventloom.plans.binding import ROLES, Tables
 from eventloom.plans.registry import query
 
 AS_OF = "2001-08-15 00:00:00"
@@ -152,7 +152,7 @@ def modal_role(t: Tables) -> DataFrame:
 
 @query("d12_careers", "SELECT athlete_id, min(season) AS first_season, max(season) AS last_season, count(DISTINCT play_uid) AS plays, (SELECT arg_max(role, (n, role)) FROM (SELECT role, count(*) AS n FROM people q WHERE q.athlete_id = p.athlete_id GROUP BY role)) AS primary_role FROM people p JOIN scrim USING (play_uid) GROUP BY athlete_id")
 def careers(t: Tables) -> DataFrame:
-    return dims.careers(t.people, t.scrimmage)
+    return dims.careers_of(events.entries(t.scrimmage, ROLES, ["season"]))
 
 
 @query("d14_season_status", f"SELECT season, count(DISTINCT game_id) AS games, count(*) AS plays, max(week) FILTER (WHERE season_type = 'regular') AS last_regular_week, max(kickoff_utc) AS last_kickoff, max(kickoff_utc) > TIMESTAMP '{AS_OF}' - INTERVAL 30 DAYS AS is_in_progress FROM kicks GROUP BY 1")

@@ -9,98 +9,113 @@ from eventloom.operators import metrics as m
 from eventloom.plans.binding import Tables
 from eventloom.plans.registry import query
 
-_MARGINS = """
-, score_event AS (SELECT game_id, seq, play_uid, offense_team_id AS ref_team, score_diff_offense AS diff_before, coalesce(points_scored, 0) AS pts FROM scrim
-  UNION ALL SELECT game_id, seq, play_uid, kicking_team_id, score_diff_kicking, CASE WHEN play_kind = 'field_goal' AND fg_made THEN 3 WHEN play_kind = 'pat' AND converted THEN 1 WHEN play_kind = 'two_point' AND converted THEN 2 WHEN play_kind = 'defensive_conversion' AND converted THEN -2 ELSE 0 END + CASE WHEN returned_for_td THEN -6 ELSE 0 END FROM kicks),
-last_play AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY game_id ORDER BY seq DESC, play_uid DESC) AS rn FROM score_event) WHERE rn = 1),
-game_margin AS (SELECT game_id, season, season_type, home_team_id, away_team_id, CASE WHEN ref_team = home_team_id THEN diff_before + pts ELSE -(diff_before + pts) END AS home_margin FROM last_play JOIN games USING (game_id)),
-team_game AS (SELECT season, season_type, home_team_id AS team_id, home_margin AS margin FROM game_margin WHERE home_margin <> 0 UNION ALL SELECT season, season_type, away_team_id, -home_margin FROM game_margin WHERE home_margin <> 0)"""
-
-
-def score_events(t: Tables) -> DataFrame:
-    """Both facts as one stream of scores from the acting side's view: a try the defense returns is two against."""
-    s = t.scrimmage.select("game_id", "seq", "play_uid", F.col("offense_team_id").alias("ref_team"), F.col("score_diff_offense").alias("diff_before"), F.coalesce("points_scored", F.lit(0)).alias("pts"))
-    kind, done = F.col("play_kind"), F.col("converted")
-    own = F.when((kind == "field_goal") & F.col("fg_made"), 3).when((kind == "pat") & done, 1).when((kind == "two_point") & done, 2).when((kind == "defensive_conversion") & done, -2).otherwise(0)
-    k = t.kicks.select("game_id", "seq", "play_uid", F.col("kicking_team_id").alias("ref_team"), F.col("score_diff_kicking").alias("diff_before"), (own - F.when(F.col("returned_for_td"), 6).otherwise(0)).alias("pts"))
-    return s.unionByName(k)
-
+#: What a kick adds for the side that kicks; a try that the defense brings back is two against.
+_KICK_POINTS = """CASE WHEN returned_for_td THEN -6 ELSE 0 END + CASE WHEN play_kind = 'field_goal' AND fg_made THEN 3 WHEN converted THEN CASE play_kind WHEN 'pat' THEN 1 WHEN 'two_point' THEN 2 WHEN 'defensive_conversion' THEN -2 ELSE 0 END ELSE 0 END"""
+RESULTS = f"""
+, closing AS (
+  SELECT game_id, arg_max({{'side': side, 'lead': lead}}, (seq, play_uid)) AS c FROM (
+    SELECT game_id, seq, play_uid, kicking_team_id AS side, score_diff_kicking + {_KICK_POINTS} AS lead FROM kicks
+    UNION ALL SELECT game_id, seq, play_uid, offense_team_id, score_diff_offense + coalesce(points_scored, 0) FROM scrim) GROUP BY game_id),
+results AS (SELECT g.*, c IS NOT NULL AS has_plays, CAST(c.lead * if(c.side = home_team_id, 1, -1) AS INTEGER) AS home_margin FROM games g LEFT JOIN closing USING (game_id)),
+sides AS (SELECT season, season_type, home_team_id AS team_id, home_margin AS margin FROM results UNION ALL SELECT season, season_type, away_team_id, -home_margin FROM results)"""
+
+
+def results(t: Tables) -> DataFrame:
+    """Every game with the home side's margin after its last play (null if that is not stated) and whether it has plays."""
+    kicks = t.kicks.select("game_id", "seq", "play_uid", F.col("kicking_team_id").alias("side"), (F.col("score_diff_kicking") + F.expr(_KICK_POINTS)).alias("lead"))
+    snaps = t.scrimmage.select("game_id", "seq", "play_uid", F.col("offense_team_id").alias("side"), (F.col("score_diff_offense") + F.coalesce("points_scored", F.lit(0))).alias("lead"))
+    closing = kicks.unionByName(snaps).groupBy("game_id").agg(F.max_by(F.struct("side", "lead"), F.struct("seq", "play_uid")).alias("c"))
+    sign = F.when(F.col("c.side") == F.col("home_team_id"), 1).otherwise(-1)
+    return t.games.join(closing, "game_id", "left").withColumns({"has_plays": F.col("c").isNotNull(), "home_margin": F.col("c.lead") * sign}).drop("c")
+
+
+def sides(games: DataFrame) -> DataFrame:
+    """Two rows a game, one from each side."""
+    both = F.array(F.struct(F.col("home_team_id").alias("team_id"), F.col("home_margin").alias("margin")), F.struct(F.col("away_team_id").alias("team_id"), (-F.col("home_margin")).alias("margin")))
+    return games.select("season", "season_type", F.inline(both))
 
-def game_margins(t: Tables) -> DataFrame:
-    """The home side's margin after each game's last play."""
-    last = F.max_by(F.struct("ref_team", "diff_before", "pts"), F.struct("seq", "play_uid")).alias("last")
-    joined = score_events(t).groupBy("game_id").agg(last).join(t.games, "game_id")
-    after = F.col("last.diff_before") + F.col("last.pts")
-    return joined.select("game_id", "season", "season_type", "home_team_id", "away_team_id", F.when(F.col("last.ref_team") == F.col("home_team_id"), after).otherwise(-after).alias("home_margin"))
 
+def resolved_sides(t: Tables) -> DataFrame:
+    """A margin of 0 is unresolved, not a tie."""
+    return sides(results(t)).where("margin <> 0")
 
-def team_games(t: Tables) -> DataFrame:
-    """Two rows a game, one from each side; a margin of 0 is unresolved, not a tie."""
-    both = F.array(F.struct(F.col("home_team_id").alias("team_id"), F.col("home_margin").alias("margin")), F.struct(F.col("away_team_id").alias("team_id"), (-F.col("home_margin")).alias("margin")))
-    return game_margins(t).where("home_margin <> 0").select("season", "season_type", F.inline(both))
 
-
-@query("r01_game_margins", _MARGINS + "SELECT game_id, home_margin FROM game_margin")
+@query("r01_game_margins", RESULTS + "SELECT game_id, home_margin FROM results WHERE has_plays")
 def margins(t: Tables) -> DataFrame:
-    return game_margins(t).select("game_id", "home_margin")
+    return results(t).where("has_plays").select("game_id", "home_margin")
 
 
-@query("r01b_team_records", _MARGINS + """
-, sched AS (SELECT season, team_id, count(*) AS scheduled, count(*) FILTER (WHERE ok) AS played FROM (SELECT g.season, g.home_team_id AS team_id, coalesce(home_margin <> 0, false) AS ok FROM games g LEFT JOIN game_margin USING (game_id) UNION ALL SELECT g.season, g.away_team_id, coalesce(home_margin <> 0, false) FROM games g LEFT JOIN game_margin USING (game_id)) GROUP BY ALL)
-SELECT season, team_id, scheduled, played, count(*) FILTER (WHERE margin > 0) AS wins, count(*) FILTER (WHERE margin < 0) AS losses, 100.0 * avg(CAST(margin > 0 AS INTEGER)) AS win_pct, avg(margin) AS avg_margin, count(*) FILTER (WHERE abs(margin) <= 8) AS close_games, count(*) FILTER (WHERE season_type = 'postseason') AS postseason_games
-FROM team_game JOIN sched USING (season, team_id) GROUP BY ALL""")
+@query("r01b_team_records", RESULTS + """
+SELECT season, team_id, count(*) AS scheduled, count(*) FILTER (WHERE margin <> 0) AS played, count(*) FILTER (WHERE margin > 0) AS wins, count(*) FILTER (WHERE margin < 0) AS losses,
+  100.0 * avg(CAST(margin > 0 AS INTEGER)) FILTER (WHERE margin <> 0) AS win_pct, avg(margin) FILTER (WHERE margin <> 0) AS avg_margin,
+  count(*) FILTER (WHERE margin <> 0 AND abs(margin) <= 8) AS close_games, count(*) FILTER (WHERE margin <> 0 AND season_type = 'postseason') AS postseason_games
+FROM sides GROUP BY season, team_id HAVING count(*) FILTER (WHERE margin <> 0) > 0""")
 def team_records(t: Tables) -> DataFrame:
-    """Wins and losses beside scheduled and resolved games, so that a thin record shows."""
-    g = t.games.select("game_id", "season", F.explode(F.array("home_team_id", "away_team_id")).alias("team_id"))
-    known = game_margins(t).select("game_id", F.coalesce(F.col("home_margin") != 0, F.lit(False)).alias("ok"))
-    schedule = g.join(known, "game_id", "left").groupBy("season", "team_id").agg(m.n().alias("scheduled"), m.n(F.col("ok")).alias("played"))
+    """Wins and losses beside scheduled and resolved games, so that a thin record shows; one pass over both sides of the schedule."""
     d = F.col("margin")
-    record = team_games(t).groupBy("season", "team_id").agg(m.n(d > 0).alias("wins"), m.n(d < 0).alias("losses"), m.percent(d > 0).alias("win_pct"), m.mean("margin").alias("avg_margin"), m.n(F.abs(d) <= 8).alias("close_games"), m.n(F.col("season_type") == "postseason").alias("postseason_games"))
-    return record.join(schedule, ["season", "team_id"])
+    known = d != 0
+    return sides(results(t)).groupBy("season", "team_id").agg(
+        m.n().alias("scheduled"), m.n(known).alias("played"), m.n(d > 0).alias("wins"), m.n(d < 0).alias("losses"), (100.0 * F.avg(F.when(known, (d > 0).cast("int")))).alias("win_pct"),
+        F.avg(F.when(known, d)).alias("avg_margin"), m.n(known & (F.abs(d) <= 8)).alias("close_games"), m.n(known & (F.col("season_type") == "postseason")).alias("postseason_games"),
+    ).where("played > 0")
 
 
-@query("r02_margin_mode", _MARGINS + "SELECT abs(home_margin) AS margin, count(*) AS n, 100.0 * count(*) / sum(count(*)) OVER () AS pct FROM game_margin WHERE home_margin IS NOT NULL GROUP BY 1")
+@query("r02_margin_mode", RESULTS + "SELECT abs(home_margin) AS margin, count(*) AS n, 100.0 * count(*) / sum(count(*)) OVER () AS pct FROM results WHERE home_margin IS NOT NULL GROUP BY 1")
 def margin_mode(t: Tables) -> DataFrame:
-    counts = game_margins(t).where("home_margin IS NOT NULL").groupBy(F.abs("home_margin").alias("margin")).agg(m.n().alias("n"))
+    counts = results(t).where("home_margin IS NOT NULL").groupBy(F.abs("home_margin").alias("margin")).agg(m.n().alias("n"))
     return counts.crossJoin(counts.agg(F.sum("n").alias("el_all"))).select("margin", "n", (100.0 * F.col("n") / F.col("el_all")).alias("pct"))  # one row
 
 
-_ROLES = """
-, a AS (SELECT season, kicking_team_id AS team_id, kicker_athlete_id AS aid, count(*) FILTER (WHERE play_kind = 'kickoff') AS ko, count(*) FILTER (WHERE play_kind IN ('field_goal', 'pat')) AS pk, count(*) FILTER (WHERE play_kind = 'punt') AS punt FROM kicks WHERE kicker_athlete_id IS NOT NULL AND play_kind IN ('kickoff', 'field_goal', 'pat', 'punt') GROUP BY ALL),
-l AS (SELECT season, team_id, arg_max(aid, (pk, ko, aid)) FILTER (WHERE pk > 0) AS pk1, arg_max(aid, (ko, pk, aid)) FILTER (WHERE ko > 0) AS ko1, arg_max(aid, (punt, ko, aid)) FILTER (WHERE punt > 0) AS p1, CAST(sum(ko) AS BIGINT) AS ko_tot, CAST(sum(pk) AS BIGINT) AS pk_tot, CAST(sum(punt) AS BIGINT) AS punt_tot FROM a GROUP BY ALL),
-roles AS (SELECT l.*, CAST(coalesce(x.ko, 0) AS DOUBLE) / ko_tot AS pk1_ko_share, CASE WHEN pk1 = ko1 THEN 'placekicker also kicks off' WHEN p1 = ko1 THEN 'punter kicks off' ELSE 'kickoff specialist' END AS model FROM l LEFT JOIN a x ON x.season = l.season AND x.team_id = l.team_id AND x.aid = pk1 WHERE ko_tot >= 3 AND pk_tot >= 3 AND punt_tot >= 3)"""
+#: Kicks of each job that a team's season needs to be told a model.
+LEAST_KICKS = 3
+JOBS = f"""
+, kicked AS (SELECT season, kicking_team_id AS team_id, kicker_athlete_id AS who, count(*) FILTER (WHERE play_kind = 'kickoff') AS off, count(*) FILTER (WHERE play_kind IN ('field_goal', 'pat')) AS placed, count(*) FILTER (WHERE play_kind = 'punt') AS punted
+  FROM kicks WHERE kicker_athlete_id IS NOT NULL GROUP BY ALL HAVING off + placed + punted > 0),
+ranked AS (SELECT *, row_number() OVER (w ORDER BY placed DESC, off DESC, who DESC) AS at_placing, row_number() OVER (w ORDER BY off DESC, placed DESC, who DESC) AS at_kickoffs, row_number() OVER (w ORDER BY punted DESC, off DESC, who DESC) AS at_punting
+  FROM kicked WINDOW w AS (PARTITION BY season, team_id)),
+jobs AS (SELECT *, CAST(placer_kickoffs AS DOUBLE) / kickoffs AS placer_share, CASE WHEN placer = kickoff_man THEN 'placekicker also kicks off' WHEN punter = kickoff_man THEN 'punter kicks off' ELSE 'kickoff specialist' END AS model FROM (
+  SELECT season, team_id, max(who) FILTER (WHERE at_placing = 1) AS placer, max(who) FILTER (WHERE at_kickoffs = 1) AS kickoff_man, max(who) FILTER (WHERE at_punting = 1) AS punter, max(off) FILTER (WHERE at_placing = 1) AS placer_kickoffs,
+    CAST(sum(off) AS BIGINT) AS kickoffs, CAST(sum(placed) AS BIGINT) AS placements, CAST(sum(punted) AS BIGINT) AS punts FROM ranked GROUP BY season, team_id)
+  WHERE least(kickoffs, placements, punts) >= {LEAST_KICKS})"""
+
 
+def kicking_jobs(t: Tables, least: int = LEAST_KICKS) -> DataFrame:
+    """Who places, kicks off and punts for each team and season, and how the jobs fall together.
 
-def kicker_roles(t: Tables, floors: tuple[int, int, int] = (3, 3, 3)) -> DataFrame:
-    """Who places, kicks off and punts for each team and season, and how the jobs fall together."""
+    Of equally busy ones the busier at the other job leads, then the greater id: aggregates, no ranking of rows.
+    """
     kind = F.col("play_kind")
-    own = t.kicks.where(F.col("kicker_athlete_id").isNotNull() & kind.isin("kickoff", "field_goal", "pat", "punt"))
-    a = own.groupBy("season", F.col("kicking_team_id").alias("team_id"), F.col("kicker_athlete_id").alias("aid")).agg(m.n(kind == "kickoff").alias("ko"), m.n(kind.isin("field_goal", "pat")).alias("pk"), m.n(kind == "punt").alias("punt"))
-    lead = a.groupBy("season", "team_id").agg(
-        m.arg_max("aid", ("pk", "ko", "aid"), F.col("pk") > 0).alias("pk1"), m.arg_max("aid", ("ko", "pk", "aid"), F.col("ko") > 0).alias("ko1"), m.arg_max("aid", ("punt", "ko", "aid"), F.col("punt") > 0).alias("p1"),
-        F.sum("ko").alias("ko_tot"), F.sum("pk").alias("pk_tot"), F.sum("punt").alias("punt_tot"),
-        m.arg_max("ko", ("pk", "ko", "aid"), F.col("pk") > 0).alias("ko_by_pk1"),
+    kicked = t.kicks.where("kicker_athlete_id IS NOT NULL").groupBy("season", F.col("kicking_team_id").alias("team_id"), F.col("kicker_athlete_id").alias("who")).agg(
+        m.n(kind == "kickoff").alias("off"), m.n(kind.isin("field_goal", "pat")).alias("placed"), m.n(kind == "punt").alias("punted"),
+    )
+    lead = lambda *order: F.max(F.struct(*order, "who", "off"))
+    team = kicked.where("off + placed + punted > 0").groupBy("season", "team_id").agg(
+        lead("placed", F.col("off").alias("then")).alias("p"), lead(F.col("off").alias("first"), "placed").alias("k"), lead("punted", F.col("off").alias("then")).alias("u"),
+        F.sum("off").alias("kickoffs"), F.sum("placed").alias("placements"), F.sum("punted").alias("punts"),
+    ).where(F.least("kickoffs", "placements", "punts") >= least)
+    placer, kickoff_man, punter = F.col("p.who"), F.col("k.who"), F.col("u.who")
+    model = F.when(placer == kickoff_man, "placekicker also kicks off").when(punter == kickoff_man, "punter kicks off").otherwise("kickoff specialist")
+    return team.select(
+        "season", "team_id", placer.alias("placer"), kickoff_man.alias("kickoff_man"), punter.alias("punter"), F.col("p.off").alias("placer_kickoffs"),
+        "kickoffs", "placements", "punts", (F.col("p.off") / F.col("kickoffs")).alias("placer_share"), model.alias("model"),
     )
-    model = F.when(F.col("pk1") == F.col("ko1"), "placekicker also kicks off").when(F.col("p1") == F.col("ko1"), "punter kicks off").otherwise("kickoff specialist")
-    big = lead.where((F.col("ko_tot") >= floors[0]) & (F.col("pk_tot") >= floors[1]) & (F.col("punt_tot") >= floors[2]))
-    return big.select("season", "team_id", "pk1", "ko1", "p1", "ko_tot", "pk_tot", "punt_tot", (F.coalesce("ko_by_pk1", F.lit(0)) / F.col("ko_tot")).alias("pk1_ko_share"), model.alias("model"))
 
 
-@query("r03_kicker_roles", _ROLES + "SELECT * FROM roles")
+@query("r03_kicker_roles", JOBS + "SELECT * FROM jobs")
 def roles(t: Tables) -> DataFrame:
-    return kicker_roles(t)
+    return kicking_jobs(t)
 
 
-@query("r05_role_mix", _ROLES + "SELECT season, model, count(*) AS teams, CAST(count(*) AS DOUBLE) / sum(count(*)) OVER (PARTITION BY season) AS share FROM roles GROUP BY season, model")
+@query("r05_role_mix", JOBS + "SELECT season, model, count(*) AS teams, CAST(count(*) AS DOUBLE) / sum(count(*)) OVER (PARTITION BY season) AS share FROM jobs GROUP BY season, model")
 def role_mix(t: Tables) -> DataFrame:
-    return kicker_roles(t).groupBy("season", "model").agg(m.n().alias("teams")).withColumn("share", m.share_of("teams", "season"))
+    return kicking_jobs(t).groupBy("season", "model").agg(m.n().alias("teams")).withColumn("share", m.share_of("teams", "season"))
 
 
-@query("r06_role_switches", _ROLES + "SELECT * FROM (SELECT team_id, season, model, lag(model) OVER w AS before, lag(season) OVER w AS season_before FROM roles WINDOW w AS (PARTITION BY team_id ORDER BY season)) WHERE season = season_before + 1 AND model <> before")
+@query("r06_role_switches", JOBS + "SELECT * FROM (SELECT team_id, season, model, lag(model) OVER w AS before, lag(season) OVER w AS season_before FROM jobs WINDOW w AS (PARTITION BY team_id ORDER BY season)) WHERE season = season_before + 1 AND model <> before")
 def role_switches(t: Tables) -> DataFrame:
     """Teams whose model changed from one season to the next; gaps are no switches."""
     w = Window.partitionBy("team_id").orderBy("season")
-    r = kicker_roles(t).select("team_id", "season", "model", F.lag("model").over(w).alias("before"), F.lag("season").over(w).alias("season_before"))
+    r = kicking_jobs(t).select("team_id", "season", "model", F.lag("model").over(w).alias("before"), F.lag("season").over(w).alias("season_before"))
     return r.where((F.col("season") == F.col("season_before") + 1) & (F.col("model") != F.col("before")))
 
 

@@ -11,25 +11,36 @@ import pytest
 from eventloom import catalog
 
 SF = Path("/root/testdata/sf0.001")
+SCALES = ("sf0.001", "sf0.01")
 pytestmark = pytest.mark.skipif(not SF.exists(), reason="the given tables are not here")
 
 
-@pytest.fixture(scope="module")
-def duck():
+def opened(folder: Path):
     con = duckdb.connect()
-    for p in SF.glob("*.parquet"):
+    for p in folder.glob("*.parquet"):
         con.execute(f"CREATE VIEW {p.stem} AS SELECT * FROM '{p}'")
     return con
 
 
+@pytest.fixture(scope="module")
+def duck():
+    return opened(SF)
+
+
+@pytest.fixture(scope="module")
+def ducks():
+    return {scale: opened(SF.parent / scale) for scale in SCALES}
+
+
 def plain(v):
     return "null" if v is None or (isinstance(v, float) and math.isnan(v)) else f"{v:.9g}" if isinstance(v, float) else str(v)
 
 
+@pytest.mark.parametrize("scale", SCALES)
 @pytest.mark.parametrize("name", sorted(catalog.oracle_sql()))
-def test_query_equals_its_sql(spark, duck, name):
-    df = catalog.queries()[name](spark, str(SF))
-    want = duck.sql(catalog.oracle_sql()[name])
+def test_query_equals_its_sql(spark, ducks, name, scale):
+    df = catalog.queries()[name](spark, str(SF.parent / scale))
+    want = ducks[scale].sql(catalog.oracle_sql()[name])
     columns = sorted(df.columns)
     assert columns == sorted(want.columns)
     place = [want.columns.index(c) for c in columns]
