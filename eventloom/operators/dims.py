@@ -63,3 +63,41 @@ def season_status(plays: DataFrame, as_of: str, days: int = 30) -> DataFrame:
         F.countDistinct("game_id").alias("games"), F.count(F.lit(1)).alias("plays"), F.max(F.when(F.col("season_type") == "regular", F.col("week"))).alias("last_regular_week"),
         last.alias("last_kickoff"), (last > F.lit(as_of).cast("timestamp") - F.expr(f"INTERVAL {int(days)} DAYS")).alias("is_in_progress"),
     )
+
+
+#: A season's tree of groups as the feed gives it: groups hold divisions, divisions hold teams.
+GROUP_TREE = "struct<groups:array<struct<id:bigint,name:string,children:array<struct<id:bigint,name:string,teams:array<struct<id:bigint>>>>>>>"
+#: A game as the feed gives it.
+GAME_ROW = "struct<id:bigint,season:int,week:int,season_type:int,date:string,venue:struct<id:bigint>,attendance:bigint,neutral_site:boolean,conference_competition:boolean,teams:array<struct<id:bigint,home_away:string>>>"
+#: Roles of a conversion that are a role of the game.
+CANON = {"patScorer": "kicker", "patPasser": "passer"}
+
+
+def last_group(trees: DataFrame, season: str = "season", tree: str = "tree") -> DataFrame:
+    """(season, team_id, conference_id, conference_name, division): of all places a tree lists a team in, the last one in its order.
+
+    Trees are rows of JSON text and are laid out level by level; "last" is an aggregate over the places.
+    """
+    levels = trees.select(season, F.posexplode(F.from_json(tree, GROUP_TREE)["groups"]).alias("g_at", "g"))
+    levels = levels.select(season, "g_at", "g", F.posexplode("g.children").alias("c_at", "c"))
+    listed = levels.select(season, "g_at", "g", "c_at", "c", F.posexplode("c.teams").alias("t_at", "t")).select(
+        season, F.col("t.id").alias("team_id"), F.struct("g_at", "c_at", "t_at").alias("place"),
+        F.struct(F.col("g.id").alias("conference_id"), F.col("g.name").alias("conference_name"), F.col("c.name").alias("division")).alias("own"),
+    )
+    return listed.where("team_id IS NOT NULL").groupBy(season, "team_id").agg(F.max_by("own", "place").alias("own")).select(season, "team_id", "own.*")
+
+
+def game_rows(feed: DataFrame, game: str = "game") -> DataFrame:
+    """Games as rows: type 3 is the postseason and all else the regular season; the sides by what the feed says of each team."""
+    g = feed.select(F.from_json(game, GAME_ROW).alias("g")).where("g.id IS NOT NULL")
+    side = lambda name: F.get(F.filter("g.teams", lambda t: t["home_away"] == name), F.lit(0))["id"]
+    return g.select(
+        F.col("g.id").alias("game_id"), "g.season", "g.week", F.when(F.col("g.season_type") == 3, "postseason").otherwise("regular").alias("season_type"), F.col("g.date").alias("kickoff"),
+        side("home").alias("home_team_id"), side("away").alias("away_team_id"), F.col("g.venue.id").alias("venue_id"), "g.attendance", "g.neutral_site", F.col("g.conference_competition").alias("conference_game"),
+    )
+
+
+def canonical(role: str | Column) -> Column:
+    """A role under the one name it counts under."""
+    col = F.col(role) if isinstance(role, str) else role
+    return F.coalesce(F.create_map(*[F.lit(x) for pair in CANON.items() for x in pair])[col], col)

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.operators import compare, conversions, corpora, events, load
-from eventloom.plans.binding import UID_ORDER, Tables
+from eventloom.operators import compare, conversions, corpora, dims, events, load
+from eventloom.plans.binding import ROLES, UID_ORDER, Tables
 from eventloom.plans.panels import next_snap
 from eventloom.plans.registry import query
 
@@ -239,3 +239,45 @@ def any_values(t: Tables) -> DataFrame:
     rows = t.play_wide.where("kicker_athlete_id IS NOT NULL")
     name = F.when(F.col("seq") % 2 == 0, F.col("kicker_known_name"))
     return rows.groupBy(F.col("kicker_athlete_id").alias("aid")).agg(F.any_value(name, F.lit(True)).alias("known_name"), F.any_value("kicker_position", F.lit(True)).alias("position"))
+
+
+@query("d02_last_group", """
+SELECT CAST(y AS INTEGER) AS season, CAST(n_nationkey AS BIGINT) AS team_id, CAST(if(n_nationkey % 4 = y % 4, 99, n_regionkey) AS BIGINT) AS conference_id, if(n_nationkey % 4 = y % 4, 'Independents', r_name) AS conference_name,
+  if(n_nationkey % 4 = y % 4, 'All', if(n_nationkey % 2 = 0, 'East', 'West')) AS division FROM nation JOIN region ON r_regionkey = n_regionkey, (SELECT DISTINCT year(o_orderdate) AS y FROM orders)""", play_tables=False)
+def last_group(t: Tables) -> DataFrame:
+    """A tree of groups for each season, as JSON text; teams listed a second time among the independents belong there."""
+    seasons = t.raw("orders").select(F.year("o_orderdate").alias("season")).distinct()
+    teams = t.raw("nation").join(t.raw("region"), F.col("n_regionkey") == F.col("r_regionkey")).crossJoin(seasons)  # 25 teams a season
+    own = teams.select("season", F.col("n_regionkey").cast("bigint").alias("gid"), F.col("r_name").alias("group"), F.when(F.col("n_nationkey") % 2 == 0, "East").otherwise("West").alias("division"), F.col("n_nationkey").cast("bigint").alias("id"))
+    again = own.where(F.col("id") % 4 == F.col("season") % 4).withColumns({"gid": F.lit(99).cast("bigint"), "group": F.lit("Independents"), "division": F.lit("All")})
+    divisions = own.unionByName(again).groupBy("season", "gid", "group", "division").agg(F.sort_array(F.collect_list(F.struct("id"))).alias("teams"))
+    groups = divisions.groupBy("season", "gid", "group").agg(F.sort_array(F.collect_list(F.struct(F.lit(0).cast("bigint").alias("id"), F.col("division").alias("name"), "teams"))).alias("children"))
+    trees = groups.groupBy("season").agg(F.to_json(F.struct(F.sort_array(F.collect_list(F.struct(F.col("gid").alias("id"), F.col("group").alias("name"), "children"))).alias("groups"))).alias("tree"))
+    return dims.last_group(trees)
+
+
+@query("d05_game_rows", """
+SELECT o_orderkey AS game_id, CAST(year(o_orderdate) AS INTEGER) AS season, CAST(o_orderkey % 20 AS INTEGER) AS week, if(month(o_orderdate) = 12, 'postseason', 'regular') AS season_type, strftime(o_orderdate, '%Y-%m-%d') AS kickoff,
+  CAST(o_custkey % 25 AS BIGINT) AS home_team_id, CAST(if(o_orderkey % 7 = 0, NULL, (o_custkey + 1) % 25) AS BIGINT) AS away_team_id, CAST(if(o_orderkey % 50 = 0, NULL, o_custkey) AS BIGINT) AS venue_id,
+  CAST(if(o_orderkey % 9 = 0, NULL, o_custkey * 37 % 90000) AS BIGINT) AS attendance, o_orderkey % 17 = 0 AS neutral_site, NULL::BOOLEAN AS conference_game FROM orders""", play_tables=False)
+def game_rows(t: Tables) -> DataFrame:
+    """Games from JSON text: sides in either order, some with one team, some without a venue."""
+    team = lambda of, side: f"named_struct('id', cast({of} as bigint), 'home_away', '{side}')"
+    both = f"CASE WHEN o_orderkey % 7 = 0 THEN array({team('o_custkey % 25', 'home')}) WHEN o_orderkey % 2 = 0 THEN array({team('o_custkey % 25', 'home')}, {team('(o_custkey + 1) % 25', 'away')}) ELSE array({team('(o_custkey + 1) % 25', 'away')}, {team('o_custkey % 25', 'home')}) END"
+    feed = t.raw("orders").selectExpr(f"""to_json(named_struct('id', o_orderkey, 'season', year(o_orderdate), 'week', o_orderkey % 20, 'season_type', CASE WHEN month(o_orderdate) = 12 THEN 3 ELSE 2 END, 'date', date_format(o_orderdate, 'yyyy-MM-dd'),
+      'venue', CASE WHEN o_orderkey % 50 > 0 THEN named_struct('id', o_custkey) END, 'attendance', CASE WHEN o_orderkey % 9 > 0 THEN o_custkey * 37 % 90000 END, 'neutral_site', o_orderkey % 17 = 0, 'teams', {both})) AS game""")
+    return dims.game_rows(feed)
+
+
+@query("d09_canonical_roles", """, r AS (SELECT athlete_id, CASE role WHEN 'rusher' THEN CASE WHEN play_uid LIKE '%1' THEN 'passer' ELSE 'rusher' END WHEN 'receiver' THEN 'kicker' ELSE role END AS role FROM people)
+SELECT athlete_id, role, count(*) AS n FROM r GROUP BY ALL""")
+def canonical_roles(t: Tables) -> DataFrame:
+    """Roles of a conversion count under the game's names; the bridge is given some first."""
+    named = F.when((F.col("role") == "rusher") & F.col("play_uid").endswith("1"), "patPasser").when(F.col("role") == "receiver", "patScorer").otherwise(F.col("role"))
+    return t.people.groupBy("athlete_id", dims.canonical(named).alias("role")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("e13b_all_roles", "SELECT play_uid, " + ", ".join(f"arg_min(athlete_id, ordinal) FILTER (WHERE role = '{r}') AS {r}_athlete_id" for r, _ in ROLES) + " FROM people GROUP BY 1")
+def all_roles(t: Tables) -> DataFrame:
+    """The first athlete of every role of a play, as columns."""
+    return events.first_by_role(t.people, "play_uid", [r for r, _ in ROLES])

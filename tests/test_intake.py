@@ -179,3 +179,31 @@ def test_a_key_that_moves_leaves_its_old_partition_whatever_its_name(spark, tmp_
     merge(row(2, new), 1)
     got = spark.read.parquet(path).collect()
     assert [(r["id"], r["at"]) for r in got] == [(1, 2)]
+
+
+# feeds
+
+
+def test_a_team_listed_twice_belongs_where_it_is_listed_last(spark):
+    from eventloom.operators import dims
+
+    tree = '{"groups":[{"id":1,"name":"A","children":[{"name":"x","teams":[{"id":7},{"id":8},{}]}]},{"id":2,"name":"B","children":null},{"id":3,"name":"C","children":[{"name":"y","teams":[{"id":8}]},{"name":"z","teams":[{"id":8}]}]}]}'
+    df = spark.createDataFrame([(2020, tree), (2021, "{}"), (2022, "not json"), (2023, None)], "season int, tree string")
+    assert rows(dims.last_group(df)) == [(2020, 7, 1, "A", "x"), (2020, 8, 3, "C", "z")]
+
+
+def test_games_without_teams_or_venue_are_rows_still(spark):
+    from eventloom.operators import dims
+
+    games = ['{"id":1,"season":2020,"season_type":3,"teams":[{"id":5,"home_away":"away"},{"id":4,"home_away":"home"}],"venue":{"id":9}}', '{"id":2,"season_type":1,"teams":[]}', '{"id":3}', "{}", None]
+    got = {r["game_id"]: r for r in dims.game_rows(spark.createDataFrame([(g,) for g in games], "game string")).collect()}
+    assert (got[1]["home_team_id"], got[1]["away_team_id"], got[1]["venue_id"], got[1]["season_type"]) == (4, 5, 9, "postseason")
+    assert set(got) == {1, 2, 3} and got[2]["season_type"] == "regular" and got[2]["home_team_id"] is None and got[3]["venue_id"] is None
+
+
+def test_careers_count_a_play_once_whatever_the_roles(spark):
+    from eventloom.operators import dims
+
+    plays = spark.createDataFrame([(2000, 1, 1, None), (2001, 1, 2, 1), (2002, None, 2, 2)], "season int, a int, b int, c int")
+    entries = events.entries(plays, (("passer", "a"), ("rusher", "b"), ("tackler", "c")), ["season"])
+    assert rows(dims.careers_of(entries)) == [(1, 2000, 2001, 2, "passer"), (2, 2001, 2002, 2, "rusher")]
