@@ -10,10 +10,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def with_dimension(df: DataFrame, dim: DataFrame, on: dict[str, str], columns: dict[str, str]) -> DataFrame:
-    """df left-joined to dim (unique on its keys): on maps df's columns to dim's, columns dim's to new names."""
+def with_dimension(df: DataFrame, dim: DataFrame, on: dict[str, str], columns: dict[str, str], spread: str | None = None) -> DataFrame:
+    """df left-joined to dim (unique on its keys): on maps df's columns to dim's, columns dim's to new names.
+
+    Most rows may have no key.  Where dim is too large to be broadcast, all of those would meet in one task;
+    with spread (a column whose values differ) they are dealt by its hash instead, and match nothing.
+    """
     keyed = dim.select(*[F.col(d).alias(f"el_{i}") for i, d in enumerate(on.values())], *[F.col(c).alias(n) for c, n in columns.items()])
     match = [F.col(c) == F.col(f"el_{i}") for i, c in enumerate(on)]
+    if spread is not None:
+        ((c, _),) = on.items()
+        dealt = F.coalesce(F.col(c), (-1 - F.pmod(F.xxhash64(spread), F.lit(1 << 16))).cast(df.schema[c].dataType))
+        match = [dealt == F.col("el_0"), F.col(c).isNotNull()]
     return df.join(keyed, match, "left").drop(*[f"el_{i}" for i in range(len(on))])
 
 
@@ -67,7 +75,7 @@ def scrimmage_wide(scrimmage: DataFrame, venues: DataFrame, teams: DataFrame, te
     df = with_dimension(scrimmage, venues, {"venue_id": "venue_id"}, {"venue_name": "venue_name", "surface": "surface", "indoor": "venue_indoor"})
     df = _sides(df, teams, team_seasons, ("offense", "defense"))
     for role in ("passer", "rusher", "receiver", "tackler"):
-        df = with_dimension(df, athletes, {f"{role}_athlete_id": "athlete_id"}, {"known_name": f"{role}_name"})
+        df = with_dimension(df, athletes, {f"{role}_athlete_id": "athlete_id"}, {"known_name": f"{role}_name"}, spread="play_uid")
     return df.withColumns({
         "game_secs_remaining": game_secs_remaining(), "is_clutch": is_clutch("score_diff_offense"),
         "distance_bucket": distance_bucket(), "field_zone": field_zone(), "game_month": F.month("kickoff_utc"),

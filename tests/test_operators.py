@@ -215,3 +215,16 @@ def test_rates_pool_counts_and_skip_the_unstated(spark):
     got = {r.g: r.p for r in df.groupBy("g").agg(metrics.percent("ok").alias("p")).collect()}
     assert got == {1: 50.0, 2: None}
     assert values(spark.createDataFrame([(3, 0), (3, 2)], "a int, b int").select(metrics.ratio("a", "b").alias("r")), "r") == [(None,), (1.5,)]
+
+
+def test_rows_without_a_key_are_dealt_out_and_match_nothing(spark):
+    """With a dimension that cannot be broadcast the nulls reach many partitions, and no dimension row joins them."""
+    from eventloom.operators import wide
+
+    fact = spark.range(4000).selectExpr("concat('u', id) AS uid", "CASE WHEN id % 10 = 0 THEN id % 7 END AS who")
+    dim = spark.range(-70000, 7).selectExpr("id AS athlete_id", "concat('n', id) AS known_name")
+    joined = wide.with_dimension(fact, dim.hint("merge"), {"who": "athlete_id"}, {"known_name": "name"}, spread="uid")
+    got = joined.collect()
+    assert len(got) == 4000 and all(r["name"] == (None if r["who"] is None else f"n{r['who']}") for r in got)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(coalesce(who" in plan
