@@ -296,3 +296,16 @@ def test_new_queries_return_their_contracts(spark):
     for name, want in kinds.items():
         got = q[name](spark, sf)
         assert " ".join(f"{c}:{k}" for c, k in got.dtypes) == want and got.count() == n
+
+
+@pytest.mark.parametrize("name", ["op11_merkle", "op13_resample"])
+def test_queries_equal_their_sql(spark, name):
+    import duckdb
+
+    sf, con = "/root/testdata/sf0.001", duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
+    want, got = con.sql(queries.oracle_sql()[name]), queries.queries()[name](spark, sf)
+    columns = sorted(got.columns)
+    assert columns == sorted(want.columns)
+    assert in_order([tuple(r[c] for c in columns) for r in got.collect()]) == in_order(want.project(", ".join(columns)).fetchall())

@@ -121,7 +121,7 @@ def test_stages_take_nulls_empty_long_and_repeated_texts_and_clashing_names(spar
 def test_queries_return_their_contracts(spark):
     queries = __spark_entry__.queries()
     names = {int(n[2:].split("_")[0]): n for n in queries if n.startswith("op")}
-    assert sorted(names) == list(range(1, 11)) and "pipeline" in queries
+    assert sorted(names) == list(range(1, 14)) and "pipeline" in queries
     docs = by_id(table(spark, SF, "documents"))
     texts = {i: r.text or "" for i, r in docs.items()}
     for i, r in by_id(queries[names[4]](spark, SF)).items():
