@@ -242,7 +242,7 @@ def fitted_pieces(words: DataFrame, path: str, rounds: int = ROUNDS) -> np.ndarr
         sent = session.sparkContext.broadcast(log_p)
 
         def expect(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            own = worker_state(("pieces", path), lambda: Pieces(path))
+            own = worker_state(("lattice", path), lambda: Pieces(path))
             total = np.zeros(own.size)
             for batch in gathered(batches):
                 for at, part in lattices(batch.column(0).to_pylist(), own):
@@ -276,7 +276,7 @@ def fit(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text",
     total, seen, tens = sums["tokens"] + 1 * (sums["distinct"] + 1), max(sums["words"], 1), np.log(10)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = worker_state(("pieces", path), lambda: Pieces(path))
+        own = worker_state(("lattice", path), lambda: Pieces(path))
         for batch in gathered(batches):
             c = batch.column(1).to_numpy(zero_copy_only=False)
             log = np.zeros(len(c))
