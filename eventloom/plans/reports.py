@@ -73,9 +73,12 @@ JOBS = f"""
   FROM kicks WHERE kicker_athlete_id IS NOT NULL GROUP BY ALL HAVING off + placed + punted > 0),
 ranked AS (SELECT *, row_number() OVER (w ORDER BY placed DESC, off DESC, who DESC) AS at_placing, row_number() OVER (w ORDER BY off DESC, placed DESC, who DESC) AS at_kickoffs, row_number() OVER (w ORDER BY punted DESC, off DESC, who DESC) AS at_punting
   FROM kicked WINDOW w AS (PARTITION BY season, team_id)),
-jobs AS (SELECT *, CAST(placer_kickoffs AS DOUBLE) / kickoffs AS placer_share, CASE WHEN placer = kickoff_man THEN 'placekicker also kicks off' WHEN punter = kickoff_man THEN 'punter kicks off' ELSE 'kickoff specialist' END AS model FROM (
+jobs AS (SELECT *, CAST(placer_kickoffs AS DOUBLE) / kickoffs AS placer_share, CAST(kickoff_man_kickoffs AS DOUBLE) / kickoffs AS kickoff_man_share, CAST(punter_kickoffs AS DOUBLE) / kickoffs AS punter_share,
+    CAST(kickoff_man_placements AS DOUBLE) / placements AS kickoff_man_placing_share, CAST(kickoff_man_punts AS DOUBLE) / punts AS kickoff_man_punting_share,
+    CASE WHEN placer = kickoff_man THEN 'placekicker also kicks off' WHEN punter = kickoff_man THEN 'punter kicks off' ELSE 'kickoff specialist' END AS model FROM (
   SELECT season, team_id, max(who) FILTER (WHERE at_placing = 1) AS placer, max(who) FILTER (WHERE at_kickoffs = 1) AS kickoff_man, max(who) FILTER (WHERE at_punting = 1) AS punter, max(off) FILTER (WHERE at_placing = 1) AS placer_kickoffs,
-    CAST(sum(off) AS BIGINT) AS kickoffs, CAST(sum(placed) AS BIGINT) AS placements, CAST(sum(punted) AS BIGINT) AS punts FROM ranked GROUP BY season, team_id)
+    max(off) FILTER (WHERE at_kickoffs = 1) AS kickoff_man_kickoffs, max(placed) FILTER (WHERE at_kickoffs = 1) AS kickoff_man_placements, max(punted) FILTER (WHERE at_kickoffs = 1) AS kickoff_man_punts, max(off) FILTER (WHERE at_punting = 1) AS punter_kickoffs,
+    count(*) FILTER (WHERE off > 0) AS kickoff_men, CAST(sum(off) AS BIGINT) AS kickoffs, CAST(sum(placed) AS BIGINT) AS placements, CAST(sum(punted) AS BIGINT) AS punts FROM ranked GROUP BY season, team_id)
   WHERE least(kickoffs, placements, punts) >= {LEAST_KICKS})"""
 
 
@@ -88,16 +91,18 @@ def kicking_jobs(t: Tables, least: int = LEAST_KICKS) -> DataFrame:
     kicked = t.kicks.where("kicker_athlete_id IS NOT NULL").groupBy("season", F.col("kicking_team_id").alias("team_id"), F.col("kicker_athlete_id").alias("who")).agg(
         m.n(kind == "kickoff").alias("off"), m.n(kind.isin("field_goal", "pat")).alias("placed"), m.n(kind == "punt").alias("punted"),
     )
-    lead = lambda *order: F.max(F.struct(*order, "who", "off"))
+    lead = lambda *order: F.max(F.struct(*[F.col(c).alias(f"by_{c}") for c in order], "who", "off", "placed", "punted"))
     team = kicked.where("off + placed + punted > 0").groupBy("season", "team_id").agg(
-        lead("placed", F.col("off").alias("then")).alias("p"), lead(F.col("off").alias("first"), "placed").alias("k"), lead("punted", F.col("off").alias("then")).alias("u"),
+        lead("placed", "off").alias("p"), lead("off", "placed").alias("k"), lead("punted", "off").alias("u"), m.n(F.col("off") > 0).alias("kickoff_men"),
         F.sum("off").alias("kickoffs"), F.sum("placed").alias("placements"), F.sum("punted").alias("punts"),
     ).where(F.least("kickoffs", "placements", "punts") >= least)
     placer, kickoff_man, punter = F.col("p.who"), F.col("k.who"), F.col("u.who")
     model = F.when(placer == kickoff_man, "placekicker also kicks off").when(punter == kickoff_man, "punter kicks off").otherwise("kickoff specialist")
+    own = {"placer_kickoffs": "p.off", "kickoff_man_kickoffs": "k.off", "kickoff_man_placements": "k.placed", "kickoff_man_punts": "k.punted", "punter_kickoffs": "u.off"}
+    shares = {"placer_share": ("p.off", "kickoffs"), "kickoff_man_share": ("k.off", "kickoffs"), "punter_share": ("u.off", "kickoffs"), "kickoff_man_placing_share": ("k.placed", "placements"), "kickoff_man_punting_share": ("k.punted", "punts")}
     return team.select(
-        "season", "team_id", placer.alias("placer"), kickoff_man.alias("kickoff_man"), punter.alias("punter"), F.col("p.off").alias("placer_kickoffs"),
-        "kickoffs", "placements", "punts", (F.col("p.off") / F.col("kickoffs")).alias("placer_share"), model.alias("model"),
+        "season", "team_id", placer.alias("placer"), kickoff_man.alias("kickoff_man"), punter.alias("punter"), *[F.col(c).alias(name) for name, c in own.items()],
+        "kickoff_men", "kickoffs", "placements", "punts", *[m.ratio(*pair).alias(name) for name, pair in shares.items()], model.alias("model"),
     )
 
 
