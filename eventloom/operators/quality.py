@@ -27,6 +27,34 @@ def unrelated(df: DataFrame, column: str, parents: DataFrame, key: str) -> DataF
     return df.where(F.col(column).isNotNull()).join(parents.select(F.col(key).alias(column)), column, "left_anti")
 
 
+def counted(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
+    """(check, n): rows for which each rule holds, zero included; one pass for all of them.  A rule that is unknown does not hold."""
+    names = {f"el_{i}": name for i, name in enumerate(rules)}
+    counts = df.agg(*[F.count(F.when(rule, 1)).alias(c) for c, rule in zip(names, rules.values(), strict=True)])
+    return counts.select(F.inline(F.array(*[F.struct(F.lit(name).alias("check"), F.col(c).alias("n")) for c, name in names.items()])))
+
+
+def orphans(df: DataFrame, links: dict[str, tuple[Sequence[str], DataFrame, Sequence[str]]]) -> DataFrame:
+    """(check, keys, n, bad_keys, bad_n) of each link (columns, parents, their key): distinct keys and rows that name one, and those no parent has.
+
+    One scan of df for all links.  Rows are counted by key before parents are joined, so a key that most rows
+    share is one row there.  Rows with a null in a key name no parent and are not counted; a link that no row
+    names has no row in the result.
+    """
+    key = lambda columns: F.when(F.greatest(F.lit(False), *[F.col(c).isNull() for c in columns]), None).otherwise(F.to_json(F.array(*[F.col(c).cast("string") for c in columns])))
+    named = F.inline(F.array(*[F.struct(F.lit(name).alias("check"), key(columns).alias("key")) for name, (columns, _, _) in links.items()]))
+    rows = df.select(named).where("key IS NOT NULL").groupBy("check", "key").agg(F.count(F.lit(1)).alias("n"))
+    known = None
+    for name, (_, parents, columns) in links.items():
+        part = parents.select(F.lit(name).alias("check"), key(columns).alias("key"))
+        known = part if known is None else known.unionByName(part)
+    both = rows.join(known.where("key IS NOT NULL").distinct().withColumn("known", F.lit(True)), ["check", "key"], "left")
+    bad = F.col("known").isNull()
+    return both.groupBy("check").agg(
+        F.count(F.lit(1)).alias("keys"), F.sum("n").alias("n"), F.count(F.when(bad, 1)).alias("bad_keys"), F.coalesce(F.sum(F.when(bad, F.col("n"))), F.lit(0)).alias("bad_n"),
+    )
+
+
 def failing(df: DataFrame, rule: Column) -> DataFrame:
     """Rows where the rule is false or unknown."""
     return df.where(~F.coalesce(rule, F.lit(False)))

@@ -228,3 +228,18 @@ def test_rows_without_a_key_are_dealt_out_and_match_nothing(spark):
     assert len(got) == 4000 and all(r["name"] == (None if r["who"] is None else f"n{r['who']}") for r in got)
     plan = joined._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(coalesce(who" in plan
+
+
+def test_orphans_nulls_composite_keys_and_a_hot_key(spark):
+    from pyspark.sql import functions as F
+
+    from eventloom.operators import quality
+
+    rows = spark.createDataFrame([(1, 1, "a")] * 50 + [(1, 2, "b"), (None, 1, "a"), (2, None, None), (3, 3, "a,b")], "x int, y int, z string")
+    parents = spark.createDataFrame([(1, 1), (1, 1), (None, 1)], "p int, q int")
+    names = spark.createDataFrame([("a",), ("b",)], "name string")
+    got = {r.check: tuple(r)[1:] for r in quality.orphans(rows, {"pair": (["x", "y"], parents, ["p", "q"]), "name": (["z"], names, ["name"])}).collect()}
+    assert got == {"pair": (3, 52, 2, 2), "name": (3, 53, 1, 1)}
+    assert quality.orphans(rows.where("false"), {"name": (["z"], names, ["name"])}).count() == 0
+    counts = quality.counted(rows, {"one": F.col("x") == 1, "none": F.col("y") > 9, "unknown": F.lit(None).cast("boolean")})
+    assert {r.check: r.n for r in counts.collect()} == {"one": 51, "none": 0, "unknown": 0}
