@@ -243,3 +243,21 @@ def test_orphans_nulls_composite_keys_and_a_hot_key(spark):
     assert quality.orphans(rows.where("false"), {"name": (["z"], names, ["name"])}).count() == 0
     counts = quality.counted(rows, {"one": F.col("x") == 1, "none": F.col("y") > 9, "unknown": F.lit(None).cast("boolean")})
     assert {r.check: r.n for r in counts.collect()} == {"one": 51, "none": 0, "unknown": 0}
+
+
+def test_play_filters_are_listed_by_fact(spark):
+    import pytest
+
+    from eventloom.operators import playquery as pq
+
+    rows = spark.createDataFrame([("a", 1, 1, 2, None, None, 5, True, "50% off"), ("b", 2, 2, 3, 5, None, None, None, "50 off"), ("c", 2, 3, 1, None, 5, None, False, None)], "play_uid string, season int, kicking_team_id int, receiving_team_id int, kicker_athlete_id int, returner_athlete_id int, tackler_athlete_id int, returned boolean, play_text string").selectExpr("*", "1 AS game_id", "season = 2 AS both_top_division")
+    kept = lambda **asked: sorted(r.play_uid for r in pq.selected("kicks", rows, **asked).collect())
+    assert kept() == ["a", "b", "c"] and kept(season=None) == ["a", "b", "c"]
+    assert kept(team_id=1) == ["a", "c"] and kept(athlete_id=5) == ["a", "b", "c"] and kept(athlete_id=6) == []
+    assert kept(returned=False) == ["c"] and kept(text_contains="50% OFF") == ["a"]
+    assert kept(top_division_only=True) == ["b", "c"] and kept(top_division_only=False) == ["a", "b", "c"]
+    assert [r.play_uid for r in pq.newest(rows, 2).collect()] == ["b", "c"]
+    for fact, asked in (("kicks", {"down": 3}), ("scrimmage", {"fg_made": True}), ("kicks", {"1=1 OR season": 1}), ("drives", {}), ("kicks", {"play_kind": "rush"})):
+        with pytest.raises(ValueError):
+            pq.selected(fact, rows, **asked)
+    assert {k: len(v) for k, v in pq.FILTERS.items()} == {"kicks": 16, "scrimmage": 17}
