@@ -261,3 +261,22 @@ def test_play_filters_are_listed_by_fact(spark):
         with pytest.raises(ValueError):
             pq.selected(fact, rows, **asked)
     assert {k: len(v) for k, v in pq.FILTERS.items()} == {"kicks": 16, "scrimmage": 17}
+
+
+def test_careers_floor_before_numbering_and_direction(spark):
+    from eventloom.operators import careers as cr
+
+    kicks = []
+    for who, season, punts, back in ((1, 1, 3, 1), (2, 2, 1, 0), (2, 3, 4, 4), (2, 5, 4, 1), (3, 2, 4, 2), (3, 3, 4, 2), (3, 9, 9, 0), (None, 2, 5, 0)):
+        kicks += [(who, season, "punt", "Returned" if i < back else "Downed") for i in range(punts)]
+    st = spark.createDataFrame(kicks, "player_id int, season int, play_kind string, outcome string").selectExpr("*", *[f"CAST(NULL AS INT) AS {c}" for c in ("fg_distance_yds", "punt_net_yds", "punt_gross_yds", "kickoff_yds")], "CAST(NULL AS BOOLEAN) AS onside")
+    sums = cr.season_sums(st, "player_id", in_progress=[9])
+    rows = cr.job_seasons(sums, "player_id", floors={"punt": 3})
+    assert sorted((r.player_id, r.season, r.exp, r.came_back) for r in rows.collect()) == [(2, 3, 1, True), (2, 5, 2, None), (3, 2, 1, True), (3, 3, 2, False)]
+    assert cr.job_seasons(sums, "player_id", floors={"punt": 3}, drop_censored=False).where("censored").count() == 1
+    step = cr.steps(cr.measured(rows), "player_id").where("metric = 'ret_rate'").first()  # falling is better
+    assert (step.players, step.better, step.worse, step.level, step.before, step.after, step.thin) == (2, 1, 0, 1, 0.75, 0.375, True)
+    assert cr.steps(cr.measured(rows), "player_id").where("metric = 'net'").count() == 0
+    kept = cr.kept_the_job(cr.measured(rows), 1).count()
+    assert kept == 0  # nobody leaves after the first year, so each curve ends before it
+    assert cr.job_seasons(sums.where("false"), "player_id").count() == 0
