@@ -144,6 +144,11 @@ def page(df: DataFrame, order: Sequence[Column], start: int, end: int) -> DataFr
     return df.orderBy(*order).offset(start).limit(end - start)
 
 
+def page_with_total(df: DataFrame, order: Sequence[Column], start: int, end: int) -> DataFrame:
+    """A page whose rows also tell how many rows there are (total); a page past the end is empty."""
+    return page(df, order, start, end).crossJoin(df.agg(F.count(F.lit(1)).alias("total")))  # one row
+
+
 def clamped(n: int | None, default: int = 50, most: int = 500) -> int:
     return max(1, min(int(n if n is not None else default), most))
 

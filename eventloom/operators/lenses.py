@@ -18,6 +18,11 @@ def stated(flag: str) -> Column:
     return F.coalesce(F.col(flag), F.lit(False))
 
 
+def possible_yards(limit: int = YARD_LIMIT) -> Column:
+    """Yards gained; null where no play can gain so many."""
+    return F.when(F.abs("yards_gained") <= limit, F.col("yards_gained"))
+
+
 def first_true(branches: list[tuple[Column, str]], otherwise: str) -> Column:
     chain = None
     for test, label in branches:
@@ -94,7 +99,7 @@ def scrimmage_lens(wide: DataFrame, side: str, limit: int = YARD_LIMIT) -> DataF
     offense = side == "offense"
     own, other = ("offense", "defense") if offense else ("defense", "offense")
     sign = (lambda c: c) if offense else (lambda c: -c)
-    yards = F.when(F.abs("yards_gained") <= limit, F.col("yards_gained"))
+    yards = possible_yards(limit)
     diff = sign(F.col("score_diff_offense"))
     home = F.col("is_home_offense") if offense else ~F.col("is_home_offense")
     return wide.select(
