@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventloom.plans import asked, careers, charts, derive, intake, kicking, panels, reports, surfaces, texts, tools, verification  # noqa: F401  they register their queries
+from eventloom.plans import asked, careers, charts, derive, golden, intake, kicking, panels, reports, surfaces, texts, tools, verification  # noqa: F401  they register their queries
 from eventloom.plans.registry import ORACLE, QUERIES
 
 FLAGSHIP = "q23_kick_outcomes"
