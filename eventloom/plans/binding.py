@@ -36,7 +36,7 @@ GAME = {
     "kickoff_utc": "o_orderdate",
     "home_team_id": HOME,
     "away_team_id": AWAY,
-    "venue_id": "CASE WHEN o_orderkey % 50 = 0 THEN NULL ELSE o_custkey % 100 END",
+    "venue_id": "CASE WHEN o_orderkey % 50 = 0 THEN NULL ELSE cast(floor((o_custkey * 4 + o_orderkey % 4) / 3.0) as bigint) END",
     "attendance": "CASE WHEN o_orderkey % 9 = 0 THEN NULL ELSE o_custkey * 37 % 90000 END",
     "neutral_site": "o_orderkey % 17 = 0",
     "conference_game": f"{conference(HOME, 'cast(year(o_orderdate) as int)')} = {conference(AWAY, 'cast(year(o_orderdate) as int)')}",

@@ -219,10 +219,11 @@ def later_seasons(t: Tables) -> DataFrame:
     return s.join(later, (F.col("aid") == F.col("b_aid")) & (F.col("b_season") > F.col("season"))).groupBy("aid", "season").agg(m.n().alias("later"))
 
 
-@query("j12_full_outer", "SELECT coalesce(k.season, s.season) AS season, k.n AS kicks, s.n AS scrimmage FROM (SELECT season, count(*) AS n FROM kicks WHERE season < 2000 GROUP BY 1) k FULL JOIN (SELECT season, count(*) AS n FROM scrim WHERE season > 1995 GROUP BY 1) s USING (season)")
-def season_counts(t: Tables) -> DataFrame:
-    k = t.kicks.where("season < 2000").groupBy("season").agg(m.n().alias("kicks"))
-    return k.join(t.scrimmage.where("season > 1995").groupBy("season").agg(m.n().alias("scrimmage")), "season", "full_outer")
+@query("j12_full_outer", "SELECT coalesce(k.game_id, s.game_id) AS game_id, k.n AS kicks, s.n AS scrimmage FROM (SELECT game_id, count(*) AS n FROM kicks GROUP BY 1) k FULL JOIN (SELECT game_id, count(*) AS n FROM scrim GROUP BY 1) s USING (game_id)")
+def game_counts(t: Tables) -> DataFrame:
+    """Plays of either fact by game; a game may be in one fact alone."""
+    k = t.kicks.groupBy("game_id").agg(m.n().alias("kicks"))
+    return k.join(t.scrimmage.groupBy("game_id").agg(m.n().alias("scrimmage")), "game_id", "full_outer")
 
 
 @query("u03_except_all", """, a AS (SELECT season, week FROM kicks), b AS (SELECT season, week FROM scrim)

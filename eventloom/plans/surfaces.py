@@ -214,10 +214,10 @@ def teams_resolve(t: Tables) -> DataFrame:
     return quality.unrelated(t.kicks.select(F.col("kicking_team_id").alias("team_id")), "team_id", t.team_seasons, "team_id").distinct()
 
 
-@query("v15_reconcile", """, x AS (SELECT season, count(*) AS n FROM kicks GROUP BY 1), y AS (SELECT season, count(*) AS n FROM play_wide WHERE week < 53 GROUP BY 1)
-SELECT coalesce(x.season, y.season) AS season, coalesce(x.n, 0) AS built, coalesce(y.n, 0) AS loaded FROM x FULL JOIN y USING (season) WHERE x.n IS DISTINCT FROM y.n""")
+@query("v15_reconcile", """, x AS (SELECT season, count(*) AS n FROM games GROUP BY 1), y AS (SELECT season, count(DISTINCT game_id) AS n FROM kicks GROUP BY 1)
+SELECT coalesce(x.season, y.season) AS season, coalesce(x.n, 0) AS scheduled, coalesce(y.n, 0) AS loaded FROM x FULL JOIN y USING (season) WHERE x.n IS DISTINCT FROM y.n""")
 def reconcile(t: Tables) -> DataFrame:
-    """Seasons whose counts differ between two copies."""
-    a = t.kicks.groupBy("season").agg(m.n().alias("built"))
-    b = t.play_wide.where("week < 53").groupBy("season").agg(m.n().alias("loaded"))
-    return a.join(b, "season", "full_outer").where(~F.col("built").eqNullSafe(F.col("loaded"))).select("season", F.coalesce("built", F.lit(0)).alias("built"), F.coalesce("loaded", F.lit(0)).alias("loaded"))
+    """Seasons whose games on the schedule and games with kicks differ in number."""
+    a = t.games.groupBy("season").agg(m.n().alias("scheduled"))
+    b = t.kicks.groupBy("season").agg(F.countDistinct("game_id").alias("loaded"))
+    return a.join(b, "season", "full_outer").where(~F.col("scheduled").eqNullSafe(F.col("loaded"))).select("season", F.coalesce("scheduled", F.lit(0)).alias("scheduled"), F.coalesce("loaded", F.lit(0)).alias("loaded"))
