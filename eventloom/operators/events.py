@@ -112,6 +112,32 @@ def drive_rollup(plays: DataFrame, yard_limit: int = 110) -> DataFrame:
     )
 
 
+def whole_drives(plays: DataFrame, yard_limit: int = 110) -> DataFrame:
+    """One row per drive over the plays of both facts: a drive that ends in a punt holds the punt.
+
+    plays: game_id, drive_number, season, seq, play_uid, fact ("kicks" or "scrimmage"), play_kind, own_team_id, other_team_id,
+    yards_to_goal, yards_gained, is_turnover, points_scored, fg_made, period, clock_secs_period.  A kickoff is counted but
+    tells neither sides nor place.  Each end is the first or last play that states it; a drive of kickoffs alone has no sides.
+    """
+    at = F.struct("seq", "play_uid")
+    told = F.col("play_kind") != "kickoff"
+    first = lambda c: F.min_by(c, F.when(told & F.col(c).isNotNull(), at))
+    last = lambda c: F.max_by(c, F.when(told & F.col(c).isNotNull(), at))
+    some = lambda test: F.coalesce(F.bool_or(test), F.lit(False))
+    turned = F.coalesce("is_turnover", F.lit(False))
+    snap, goal = F.col("fact") == "scrimmage", F.col("play_kind") == "field_goal"
+    score = some(snap & (F.col("points_scored") > 0))
+    result = F.when(score, "TD").when(some(goal & F.col("fg_made")), "FG").when(some(turned), "TURNOVER").when(some(goal), "MISSED FG").when(some(F.col("play_kind") == "punt"), "PUNT").otherwise("OTHER")
+    return plays.groupBy("game_id", "drive_number").agg(
+        F.min("season").alias("season"), first("own_team_id").alias("offense_team_id"), first("other_team_id").alias("defense_team_id"),
+        first("yards_to_goal").alias("start_yards_to_goal"), last("yards_to_goal").alias("end_yards_to_goal"),
+        first("period").alias("start_period"), first("clock_secs_period").alias("start_clock_secs"), last("period").alias("end_period"), last("clock_secs_period").alias("end_clock_secs"),
+        F.count(F.lit(1)).alias("plays_total"), F.count_if(snap).alias("plays_scrimmage"),
+        F.coalesce(F.sum(F.when(~turned & (F.abs("yards_gained") <= yard_limit), F.col("yards_gained"))), F.lit(0)).alias("yards"),
+        (score | some(goal & F.col("fg_made"))).alias("is_score"), result.alias("result"),
+    )
+
+
 def conversions_of(scores: DataFrame, nulled: Sequence[str], uid: str = "play_uid", suffix: str = ":pat") -> DataFrame:
     """A conversion row for each scoring play: the play's columns, its own measures nulled, the uid marked."""
     blank = {c: F.lit(None).cast(scores.schema[c].dataType) for c in nulled}

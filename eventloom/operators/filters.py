@@ -149,6 +149,20 @@ def page_with_total(df: DataFrame, order: Sequence[Column], start: int, end: int
     return page(df, order, start, end).crossJoin(df.agg(F.count(F.lit(1)).alias("total")))  # one row
 
 
+def scopes(side: str, power: Sequence[str], dated: tuple[str, int], top: str = "FBS") -> dict[str, Column]:
+    """Populations of plays by their side's conference and division of that season.
+
+    power conferences are always of the first rank, the dated one through its last season there and never in `others`.
+    A side without a conference is in `all` and, by its division, in `top` only.
+    """
+    conference, division = F.col(f"{side}_conference"), F.col(f"{side}_division")
+    of = conference.isin(*power)
+    return {
+        "power": of | ((conference == dated[0]) & (F.col("season") <= dated[1])), "lasting": of,
+        "others": (division == top) & ~of & (conference != dated[0]), "top": division == top, "all": F.lit(True),
+    }
+
+
 def clamped(n: int | None, default: int = 50, most: int = 500) -> int:
     return max(1, min(int(n if n is not None else default), most))
 

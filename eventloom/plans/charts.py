@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from eventloom.operators import events
 from eventloom.operators import filters as fl
 from eventloom.operators import metrics as m
 from eventloom.operators import options as opt
@@ -233,3 +234,55 @@ def margin_coverage(t: Tables) -> DataFrame:
     """Games of a season that have no result, by why."""
     d, played = F.col("home_margin"), F.col("has_plays")
     return results(t).groupBy("season").agg(m.n().alias("scheduled"), m.n(~played).alias("no_plays"), m.n(d == 0).alias("unresolved"), m.n(played & d.isNull()).alias("not_stated"), (100.0 * m.n(d.isNull() | (d == 0)) / m.n()).alias("lost_pct"))
+
+
+_SCOPES = {
+    "power": "kicking_conference IN ('Conf 0', 'Conf 1') OR (kicking_conference = 'Conf 4' AND season <= 1998)", "lasting": "kicking_conference IN ('Conf 0', 'Conf 1')",
+    "others": "kicking_division = 'FBS' AND kicking_conference NOT IN ('Conf 0', 'Conf 1') AND kicking_conference <> 'Conf 4'", "top": "kicking_division = 'FBS'", "all": "true",
+}
+
+
+@query("f20b_five_scopes", f"SELECT season, {', '.join(f'count(*) FILTER (WHERE {test}) AS {name}_plays, avg(punt_gross_yds) FILTER (WHERE {test}) AS {name}_gross' for name, test in _SCOPES.items())} FROM play_wide WHERE play_kind = 'punt' GROUP BY 1")
+def five_scopes(t: Tables) -> DataFrame:
+    """Punts of all five populations, in one pass."""
+    tests = fl.scopes("kicking", ("Conf 0", "Conf 1"), ("Conf 4", 1998))
+    return t.play_wide.where("play_kind = 'punt'").groupBy("season").agg(*[c for name, test in tests.items() for c in (m.n(test).alias(f"{name}_plays"), m.mean("punt_gross_yds", test).alias(f"{name}_gross"))])
+
+
+_DRIVE = "CASE WHEN seq < 3 THEN 1 WHEN seq < 5 THEN 2 ELSE 3 END"
+_BOTH = f"""
+, b AS (SELECT game_id, season, seq, play_uid, 'scrimmage' AS fact, play_kind, offense_team_id AS own, defense_team_id AS other, yards_to_goal, yards_gained, is_turnover, points_scored, NULL::BOOLEAN AS fg_made, period, clock_secs_period, {_DRIVE} AS drive_number FROM scrim
+  UNION ALL SELECT game_id, season, seq, play_uid, 'kicks', play_kind, kicking_team_id, receiving_team_id, yards_to_goal, NULL, NULL, NULL, fg_made, period, clock_secs_period, {_DRIVE} FROM kicks),
+told AS (SELECT game_id, drive_number, arg_min(own, (seq, play_uid)) AS offense_team_id, arg_min(other, (seq, play_uid)) AS defense_team_id, arg_min(yards_to_goal, (seq, play_uid)) AS start_yards_to_goal, arg_max(yards_to_goal, (seq, play_uid)) AS end_yards_to_goal,
+    arg_min(period, (seq, play_uid)) AS start_period, arg_min(clock_secs_period, (seq, play_uid)) AS start_clock_secs, arg_max(period, (seq, play_uid)) AS end_period, arg_max(clock_secs_period, (seq, play_uid)) AS end_clock_secs FROM b WHERE play_kind <> 'kickoff' GROUP BY ALL),
+sums AS (SELECT game_id, drive_number, min(season) AS season, count(*) AS plays_total, count(*) FILTER (WHERE fact = 'scrimmage') AS plays_scrimmage, CAST(coalesce(sum(yards_gained) FILTER (WHERE is_turnover IS NOT TRUE AND abs(yards_gained) <= 110), 0) AS BIGINT) AS yards,
+    count(*) FILTER (WHERE points_scored > 0) > 0 AS td, count(*) FILTER (WHERE fg_made) > 0 AS fg, count(*) FILTER (WHERE is_turnover) > 0 AS lost, count(*) FILTER (WHERE play_kind = 'field_goal') > 0 AS tried, count(*) FILTER (WHERE play_kind = 'punt') > 0 AS punted FROM b GROUP BY ALL),
+whole AS (SELECT game_id, drive_number, season, offense_team_id, defense_team_id, start_yards_to_goal, end_yards_to_goal, start_period, start_clock_secs, end_period, end_clock_secs, plays_total, plays_scrimmage, yards, td OR fg AS is_score,
+    CASE WHEN td THEN 'TD' WHEN fg THEN 'FG' WHEN lost THEN 'TURNOVER' WHEN tried THEN 'MISSED FG' WHEN punted THEN 'PUNT' ELSE 'OTHER' END AS result FROM sums LEFT JOIN told USING (game_id, drive_number))
+"""
+
+
+def both_facts(t: Tables) -> DataFrame:
+    """The plays of both facts with their drive, in the columns that drives are made of."""
+    shared = ["game_id", "season", "seq", "play_uid", "play_kind", "yards_to_goal", "period", "clock_secs_period", F.expr(_DRIVE).alias("drive_number")]
+    snaps = t.scrimmage.select(*shared, F.lit("scrimmage").alias("fact"), F.col("offense_team_id").alias("own_team_id"), F.col("defense_team_id").alias("other_team_id"), "yards_gained", "is_turnover", "points_scored", F.lit(None).cast("boolean").alias("fg_made"))
+    nothing = [F.lit(None).cast(kind).alias(c) for c, kind in (("yards_gained", "int"), ("is_turnover", "boolean"), ("points_scored", "int"))]
+    kicks = t.kicks.select(*shared, F.lit("kicks").alias("fact"), F.col("kicking_team_id").alias("own_team_id"), F.col("receiving_team_id").alias("other_team_id"), *nothing, "fg_made")
+    return snaps.unionByName(kicks)
+
+
+@query("e15b_whole_drives", _BOTH + "SELECT * FROM whole")
+def whole_drives(t: Tables) -> DataFrame:
+    return events.whole_drives(both_facts(t))
+
+
+@query("q24b_drive_results", _BOTH + """
+SELECT CASE WHEN start_yards_to_goal <= 20 THEN '01 inside opp 20' WHEN start_yards_to_goal <= 40 THEN '02 opp 20-40' WHEN start_yards_to_goal <= 60 THEN '03 midfield' WHEN start_yards_to_goal <= 80 THEN '04 own 20-40' ELSE '05 inside own 20' END AS start_zone,
+  count(*) AS drives, 100.0 * avg(CAST(result = 'TD' AS INTEGER)) AS td_pct, 100.0 * avg(CAST(result = 'FG' AS INTEGER)) AS fg_pct, 100.0 * avg(CAST(result = 'PUNT' AS INTEGER)) AS punt_pct, 100.0 * avg(CAST(is_score AS INTEGER)) AS score_pct, avg(yards) AS avg_yards, avg(plays_total) AS avg_plays
+FROM whole WHERE start_yards_to_goal > 0 GROUP BY 1""")
+def drive_results(t: Tables, season: int | None = None) -> DataFrame:
+    """Results of drives by where they began, of a season or of all; 0 yards to goal stands for unknown."""
+    y, kind = F.col("start_yards_to_goal"), F.col("result")
+    zone = F.when(y <= 20, "01 inside opp 20").when(y <= 40, "02 opp 20-40").when(y <= 60, "03 midfield").when(y <= 80, "04 own 20-40").otherwise("05 inside own 20")
+    return fl.optional(events.whole_drives(both_facts(t)).where(y > 0), season=season).groupBy(zone.alias("start_zone")).agg(
+        m.n().alias("drives"), m.percent(kind == "TD").alias("td_pct"), m.percent(kind == "FG").alias("fg_pct"), m.percent(kind == "PUNT").alias("punt_pct"), m.percent("is_score").alias("score_pct"), m.mean("yards").alias("avg_yards"), m.mean("plays_total").alias("avg_plays"))

@@ -5,8 +5,8 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from eventloom.operators import events, grading, series
 from eventloom.operators import filters as fl
-from eventloom.operators import grading, series
 from eventloom.operators import options as opt
 from eventloom.operators.questions import Question, answers
 
@@ -110,3 +110,25 @@ def test_grading(spark):
     assert [got[i] for i in range(len(cases))] == [c[7] for c in cases]
     (r,) = grading.scored(grading.graded(answers_, checks).where("id = 'none'")).collect()
     assert (r.checks, r.passes, r.passed) == (2, 1, False)
+
+
+def test_a_drive_spans_both_facts(spark):
+    plays = spark.createDataFrame([
+        (1, 1, 1996, 1, "a", "kicks", "kickoff", 5, 6, 35, None, None, None, None, 1, 900), (1, 1, 1996, 2, "b", "scrimmage", "rush", 6, 5, None, 8, False, 0, None, 1, None),
+        (1, 1, 1996, 3, "c", "scrimmage", "pass", 6, 5, 70, 500, False, None, None, 1, 800), (1, 1, 1996, 4, "d", "kicks", "punt", 6, 5, None, None, None, None, None, 1, 700),
+        (1, 2, 1996, 5, "e", "scrimmage", "pass", 5, 6, 40, 30, True, -6, None, 2, 600), (1, 2, 1996, 6, "f", "kicks", "field_goal", 5, 6, 20, None, None, None, True, 2, 500),
+        (2, 1, 1996, 1, "g", "kicks", "kickoff", 5, 6, 35, None, None, None, None, 1, 900), (3, 1, 1996, 1, "h", "kicks", "field_goal", 5, 6, 9, None, None, None, None, None, None),
+    ], "game_id int, drive_number int, season int, seq int, play_uid string, fact string, play_kind string, own_team_id int, other_team_id int, yards_to_goal int, yards_gained int, is_turnover boolean, points_scored int, fg_made boolean, period int, clock_secs_period int")
+    got = {(r.game_id, r.drive_number): r for r in events.whole_drives(plays).collect()}
+    a, b, c, d = got[1, 1], got[1, 2], got[2, 1], got[3, 1]
+    assert (a.offense_team_id, a.defense_team_id, a.start_yards_to_goal, a.end_yards_to_goal, a.plays_total, a.plays_scrimmage, a.yards, a.result, a.start_clock_secs, a.end_clock_secs) == (6, 5, 70, 70, 4, 2, 8, "PUNT", 800, 700)
+    assert (b.result, b.is_score, b.yards, b.end_yards_to_goal) == ("FG", True, 0, 20)
+    assert (c.offense_team_id, c.start_yards_to_goal, c.plays_total, c.result, c.is_score) == (None, None, 1, "OTHER", False)
+    assert (d.result, d.is_score, d.start_period) == ("MISSED FG", False, None)  # a negated kick scores nothing
+    assert events.whole_drives(plays.limit(0)).count() == 0
+
+
+def test_scopes_by_the_conference_of_the_season(spark):
+    sides = spark.createDataFrame([("P", "FBS", 1998), ("D", "FBS", 1998), ("D", "FBS", 1999), ("O", "FBS", 1999), ("O", "FCS", 1999), (None, "FBS", 1999), (None, None, 1999)], "kicking_conference string, kicking_division string, season int")
+    counts = {name: sides.where(test).count() for name, test in fl.scopes("kicking", ["P"], ("D", 1998)).items()}
+    assert counts == {"power": 2, "lasting": 1, "others": 1, "top": 5, "all": 7}
