@@ -59,10 +59,8 @@ SELECT if(rn = 1, base, base || '#' || rn) AS play_uid, game_id, pk, play_kind,
 def conversion_rows(t: Tables) -> DataFrame:
     """Kicks, the conversions told by touchdowns and the feed's own, each with its uid: kicks keep the bare one."""
     feed = _feed(t)
-    kicks = conversions.sided(feed.where("play_type = 'Kickoff'").withColumn("scorer", F.lit(None).cast("bigint"))).withColumns({
-        "play_kind": F.lit("kickoff"), "converted": F.lit(None).cast("boolean"), "two_point_type": F.lit(None).cast("string"), "parse_confidence": F.lit("exact"),
-    })
-    out = conversions.emitted(kicks, feed, UID_ORDER, TOUCHDOWNS, NULLED)
+    kick = {"play_kind": F.lit("kickoff"), "converted": F.lit(None).cast("boolean"), "two_point_type": F.lit(None).cast("string"), "parse_confidence": F.lit("exact")}
+    out = conversions.emitted_by(feed, F.col("play_type") == "Kickoff", kick, UID_ORDER, TOUCHDOWNS, NULLED)
     return out.select(
         "play_uid", "game_id", "pk", "play_kind", "converted", "two_point_type", "parse_confidence", "kicking_team_id", "receiving_team_id",
         "is_home_kicking", F.col("score_diff_kicking").cast("bigint").alias("score_diff_kicking"), *NULLED,

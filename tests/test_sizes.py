@@ -8,7 +8,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from eventloom import catalog
-
 from eventloom.plans import binding
 
 SF = Path("/root/testdata/sf0.001")
@@ -38,3 +37,23 @@ def test_a_larger_table_makes_more_tasks_not_larger_ones(spark, monkeypatch):
     assert t.plays.select("game_id", F.spark_partition_id().alias("p")).distinct().groupBy("game_id").count().where("count > 1").count() == 0
     monkeypatch.setattr(binding, "TASK_ROWS", n)
     assert binding.Tables(spark, str(SF)).tasks is None
+
+
+def test_conversions_emitted_by_rows_equal_those_of_frames_in_one_pass(spark):
+    from eventloom.operators import conversions
+
+    schema = "base_uid string, game_id int, k int, home_team_id int, away_team_id int, play_type string, play_text string, scoring boolean, home_points int, away_points int, start_team_id int, yards int, home_before int, away_before int"
+    kinds = ["Two Point Pass", "Kickoff", "Rushing Touchdown", "Defensive 2pt Conversion", None, "Kickoff Touchdown"]
+    feed = spark.createDataFrame([(f"g:{i % 4}", i % 3, i, 10, 20, kinds[i % 6], ("good", None, "Two-Point try failed", "kick attempt")[i % 4], (True, None, False)[i % 3], i % 2 * 2, i % 5, (10, 20, None)[i % 3], i, 7, i) for i in range(60)], schema)
+    kick = {"play_kind": F.lit("kickoff"), "converted": F.lit(None).cast("boolean"), "two_point_type": F.lit(None).cast("string"), "parse_confidence": F.lit("exact")}
+    is_kick, scores = F.col("play_type").startswith("Kickoff"), ["Rushing Touchdown", "Kickoff Touchdown"]
+    kicks = conversions.sided(feed.where(is_kick).withColumn("scorer", F.lit(None).cast("int"))).withColumns(kick)
+    want = conversions.emitted(kicks, feed, ["k"], scores, ["yards"]).drop("scorer")
+    got = conversions.emitted_by(feed, is_kick, kick, ["k"], scores, ["yards"])
+    assert rows(got.select(want.columns)) == rows(want) and got.where("play_kind = 'pat'").count() > 3  # a kickoff returned for a score emits two rows
+
+
+@needs_tables
+def test_conversions_read_and_sort_the_plays_once(spark):
+    df = catalog.queries()["e06_conversions"](spark, str(SF))
+    assert scans(df) == 1 and "Union" not in plan(df)
