@@ -57,3 +57,10 @@ def test_conversions_emitted_by_rows_equal_those_of_frames_in_one_pass(spark):
 def test_conversions_read_and_sort_the_plays_once(spark):
     df = catalog.queries()["e06_conversions"](spark, str(SF))
     assert scans(df) == 1 and "Union" not in plan(df)
+
+
+@needs_tables
+@pytest.mark.parametrize("name", ["e18b_next_snap_after_kickoff"])
+def test_the_next_snap_is_found_in_one_pass_over_both_facts(spark, name):
+    df = catalog.queries()[name](spark, str(SF))
+    assert scans(df) == 1 and "Union" not in plan(df)
