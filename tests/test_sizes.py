@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from eventloom import catalog
+from eventloom.operators import events
 from eventloom.plans import binding
 
 SF = Path("/root/testdata/sf0.001")
@@ -71,3 +72,14 @@ def test_the_next_snap_is_found_in_one_pass_over_both_facts(spark, name):
 def test_whole_drives_read_the_plays_once(spark, name):
     df = catalog.queries()[name](spark, str(SF))
     assert scans(df) == 1 and "Union" not in plan(df)
+
+
+def test_plays_with_their_conversions_in_one_pass(spark):
+    td = spark.createDataFrame([("a", 1, 40, 6), ("b", 2, None, 6)], "play_uid string, game_id int, yards int, points int")
+    out = events.with_conversions(td, ["yards"])
+    assert out.columns == td.columns and rows(out) == rows(td.unionByName(events.conversions_of(td, ["yards"]))) and "Union" not in plan(out)
+
+
+@needs_tables
+def test_derived_conversions_read_the_plays_once(spark):
+    assert scans(catalog.queries()["e05_derived_conversions"](spark, str(SF))) == 1
