@@ -278,4 +278,4 @@ def canonical_roles(t: Tables) -> DataFrame:
 @query("e13b_all_roles", "SELECT play_uid, " + ", ".join(f"arg_min(athlete_id, ordinal) FILTER (WHERE role = '{r}') AS {r}_athlete_id" for r, _ in ROLES) + " FROM people GROUP BY 1")
 def all_roles(t: Tables) -> DataFrame:
     """The first athlete of every role of a play, as columns."""
-    return events.first_by_role(t.people, "play_uid", [r for r, _ in ROLES])
+    return events.first_by_role(t.people_with("game_id"), "play_uid", [r for r, _ in ROLES], within=["game_id"])

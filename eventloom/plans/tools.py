@@ -233,7 +233,7 @@ SELECT p.athlete_id, known_name, position, count(*) AS tackles, count(*) FILTER
 FROM people p JOIN scrim USING (play_uid) JOIN athletes a ON a.athlete_id = p.athlete_id WHERE role IN ('tackler', 'assistedBy') AND season = 1998 GROUP BY ALL HAVING count(*) >= 3 ORDER BY tackles DESC NULLS LAST, athlete_id LIMIT 25""")
 def leaders_tackles(t: Tables, season: int = 1998) -> DataFrame:
     """Of a season, through the people bridge: the fact's own column names one tackler a play.  The season's plays alone are laid out by role."""
-    rows = events.bridge(t.scrimmage.where(F.col("season") == season), "play_uid", [r for r in ROLES if r[0] in ("tackler", "assistedBy")])
+    rows = events.bridge(t.scrimmage.where(F.col("season") == season), "play_uid", [r for r in ROLES if r[0] in ("tackler", "assistedBy")], unique=True)
     return m.leaders(rows.withColumnRenamed("athlete_id", "who"), t.athletes, "who", {"tackles": m.n(), "solo": m.n(F.col("role") == "tackler"), "assisted": m.n(F.col("role") == "assistedBy")}, 3, "tackles", ("tackles",), 25)
 
 

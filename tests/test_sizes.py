@@ -83,3 +83,21 @@ def test_plays_with_their_conversions_in_one_pass(spark):
 @needs_tables
 def test_derived_conversions_read_the_plays_once(spark):
     assert scans(catalog.queries()["e05_derived_conversions"](spark, str(SF))) == 1
+
+
+def test_the_bridge_of_unique_plays_needs_no_shuffle(spark):
+    plays = spark.createDataFrame([("p", 1, 7, 7, 7, None), ("q", 1, None, None, 8, 7), ("r", 2, None, None, None, None)], "uid string, g int, a int, b int, c int, d int")
+    roles = (("passer", "a"), ("tackler", "b"), ("tackler", "c"), ("rusher", "d"))
+    out = events.bridge(plays, "uid", roles, unique=True)
+    assert rows(out) == rows(events.bridge(plays, "uid", roles)) == [("p", "passer", 7, 0), ("p", "tackler", 7, 1), ("q", "rusher", 7, 3), ("q", "tackler", 8, 2)] and "Exchange" not in plan(out)
+    carried = events.bridge(plays, "uid", roles, unique=True, carry=["g"]).repartition(3, "g")
+    first = events.first_by_role(carried, "uid", ["passer", "rusher"], within=["g"])
+    assert first.columns == ["uid", "passer_athlete_id", "rusher_athlete_id"] and rows(first) == [("p", 7, None), ("q", None, 7)] and "hashpartitioning(uid" not in plan(first)
+    with pytest.raises(ValueError, match="carried"):
+        events.bridge(plays, "uid", roles, carry=["g"])
+
+
+@needs_tables
+@pytest.mark.parametrize("name", ["e13_people_by_role", "e13b_all_roles", "e14_bridge", "q11_play_participants"])
+def test_people_of_plays_stay_where_their_play_lies(spark, name):
+    assert "hashpartitioning(play_uid" not in plan(catalog.queries()[name](spark, str(SF)))
