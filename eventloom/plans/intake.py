@@ -123,10 +123,10 @@ SELECT play_uid, NULL AS "column", if(no_a, 'b', 'a') AS found, NULL AS in_a, NU
 """ + "".join(f" UNION ALL SELECT play_uid, '{c}', 'both', a_{c}, b_{c} FROM j WHERE NOT no_a AND NOT no_b AND a_{c} IS DISTINCT FROM b_{c}" for c in COPIED))
 def column_diagnosis(t: Tables) -> DataFrame:
     """Two copies of the kicks: faults planted in one are named by column and key."""
-    kicks = t.kicks.select("play_uid", "game_id", "seq", *COPIED)
-    a = kicks.where("seq <> 7").select("play_uid", *COPIED)
-    b = kicks.where("NOT (seq = 1 AND game_id % 50 = 1)").selectExpr("play_uid", *[f"{FAULTS.get(c, c)} AS {c}" for c in COPIED])
-    return compare.differences(a, b, ["play_uid"], COPIED)
+    copy = lambda side, rows, faults: F.when(F.expr(rows), F.struct(F.lit(side).alias("side"), *[F.expr(faults.get(c, c)).alias(c) for c in COPIED]))
+    both = F.array(copy("a", "seq <> 7", {}), copy("b", "NOT (seq = 1 AND game_id % 50 = 1)", FAULTS))
+    sides = t.kicks.select("play_uid", F.inline(F.filter(both, lambda e: e.isNotNull())))
+    return compare.differences_of(sides, ["play_uid"], COPIED, t.tasks)
 
 
 CORPORA = ("cfb", "nfl")

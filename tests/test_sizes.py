@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from eventloom import catalog
-from eventloom.operators import events
+from eventloom.operators import compare, events
 from eventloom.plans import binding
 
 SF = Path("/root/testdata/sf0.001")
@@ -85,6 +85,24 @@ def test_derived_conversions_read_the_plays_once(spark):
     assert scans(catalog.queries()["e05_derived_conversions"](spark, str(SF))) == 1
 
 
+def test_copies_of_one_frame_are_compared_from_one_shuffle(spark):
+    a = spark.range(2000).selectExpr("id", "id % 7 AS x", "CASE WHEN id % 5 = 0 THEN NULL ELSE concat('t', id) END AS y")
+    b = a.where("id <> 44").selectExpr("id", "CASE WHEN id = 100 THEN -1 ELSE x END AS x", "CASE WHEN id = 5 THEN '' WHEN id = 6 THEN NULL ELSE y END AS y").unionByName(spark.sql("SELECT 5000L AS id, 1L AS x, 'n' AS y"))
+    sides = a.withColumn("side", F.lit("a")).unionByName(b.withColumn("side", F.lit("b")))
+    want = rows(compare.differences(a, b, ["id"], ["x", "y"]))
+    for tasks in (None, 7):
+        assert rows(compare.differences_of(sides, ["id"], ["x", "y"], tasks)) == want and len(want) == 5
+    assert rows(compare.differences_of(sides.where("side = 'a'"), ["id"], ["x", "y"])) == sorted([(i, None, "a", None, None) for i in range(2000)], key=repr)
+
+
+@needs_tables
+def test_column_diagnosis_computes_the_kicks_once(spark):
+    df = catalog.queries()["v10_column_diagnosis"](spark, str(SF))
+    df.collect()
+    final = plan(df).split("== Initial Plan ==")[0]
+    assert final.count("lineitem.parquet") == 1 and "ReusedExchange" in final
+
+
 def test_the_bridge_of_unique_plays_needs_no_shuffle(spark):
     plays = spark.createDataFrame([("p", 1, 7, 7, 7, None), ("q", 1, None, None, 8, 7), ("r", 2, None, None, None, None)], "uid string, g int, a int, b int, c int, d int")
     roles = (("passer", "a"), ("tackler", "b"), ("tackler", "c"), ("rusher", "d"))
