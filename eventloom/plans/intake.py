@@ -184,7 +184,7 @@ def kickoff_era(t: Tables) -> DataFrame:
     The baseline is the season's totals less the kicker's own, so that nobody is held against himself.
     """
     kicks = t.kicks.where("kicker_athlete_id IS NOT NULL")
-    out = kicks.where("play_kind = 'kickoff' AND NOT onside").join(next_snap(t), "play_uid").select(
+    out = next_snap(t, "season", "kicker_athlete_id", "returned", "touchback", "onside").where("kicker_athlete_id IS NOT NULL AND NOT onside").select(
         "season", F.col("kicker_athlete_id").alias("aid"), F.when(F.col("returned").isNotNull(), F.col("touchback").cast("int")).alias("tb"), (100 - F.col("start_yards")).alias("start"),
     )
     own = out.groupBy("season", "aid").agg(F.count(F.lit(1)).alias("kickoffs"), *[f for c in ("tb", "start") for f in (F.count(c).alias(f"{c}_n"), F.coalesce(F.sum(c), F.lit(0)).alias(f"{c}_s"))])

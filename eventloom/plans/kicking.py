@@ -193,7 +193,8 @@ def kickoff_men(t: Tables, least: int = 5, top: int = 20) -> DataFrame:
     is held against the seasons of kickoffs with a known return, the start against those of all of them.  A top-k report.
     """
     jobs = kicking_jobs(t).select("season", "team_id", "kickoff_man")
-    deep = with_jobs(t.kicks.where("play_kind = 'kickoff' AND NOT onside"), jobs).join(next_snap(t), "play_uid")
+    kickoffs = next_snap(t, "season", "kicking_team_id", "kicker_athlete_id", "returned", "touchback", "onside", "return_yds", "returned_for_td")
+    deep = with_jobs(kickoffs.where("NOT onside"), jobs)
     tb, start = F.when(F.col("returned").isNotNull(), F.col("touchback").cast("int")), 100 - F.col("start_yards")
     own = deep.groupBy("season", "kicking_team_id", F.col("kicker_athlete_id").alias("who"), (F.col("kicker_athlete_id") == F.col("kickoff_man")).alias("leads")).agg(
         m.n().alias("n"), F.count(tb).alias("tb_n"), F.sum(tb).alias("tb"), F.count(start).alias("start_n"), F.sum(start).alias("start"),

@@ -67,6 +67,14 @@ def test_the_next_snap_is_found_in_one_pass_over_both_facts(spark, name):
     assert scans(df) == 1 and "Union" not in plan(df)
 
 
+@needs_tables
+@pytest.mark.parametrize("name", ["r04_kickoff_era", "r05n_kickoff_men"])
+def test_kickoffs_carry_their_columns_to_the_next_snap(spark, name):
+    """Neither facts are laid together nor kickoffs joined by uid."""
+    df = catalog.queries()[name](spark, str(SF))
+    assert "Union" not in plan(df) and "hashpartitioning(play_uid" not in plan(df)
+
+
 @needs_tables
 @pytest.mark.parametrize("name", ["e15b_whole_drives", "q24b_drive_results"])
 def test_whole_drives_read_the_plays_once(spark, name):
