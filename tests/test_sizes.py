@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from pathlib import Path
 
 import pytest
@@ -40,6 +41,21 @@ def test_a_larger_table_makes_more_tasks_not_larger_ones(spark, monkeypatch):
     assert binding.Tables(spark, str(SF)).tasks is None
 
 
+@needs_tables
+def test_drives_are_dealt_to_no_more_tasks_than_a_shuffle_is_written_straight_to_files_for(spark, monkeypatch):
+    """One partition more than the threshold, and a task that reads the plays holds all it has read."""
+    q24 = catalog.queries()["q24_drive_outcomes"]
+    want = rows(q24(spark, str(SF)))
+    monkeypatch.setattr(binding, "TASK_ROWS", 10)
+    most = int(spark.sparkContext.getConf().get("spark.shuffle.sort.bypassMergeThreshold", "200"))
+    t = binding.Tables(spark, str(SF))
+    assert t.raw("lineitem").count() / 10 > most >= t.tasks > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df = q24(spark, str(SF))
+    dealt = [int(n) for n in re.findall(r"hashpartitioning\([^()]*, (\d+)\), REPARTITION_BY_NUM", plan(df))]
+    assert max(dealt) <= most and plan(df).count("hashpartitioning(") == len(dealt) + 1  # and once by zone: drives stay where their plays lie
+    assert rows(df) == want and len(want) == 5
+
+
 def test_conversions_emitted_by_rows_equal_those_of_frames_in_one_pass(spark):
     from eventloom.operators import conversions
 
